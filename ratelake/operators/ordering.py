@@ -73,10 +73,11 @@ def _cut_points(keys: DataFrame, rows_per_range: int) -> list:
     most = max(2, min(MAX_RANGES, 2 * width))
     shares = ", ".join(f"{i / most:.8f}D" for i in range(1, most))
     share = min(1.0, SAMPLED_PER_RANGE / rows_per_range)
-    watched = KEY if share == 1.0 else f"CASE WHEN rand(7) < {share!r}D THEN {KEY} END"
-    found = keys.agg(
+    # Only the choice of cut points rests on a sample; every row is placed.
+    watched = F.col(KEY) if share == 1.0 else F.when(F.rand(7) < share, F.col(KEY))
+    found = keys.select(watched.alias(KEY)).agg(
         F.count("*").alias("rows"),
-        F.expr(f"percentile_approx({watched}, array({shares}), {10 * most})").alias("cuts"),
+        F.expr(f"percentile_approx({KEY}, array({shares}), {10 * most})").alias("cuts"),
     ).first()
     ranges = min(most, -(-found["rows"] // rows_per_range))
     if ranges <= 1 or not found["cuts"]:

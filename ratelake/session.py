@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("RATELAKE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -50,3 +52,24 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the writes inside the block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+# Creating a file costs the same however few rows it gets. Without this, a small
+# write into many partitions would be merged into one task that opens them all.
+SPREAD_FILES = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from ratelake.model import DATE_COLUMN, RATE_SCHEMA, SOURCE_COLUMN, TIMESTAMP_COLUMN, conform, quoted, require_values
 from ratelake.operators.filters import equals_all
+from ratelake.session import SPREAD_FILES, settings
 
 PARTITION = "_part"
 UNDATED = "undated"
@@ -182,11 +183,12 @@ class TableStore:
     # -- writing ------------------------------------------------------------
 
     def append(self, table: str, df: DataFrame) -> None:
-        self._shaped(table, df).write.mode("append").insertInto(self.name(table))
+        with settings(df.sparkSession, _write_settings("static")):
+            self._shaped(table, df).write.mode("append").insertInto(self.name(table))
 
     def truncate(self, table: str, df: DataFrame) -> None:
         """Replace the whole content."""
-        with _overwrite_mode(df.sparkSession, "static"):
+        with settings(df.sparkSession, _write_settings("static")):
             self._shaped(table, df).write.mode("overwrite").insertInto(self.name(table), overwrite=True)
 
     def write_empty(self, table: str, df: DataFrame) -> None:
@@ -328,7 +330,7 @@ class TableStore:
         rows = self._shaped(table, df)
         # At most one name per partition, gathered while writing.
         watched = rows.observe(seen, F.collect_set(PARTITION).alias("parts"))
-        with _overwrite_mode(spark, "dynamic"):
+        with settings(spark, _write_settings("dynamic")):
             watched.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
         written = set(seen.get["parts"] or [])
         self._drop(table, [p for p in touched if p not in written])
@@ -372,15 +374,5 @@ def _day(moment: date | datetime) -> date:
     return moment.date() if isinstance(moment, datetime) else moment
 
 
-@contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str):
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, mode)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def _write_settings(mode: str) -> dict[str, str]:
+    return {"spark.sql.sources.partitionOverwriteMode": mode, **SPREAD_FILES}

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ratelake.functions.parsing import is_bad_date, parse_date
 from ratelake.model import DATE_COLUMN, VALUE_FIELD, SeriesSpec
+from ratelake.session import SPREAD_FILES, settings
 
 CORRUPT = "_corrupt_record"
 # Element names of the payload.
@@ -73,17 +74,17 @@ def write_landing(df: DataFrame, root: str, rows_per_file: int = 1_000_000, mode
     The rebalance hint groups a month's rows and splits a month that is too big,
     so neither many tiny files nor one huge one come out.
     """
-    (
-        df.select("series", "month", DATE_COLUMN, VALUE_FIELD)
-        .hint("rebalance", "series", "month")
-        .write.format("xml")
-        .option("rootTag", ROOT_TAG)
-        .option("rowTag", ROW_TAG)
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("series", "month")
-        .mode(mode)
-        .save(root)
-    )
+    rows = df.select("series", "month", DATE_COLUMN, VALUE_FIELD).hint("rebalance", "series", "month")
+    with settings(df.sparkSession, SPREAD_FILES):
+        (
+            rows.write.format("xml")
+            .option("rootTag", ROOT_TAG)
+            .option("rowTag", ROW_TAG)
+            .option("maxRecordsPerFile", rows_per_file)
+            .partitionBy("series", "month")
+            .mode(mode)
+            .save(root)
+        )
 
 
 def landing_reader(reader, row_tag: str = ROW_TAG):
@@ -157,11 +158,12 @@ def parse_documents(df: DataFrame, column: str, pairing: str = "record", row_tag
     if pairing == "record":
         records, short = F.col(f"__doc.{row_tag}"), F.lit(False)
     elif pairing == "positional":
-        dates, values = _texts(DATE_COLUMN), _texts(VALUE_FIELD)
-        short = F.size(dates) > F.size(values)
-        records = F.transform(
-            dates, lambda d, i: F.struct(d.alias(DATE_COLUMN), F.get(values, i).alias(VALUE_FIELD))
+        opened = opened.select(
+            *keep, "__doc", _texts(DATE_COLUMN).alias(DATE_COLUMN), _texts(VALUE_FIELD).alias(VALUE_FIELD)
         )
+        wanted = F.size(DATE_COLUMN)
+        short = wanted > F.size(VALUE_FIELD)
+        records = F.slice(F.arrays_zip(DATE_COLUMN, VALUE_FIELD), F.lit(1), wanted)
     else:
         raise ValueError(f"unknown pairing: {pairing}")
     # A broken document keeps one row, so that it can be quarantined.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ratelake.model import DATE_COLUMN, VALUE_FIELD, SeriesSpec, catalogue, find_series, quoted
 from ratelake.operators.filters import in_date_range
 from ratelake.operators.merge import outer_merge, pivot_merge
-from ratelake.sources.observations import SeriesSource, accepted
+from ratelake.sources.observations import SeriesSource, accepted, quarantine
 from ratelake.sources.requests import is_bulk
 
 
@@ -65,8 +65,9 @@ def read_many(
 ) -> DataFrame | dict[str, DataFrame]:
     """Several series, merged by date or as a dict of lazy frames.
 
-    Unknown names are skipped. Without any known name the result is None or an
-    empty dict. A series without usable observations contributes no rows.
+    Unknown names are skipped, and with ``strict`` so is every series with a
+    defective record; finding those is a pass over the data that returns names
+    only. Without any series left the result is None or an empty dict.
     """
     known = catalogue() if known is None else known
     specs = [known[n] for n in names if n in known]
@@ -74,8 +75,12 @@ def read_many(
     first = f"{y}-{m}"
     frames = {}
     if specs:
-        seen = accepted(source.observations(spark, specs, (first, None if onwards else first)), strict)
-        frames = {s.name: one_series(seen, s) for s in specs}
+        seen = source.observations(spark, specs, (first, None if onwards else first))
+        if strict:
+            failed = {r["series"] for r in quarantine(seen).select("series").distinct().collect()}
+            specs = [s for s in specs if s.api_name not in failed]
+        good = accepted(seen)
+        frames = {s.name: one_series(good, s) for s in specs}
     if not merge:
         return frames
     return outer_merge(list(frames.values())) if frames else None
