@@ -58,6 +58,7 @@ def booster(
     validation: str | None = None,
 ) -> Pipeline:
     """Assembler and booster. ``validation`` names a boolean column for early stopping."""
+    stopping = {"validationIndicatorCol": validation, "validationTol": MIN_IMPROVEMENT} if validation else {}
     regressor = GBTRegressor(
         featuresCol="features",
         labelCol=label,
@@ -68,9 +69,8 @@ def booster(
         subsamplingRate=ROW_SHARE,
         featureSubsetStrategy=COLUMN_SHARE,
         seed=seed,
+        **stopping,
     )
-    if validation:
-        regressor = regressor.setValidationIndicatorCol(validation).setValidationTol(MIN_IMPROVEMENT)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), regressor])
 
 

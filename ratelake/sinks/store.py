@@ -144,7 +144,7 @@ class TableStore:
         end: date | datetime | None = None,
     ) -> DataFrame:
         """Rows by equality filters and a date range; ``limit`` 0 or None means all."""
-        layout, rows = self.layout(table), self.spark.table(self.name(table))
+        layout, rows = self.layout(table), self._read(table)
         field = layout["partition_field"]
         first, last = start, end
         if filters and field in filters and isinstance(filters[field], date):
@@ -172,7 +172,7 @@ class TableStore:
 
         On the partition field only the last partition is read.
         """
-        rows = self.spark.table(self.name(table))
+        rows = self._read(table)
         if column == self.layout(table)["partition_field"]:
             dated = [p for p in self.partitions(table) if p != UNDATED]
             if not dated:
@@ -193,7 +193,7 @@ class TableStore:
 
     def write_empty(self, table: str, df: DataFrame) -> None:
         """Load only into a table without rows."""
-        if not self.spark.table(self.name(table)).isEmpty():
+        if not self._read(table).isEmpty():
             raise ValueError(f"{table} is not empty")
         self.append(table, df)
 
@@ -226,7 +226,7 @@ class TableStore:
 
     def _merge_staged(self, spark, table, layout, schema, staged, key, newer_by) -> None:
         field, unit = layout["partition_field"], layout["granularity"]
-        target = spark.table(self.name(table))
+        target = self._read(table, spark)
         keys = staged.filter(quoted(key).isNotNull()).select(quoted(key).alias("__key"))
         source_parts = _names(staged.select(_part_column(field, unit).alias(PARTITION))) if field in staged.columns else []
         # Where the key decides the partition, no other partition can hold a match.
@@ -280,7 +280,7 @@ class TableStore:
         range are dropped without being read; only those at its ends are rewritten.
         """
         first, last = _day(start), _day(end if end is not None else start)
-        layout, target = self.layout(table), self.spark.table(self.name(table))
+        layout, target = self.layout(table), self._read(table)
         gone = quoted(column).between(F.lit(first), F.lit(last))
         if column == layout["partition_field"]:
             unit = layout["granularity"]
@@ -312,6 +312,13 @@ class TableStore:
 
     # -- internals ----------------------------------------------------------
 
+    def _read(self, table: str, spark: SparkSession | None = None) -> DataFrame:
+        """The table as it is now: a stream writes from a session of its own, and
+        file lists are remembered per session."""
+        spark = spark or self.spark
+        spark.catalog.refreshTable(self.name(table))
+        return spark.table(self.name(table))
+
     def _shaped(self, table: str, df: DataFrame) -> DataFrame:
         """Table columns and types, checked, partitioned and clustered for writing.
 
