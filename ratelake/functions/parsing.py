@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The accepted spellings.
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
@@ -52,3 +53,12 @@ def parse_decimal(text: Column, number_format: str = "plain") -> Column:
 def is_coerced(text: Column, number_format: str = "plain") -> Column:
     """True where text was present but became NULL: the count to watch for locale trouble."""
     return text.isNotNull() & (F.trim(text) != "") & parse_decimal(text, number_format).isNull()
+
+
+def is_floating(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.FloatType, T.DoubleType))
+
+
+def nan_to_null(value: Column) -> Column:
+    """NaN means "missing" here; one spelling of it is enough."""
+    return F.when(~F.isnan(value), value)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.model import DATE_COLUMN, SeriesSpec, quoted
+from ratelake.session import materialize
 
 
 def outer_merge(frames: Sequence[DataFrame], key: str = DATE_COLUMN) -> DataFrame:
@@ -69,6 +70,25 @@ def pivot_merge(
     return single.unionByName(outer_merge(frames, key))
 
 
+def merge_long(
+    long: DataFrame,
+    specs: Sequence[SeriesSpec],
+    key: str = DATE_COLUMN,
+    series: str = "series",
+    value: str = "value",
+    stage: Callable[[DataFrame], DataFrame] = materialize,
+) -> DataFrame:
+    """The merge of a long table, repeated keys included.
+
+    The rows are staged, so that parsing them happens once; then one aggregation
+    finds out whether any key repeats at all. Almost always none does, and the
+    single-shuffle form is enough.
+    """
+    rows = stage(long.select(quoted(series), quoted(key), quoted(value)))
+    repeats = rows.groupBy(quoted(series), quoted(key)).count().filter("count > 1")
+    return pivot_merge(rows, specs, key, series, value, "fail" if repeats.isEmpty() else "multiply")
+
+
 def _only(series: str, spec: SeriesSpec, what: Column, aggregate) -> Column:
     return aggregate(F.when(quoted(series) == F.lit(spec.api_name), what))
 

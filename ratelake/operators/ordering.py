@@ -9,6 +9,7 @@ to one row per range and put in front of it.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,7 +51,9 @@ def with_ranges(df: DataFrame, order_by: str, rows_per_range: int = ROWS_PER_RAN
     if not cuts:
         return keyed.withColumn(RANGE, F.lit(0).cast("bigint"))
     kind = "double" if isinstance(cuts[0], float) else "bigint"
-    repeats = [cuts.count(c) if i == 0 or cuts[i - 1] != c else 0 for i, c in enumerate(cuts)]
+    # A search ends at the first of several equal cut points.
+    times = Counter(cuts)
+    repeats = [times[c] if i == 0 or cuts[i - 1] != c else 0 for i, c in enumerate(cuts)]
     ranged = _count_below(keyed, cuts, kind)
     hit = F.get(_numbers(cuts, kind), F.col("__below")) == F.col(KEY)
     same = F.when(hit, F.get(_numbers(repeats, "bigint"), F.col("__below"))).otherwise(F.lit(0).cast("bigint"))

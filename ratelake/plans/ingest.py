@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -14,7 +15,7 @@ from ratelake.model import DATE_COLUMN, DEFAULT_DATA_SOURCE, VALUE_FIELD, Series
 from ratelake.plans.prepare import prepare
 from ratelake.sinks.store import TableStore
 from ratelake.sources.observations import SeriesSource
-from ratelake.sources.series import read_range
+from ratelake.sources.series import merge_range, range_observations
 
 # Modes and their windows.
 MODES = ("incremental", "backfill", "full")
@@ -90,10 +91,15 @@ def run_ingest(
     store = TableStore(spark, config.database, config.location)
     if not specs:
         return None
-    merged = read_range(spark, source, specs, start, end, config.strict, config.align_days)
-    # Written once: the fill below looks at the merged rows several times, and
-    # parsing the landing files must not be repeated for that.
-    with store.staged(merged) as wide:
+    with ExitStack() as stages:
+
+        def stage(df: DataFrame) -> DataFrame:
+            return stages.enter_context(store.staged(df))
+
+        # Written once: parsing the landing files must not be repeated, and the
+        # fill below looks at the merged rows several times.
+        seen = stage(range_observations(spark, source, specs, start, end, config.strict))
+        wide = stage(merge_range(seen, specs, start, end, config.align_days, stage=lambda rows: rows))
         if wide.isEmpty():
             return None
         seed = None
@@ -107,12 +113,20 @@ def run_ingest(
             config.number_format,
             seed=seed,
         )
-        load(store, config, mode, ready)
+        # Names only: bounded by the number of series asked for.
+        arrived = {r["series"] for r in seen.select("series").distinct().collect()}
+        load(store, config, mode, ready, [s.column for s in specs if s.api_name not in arrived])
     return store.scan(config.table)
 
 
-def load(store: TableStore, config: IngestConfig, mode: str, ready: DataFrame) -> None:
-    """Create the table if needed, then truncate, upsert or append."""
+def load(
+    store: TableStore, config: IngestConfig, mode: str, ready: DataFrame, failed: Sequence[str] = ()
+) -> None:
+    """Create the table if needed, then truncate, upsert or append.
+
+    ``failed`` names the columns of series that could not be read: an upsert
+    leaves them alone instead of overwriting stored values by NULL.
+    """
     store.ensure_table(
         config.table,
         ready.schema,
@@ -124,7 +138,7 @@ def load(store: TableStore, config: IngestConfig, mode: str, ready: DataFrame) -
     if mode == "full":
         store.truncate(config.table, ready)
     elif config.merge_key:
-        store.upsert(config.table, ready, config.merge_key)
+        store.upsert(config.table, ready.drop(*failed), config.merge_key)
     else:
         store.append(config.table, ready)
 

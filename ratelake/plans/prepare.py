@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from ratelake.functions.parsing import parse_date_or_fail, parse_decimal
+from ratelake.functions.parsing import is_floating, nan_to_null, parse_date_or_fail, parse_decimal
 from ratelake.model import DATE_COLUMN, DEFAULT_DATA_SOURCE, quoted, value_columns
 from ratelake.operators.audit import audit_columns
 from ratelake.operators.fill import forward_fill
@@ -23,6 +23,7 @@ def type_columns(df: DataFrame, number_format: str = "plain") -> DataFrame:
         for c in value_columns(df)
         if isinstance(df.schema[c].dataType, T.StringType)
     }
+    typed |= {c: nan_to_null(quoted(c)) for c in value_columns(df) if is_floating(df.schema[c].dataType)}
     if DATE_COLUMN in df.columns and isinstance(df.schema[DATE_COLUMN].dataType, T.StringType):
         typed[DATE_COLUMN] = parse_date_or_fail(quoted(DATE_COLUMN))
     return df.withColumns(typed) if typed else df

@@ -238,7 +238,8 @@ def stream_landing_rates(spark, sf_dir):
     )
     store.ensure_table("rates", schema, DATE_COLUMN, required=[DATE_COLUMN])
     stream = stream_landing(spark, root)
-    upsert_stream(stream, store, "rates", DATE_COLUMN, work_path(spark, "progress"), shape).awaitTermination()
+    progress = work_path(spark, "progress")
+    upsert_stream(stream, store, "rates", DATE_COLUMN, progress, shape, stage_batch=True).awaitTermination()
     return _zoneless(store.scan("rates"))
 
 

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. Shuffle width is left to the cluster; AQE
 # coalesces it and splits skewed partitions.
@@ -54,6 +54,17 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, label: str = "work") -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back.
+
+    Unlike a checkpoint the copy is columnar: later passes read only the columns
+    they use, and its size is known to the optimizer. It survives lost executors.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Session settings for the writes inside the block."""

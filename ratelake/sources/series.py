@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ratelake.model import DATE_COLUMN, VALUE_FIELD, SeriesSpec, catalogue, find_series, quoted
 from ratelake.operators.filters import in_date_range
-from ratelake.operators.merge import outer_merge, pivot_merge
+from ratelake.operators.merge import merge_long
+from ratelake.session import materialize
 from ratelake.sources.observations import SeriesSource, accepted, quarantine
 from ratelake.sources.requests import is_bulk
 
@@ -73,17 +74,16 @@ def read_many(
     specs = [known[n] for n in names if n in known]
     y, m = default_month(year, month, now)
     first = f"{y}-{m}"
-    frames = {}
+    good = None
     if specs:
         seen = source.observations(spark, specs, (first, None if onwards else first))
         if strict:
             failed = {r["series"] for r in quarantine(seen).select("series").distinct().collect()}
             specs = [s for s in specs if s.api_name not in failed]
         good = accepted(seen)
-        frames = {s.name: one_series(good, s) for s in specs}
     if not merge:
-        return frames
-    return outer_merge(list(frames.values())) if frames else None
+        return {s.name: one_series(good, s) for s in specs}
+    return merge_long(_long(good), specs) if specs else None
 
 
 def read_range(
@@ -94,6 +94,7 @@ def read_range(
     end: datetime,
     strict: bool = False,
     align_days: bool = False,
+    stage: Callable[[DataFrame], DataFrame] = materialize,
 ) -> DataFrame:
     """Wide table for a date range, bounds included, values still text.
 
@@ -101,20 +102,46 @@ def read_range(
     merged month by month, and of two months that report the same date the
     earlier one wins with its whole row.
     """
+    good = range_observations(spark, source, specs, start, end, strict)
+    return merge_range(good, specs, start, end, align_days, stage)
+
+
+def range_observations(
+    spark: SparkSession,
+    source: SeriesSource,
+    specs: Sequence[SeriesSpec],
+    start: datetime,
+    end: datetime,
+    strict: bool = False,
+) -> DataFrame:
+    """The usable observations of the months that a range needs, not yet cut to it."""
     bulk = is_bulk(start, end)
     # A payload may run on past its own month, so a bulk read starts at the first.
     lower = None if bulk and not getattr(source, "exact_months", False) else f"{start:%Y-%m}"
-    months = (lower, f"{end:%Y-%m}")
-    seen = source.observations(spark, specs, months)
-    good = accepted(seen, strict, ("series",) if bulk else ("series", "month"))
+    seen = source.observations(spark, specs, (lower, f"{end:%Y-%m}"))
+    return accepted(seen, strict, ("series",) if bulk else ("series", "month"))
+
+
+def merge_range(
+    observations: DataFrame,
+    specs: Sequence[SeriesSpec],
+    start: datetime,
+    end: datetime,
+    align_days: bool = False,
+    stage: Callable[[DataFrame], DataFrame] = materialize,
+) -> DataFrame:
+    """Cut to the range and put the series side by side."""
     # The range filter commutes with a merge on the date, and is cheaper before it.
-    wanted = in_date_range(good, start, end, align_days=align_days)
-    if bulk:
-        long = wanted.select("series", DATE_COLUMN, F.col(VALUE_FIELD).alias("value"))
-        return pivot_merge(long, specs, duplicates="multiply")
+    wanted = in_date_range(observations, start, end, align_days=align_days)
+    if is_bulk(start, end):
+        return merge_long(_long(wanted), specs, stage=stage)
     return first_month_wins(wanted, specs)
 
 
+def _long(observations: DataFrame) -> DataFrame:
+    return observations.select("series", DATE_COLUMN, F.col(VALUE_FIELD).alias("value"))
+
+
 def first_month_wins(observations: DataFrame, specs: Sequence[SeriesSpec]) -> DataFrame:
     """Merge within each month, then keep the first month's row per date.
 

@@ -38,6 +38,7 @@ def upsert_stream(
     shape: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     newer_by: str | None = None,
     available_now: bool = True,
+    stage_batch: bool = False,
 ) -> StreamingQuery:
     """Start a query that merges every micro-batch into ``table``.
 
@@ -45,10 +46,15 @@ def upsert_stream(
     last batch wins, or with ``newer_by`` the row with the greatest value. A batch
     replayed after a failure merges to the same rows. ``checkpoint`` must be on
     storage that outlives the driver; it also is the high-water mark of the run.
+    ``stage_batch`` writes a batch out first, for a ``shape`` that reads it often.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        store.upsert(table, shape(batch), key, newer_by=newer_by)
+        if not stage_batch:
+            store.upsert(table, shape(batch), key, newer_by=newer_by)
+            return
+        with store.staged(batch) as rows:
+            store.upsert(table, shape(rows), key, newer_by=newer_by)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

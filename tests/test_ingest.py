@@ -65,6 +65,14 @@ def test_backfill_can_continue_from_the_table(spark, config, filled):
     assert values(seeded) == FULL
 
 
+def test_a_failed_series_keeps_its_stored_values(spark, config, filled):
+    run_ingest(spark, LandingSource(filled.root), config(), "full", NOW)
+    filled.observations("euro", "2024-01", ("16/01/2024", "1"), ("2024-01-17", "2"))
+    again = run_ingest(spark, LandingSource(filled.root), config(strict=True), "backfill", NOW, backfill_days=5)
+    stored = {r["Fecha"].day: r["eurclp_obs"] for r in again.collect()}
+    assert stored == {15: None, 16: None, 17: 1002.0, 19: 1002.0}
+
+
 def test_nothing_in_the_window(spark, config, store, filled):
     assert run_ingest(spark, LandingSource(filled.root), config(), "incremental", datetime(2024, 3, 1)) is None
     assert not store.exists("raw_data")
@@ -89,7 +97,13 @@ def test_stream_of_landing_files_lets_later_corrections_win(spark, store, landin
 
     def run():
         upsert_stream(
-            stream_landing(spark, landing.root), store, "rates", "Fecha", progress, rate_rows(DEFAULT_SERIES, NOW)
+            stream_landing(spark, landing.root),
+            store,
+            "rates",
+            "Fecha",
+            progress,
+            rate_rows(DEFAULT_SERIES, NOW),
+            stage_batch=True,
         ).awaitTermination()
         return values(store.scan("rates"))
 
