@@ -39,7 +39,7 @@ def forward_fill(
     """
     columns = list(columns) if columns is not None else value_columns(df)
     keys = list(partition_by)
-    ranged = with_ranges(df, order_by, rows_per_range)
+    ranged = with_ranges(df, order_by, rows_per_range, distinct_order)
     latest = F.col(KEY) if distinct_order else F.struct(KEY, TIE)
     last_known = {
         c: F.max_by(quoted(c), F.when(quoted(c).isNotNull(), latest)) for c in columns

@@ -229,9 +229,15 @@ class TableStore:
         target = self._read(table, spark)
         keys = staged.filter(quoted(key).isNotNull()).select(quoted(key).alias("__key"))
         source_parts = _names(staged.select(_part_column(field, unit).alias(PARTITION))) if field in staged.columns else []
-        # Where the key decides the partition, no other partition can hold a match.
-        held = target.filter(F.col(PARTITION).isin(source_parts)) if key == field else target
-        pairs = _matching(held.select(quoted(key), PARTITION), key, keys.distinct()).distinct()
+        if key == field:
+            # The key decides the partition: no other one can hold a match, and
+            # every touched one gets rows again.
+            held = target.filter(F.col(PARTITION).isin(source_parts))
+            matched = _matching(held.select(quoted(key)), key, keys.distinct())
+            self._refuse_repeats(table, matched, key, keys)
+            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, source_parts, [])
+            return
+        pairs = _matching(target.select(quoted(key), PARTITION), key, keys.distinct()).distinct()
         # The one pass over the table's keys; at most one row per source key and partition.
         with self.staged(pairs) as matched:
             touched = _names(matched.select(PARTITION))
