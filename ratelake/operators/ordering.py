@@ -46,7 +46,8 @@ def with_ranges(
     ``distinct_order`` states that a series has no ties, which saves the hashing.
 
     Finding the cut points is one pass over the order column, run here; it brings
-    at most ``MAX_RANGES`` numbers to the driver.
+    at most ``MAX_RANGES`` numbers to the driver. ``df`` is read again by the query
+    itself, so write a costly or unrepeatable input out first.
     """
     key = order_number(quoted(order_by), df.schema[order_by].dataType)
     tie = F.lit(0).cast("bigint") if distinct_order else F.xxhash64(*[quoted(c) for c in df.columns])

@@ -39,14 +39,14 @@ def shared_folder(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``. Only a local session may go without:
     a machine-local folder would be lost with its machine on a cluster.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = "file:" + tempfile.mkdtemp(prefix="ratelake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir("file:" + tempfile.mkdtemp(prefix="ratelake-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def work_path(spark: SparkSession, label: str) -> str:
