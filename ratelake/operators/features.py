@@ -39,9 +39,7 @@ def lags(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``<column>_lag_<n>``: the value n rows (not calendar days) earlier."""
-    built = {
-        f"{c}_lag_{n}": (lambda w, c=c, n=n: F.lag(quoted(c), n).over(w)) for c in columns for n in steps
-    }
+    built = _lag_columns(columns, steps)
     return over_previous_rows(df, order_by, built, max(steps), partition_by, chunk_rows, rows_per_range)
 
 
@@ -58,7 +56,32 @@ def rolling(
 
     NULL until n values are there; the deviation is the sample one.
     """
+    built = _rolling_columns(columns, windows)
+    return over_previous_rows(df, order_by, built, max(windows) - 1, partition_by, chunk_rows, rows_per_range)
+
+
+def engineer(
+    df: DataFrame,
+    columns: Sequence[str] = FEATURE_COLUMNS,
+    steps: Sequence[int] = LAGS,
+    windows: Sequence[int] = WINDOWS,
+    order_by: str = DATE_COLUMN,
+    partition_by: Sequence[str] = (),
+    chunk_rows: int = 100_000,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Date parts, lags and rolling statistics; the rows are ordered once for all of them."""
+    built = _lag_columns(columns, steps) | _rolling_columns(columns, windows)
+    reach = max(*steps, *(n - 1 for n in windows))
+    looked = over_previous_rows(df, order_by, built, reach, partition_by, chunk_rows, rows_per_range)
+    return date_parts(looked, order_by)
 
+
+def _lag_columns(columns: Sequence[str], steps: Sequence[int]) -> dict:
+    return {f"{c}_lag_{n}": (lambda w, c=c, n=n: F.lag(quoted(c), n).over(w)) for c in columns for n in steps}
+
+
+def _rolling_columns(columns: Sequence[str], windows: Sequence[int]) -> dict:
     def full(aggregate, column: str, n: int):
         def build(window) -> Column:
             frame = window.rowsBetween(-(n - 1), 0)
@@ -71,7 +94,7 @@ def rolling(
         for n in windows:
             built[f"{c}_roll_mean_{n}"] = full(F.avg, c, n)
             built[f"{c}_roll_std_{n}"] = full(F.stddev_samp, c, n)
-    return over_previous_rows(df, order_by, built, max(windows) - 1, partition_by, chunk_rows, rows_per_range)
+    return built
 
 
 def scale(df: DataFrame, columns: Sequence[str], method: str = "standard") -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelake.functions.parsing import is_floating, nan_to_null
 from ratelake.model import quoted
 from ratelake.operators.quantiles import exact_quantiles, modes
 
@@ -21,17 +22,22 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
-def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Which columns need filling: one scan for all of them."""
-    if not columns:
-        return []
-    found = df.agg(*[F.count_if(quoted(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    return [c for i, c in enumerate(columns) if found[i]]
+def present_counts(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int]]:
+    """Rows, and values per column (NaN is missing): one scan for all of them."""
+    counted = df.agg(
+        F.count("*").alias("rows"), *[F.count(_value(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]
+    ).first()
+    return counted["rows"], {c: counted[f"c{i}"] for i, c in enumerate(columns)}
+
+
+def _value(df: DataFrame, column: str) -> Column:
+    value = quoted(column)
+    return nan_to_null(value) if is_floating(df.schema[column].dataType) else value
 
 
 def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     filled = {
-        c: F.coalesce(quoted(c), F.lit(v).cast(_fill_type(df.schema[c].dataType)))
+        c: F.coalesce(_value(df, c), F.lit(v).cast(_fill_type(df.schema[c].dataType)))
         for c, v in values.items()
         if v is not None
     }
@@ -50,18 +56,19 @@ def impute_median_mode(df: DataFrame) -> DataFrame:
     no value at all stays NULL.
     """
     numeric, text = numeric_columns(df), text_columns(df)
-    gaps = set(columns_with_nulls(df, numeric + text))
-    medians = exact_quantiles(df, {c: [0.5] for c in numeric if c in gaps}) if gaps & set(numeric) else {}
-    values: dict[str, Any] = {c: q[0] for c, q in medians.items()}
-    wanted = [c for c in text if c in gaps]
-    if wanted:
+    rows, present = present_counts(df, numeric + text)
+    gaps = {c for c, n in present.items() if n < rows}
+    wanted = {c: [0.5] for c in numeric if c in gaps}
+    values: dict[str, Any] = {c: q[0] for c, q in exact_quantiles(df, wanted, counts=present).items()}
+    texts = [c for c in text if c in gaps]
+    if texts:
         # One row per column: bounded by the width of the schema.
-        values |= {r["column"]: r["mode"] for r in modes(df, wanted).collect()}
+        values |= {r["column"]: r["mode"] for r in modes(df, texts).collect()}
     return fill_values(df, values)
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The column mean, as one scalar subquery over all columns."""
     columns = list(columns) if columns is not None else numeric_columns(df)
-    means = df.select(F.struct(*[F.avg(quoted(c)).alias(c) for c in columns])).scalar()
-    return df.withColumns({c: F.coalesce(quoted(c), means.getField(c)) for c in columns})
+    means = df.select(F.struct(*[F.avg(_value(df, c)).alias(c) for c in columns])).scalar()
+    return df.withColumns({c: F.coalesce(_value(df, c), means.getField(c)) for c in columns})

@@ -41,18 +41,23 @@ def exact_quantiles(
     wanted: Mapping[str, Sequence[float]],
     exact_rows: int = EXACT_ROWS,
     accuracy: int = ACCURACY,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per numeric column; NULL and NaN are ignored.
 
     Returns plain numbers (one per requested quantile). A column without values
-    gives None.
+    gives None. ``counts`` gives the number of values per column where known.
     """
     columns = list(wanted)
+    if not columns:
+        return {}
     clean = df.select([_number(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    counts = clean.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(columns))]).first()
+    if counts is None:
+        found = clean.agg(*[F.count(f"c{i}").alias(c) for i, c in enumerate(columns)]).first()
+        counts = found.asDict()
     targets: list[_Target] = []
     for i, c in enumerate(columns):
-        n = counts[f"c{i}"]
+        n = counts[c]
         targets += [_Target(f"c{i}", p, inside=n, rank=p * (n - 1)) for p in wanted[c]]
     pending = [t for t in targets if t.inside > exact_rows]
     while pending:

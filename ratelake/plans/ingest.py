@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -11,11 +11,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.functions.parsing import is_coerced
-from ratelake.model import DATE_COLUMN, DEFAULT_DATA_SOURCE, VALUE_FIELD, SeriesSpec, catalogue, quoted, value_columns
+from ratelake.model import (
+    DATE_COLUMN,
+    DEFAULT_DATA_SOURCE,
+    TIMESTAMP_COLUMN,
+    VALUE_FIELD,
+    SeriesSpec,
+    catalogue,
+    quoted,
+    value_columns,
+)
 from ratelake.plans.prepare import prepare
 from ratelake.sinks.store import TableStore
-from ratelake.sources.observations import SeriesSource
-from ratelake.sources.series import merge_range, range_observations
+from ratelake.sources.observations import SeriesSource, quarantine
+from ratelake.sources.series import merge_range, range_observations, usable
 
 # Modes and their windows.
 MODES = ("incremental", "backfill", "full")
@@ -26,7 +35,11 @@ SAMPLE_ROWS = 5
 
 @dataclass(frozen=True)
 class IngestConfig:
-    """What to load and where. Without ``merge_key`` rows are appended."""
+    """What to load and where.
+
+    Without ``merge_key`` rows are appended. Without ``data_source`` rows carry the
+    class name of their source. ``quarantine_table`` keeps the defective records.
+    """
 
     database: str = "data_ingestion"
     table: str = "raw_data"
@@ -40,7 +53,8 @@ class IngestConfig:
     strict: bool = False
     seed_from_table: bool = False
     align_days: bool = False
-    data_source: str = DEFAULT_DATA_SOURCE
+    data_source: str | None = DEFAULT_DATA_SOURCE
+    quarantine_table: str | None = None
     metadata: Mapping[str, object] = field(default_factory=dict)
 
     def specs(self) -> list[SeriesSpec]:
@@ -80,11 +94,14 @@ def run_ingest(
     mode: str,
     now: datetime,
     backfill_days: int = DEFAULT_BACKFILL_DAYS,
+    preparation: Callable[..., DataFrame] = prepare,
 ) -> DataFrame | None:
     """Read, merge, prepare and load one window; returns the table, lazily.
 
-    None means that the window held no observations, in which case nothing is
-    created or written. Re-running a window changes nothing but the stamp.
+    None means that the window held no observations, in which case the rate table
+    is neither created nor changed. Re-running a window changes nothing there but
+    the stamp.
+    ``preparation`` may replace :func:`prepare`; it gets the same arguments.
     """
     start, end = mode_window(mode, now, backfill_days)
     specs = config.specs()
@@ -98,17 +115,20 @@ def run_ingest(
 
         # Written once: parsing the landing files must not be repeated, and the
         # fill below looks at the merged rows several times.
-        seen = stage(range_observations(spark, source, specs, start, end, config.strict))
+        read = stage(range_observations(spark, source, specs, start, end))
+        if config.quarantine_table:
+            keep_defective(store, config.quarantine_table, read, now)
+        seen = usable(read, start, end, config.strict)
         wide = stage(merge_range(seen, specs, start, end, config.align_days, stage=lambda rows: rows))
         if wide.isEmpty():
             return None
         seed = None
         if config.seed_from_table and store.exists(config.table):
             seed = last_values(store.scan(config.table, end=start.date() - timedelta(days=1)), specs)
-        ready = prepare(
+        ready = preparation(
             wide,
             now,
-            config.data_source,
+            config.data_source or type(source).__name__,
             config.metadata,
             config.number_format,
             seed=seed,
@@ -119,6 +139,13 @@ def run_ingest(
     return store.scan(config.table)
 
 
+def keep_defective(store: TableStore, table: str, observations: DataFrame, now: datetime) -> None:
+    """Append the defective records, with the time of the run, for someone to look at."""
+    bad = quarantine(observations).drop("seq").withColumn(TIMESTAMP_COLUMN, F.lit(now).cast("timestamp"))
+    store.ensure_table(table, bad.schema, TIMESTAMP_COLUMN, description="Defective observations")
+    store.append(table, bad)
+
+
 def load(
     store: TableStore, config: IngestConfig, mode: str, ready: DataFrame, failed: Sequence[str] = ()
 ) -> None:

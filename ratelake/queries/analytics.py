@@ -61,6 +61,19 @@ def feat_rolling(spark, sf_dir):
     return _rounded(features.rolling(rates, PAIR, chunk_rows=500, rows_per_range=400).drop(*PAIR))
 
 
+@query(
+    f"""WITH {WIDE} SELECT "Fecha", urgent_obs, CAST(year("Fecha") AS INTEGER) AS year,
+    CAST(month("Fecha") AS INTEGER) AS month, CAST(day("Fecha") AS INTEGER) AS day,
+    CAST(isodow("Fecha") - 1 AS INTEGER) AS dayofweek, lag(urgent_obs, 1) OVER (ORDER BY "Fecha") AS urgent_obs_lag_1,
+    {_rolling_sql('urgent_obs', 7)} FROM wide"""
+)
+def feat_engineer(spark, sf_dir):
+    """All features in one pass over the ordered rows."""
+    rates = wide(spark, sf_dir).select(DATE_COLUMN, "urgent_obs")
+    made = features.engineer(rates, ["urgent_obs"], [1], [7], chunk_rows=500, rows_per_range=400)
+    return _rounded(made, "urgent_obs_roll_mean_7", "urgent_obs_roll_std_7")
+
+
 @query(
     """SELECT event_id, user_id, lag(value, 1) OVER w AS value_lag_1, lag(value, 7) OVER w AS value_lag_7
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)"""

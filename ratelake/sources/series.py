@@ -102,24 +102,25 @@ def read_range(
     merged month by month, and of two months that report the same date the
     earlier one wins with its whole row.
     """
-    good = range_observations(spark, source, specs, start, end, strict)
+    seen = range_observations(spark, source, specs, start, end)
+    # Strictness looks at the observations twice.
+    good = usable(stage(seen) if strict else seen, start, end, strict)
     return merge_range(good, specs, start, end, align_days, stage)
 
 
 def range_observations(
-    spark: SparkSession,
-    source: SeriesSource,
-    specs: Sequence[SeriesSpec],
-    start: datetime,
-    end: datetime,
-    strict: bool = False,
+    spark: SparkSession, source: SeriesSource, specs: Sequence[SeriesSpec], start: datetime, end: datetime
 ) -> DataFrame:
-    """The usable observations of the months that a range needs, not yet cut to it."""
+    """The observations of the months that a range needs, not yet cut to it."""
     bulk = is_bulk(start, end)
     # A payload may run on past its own month, so a bulk read starts at the first.
     lower = None if bulk and not getattr(source, "exact_months", False) else f"{start:%Y-%m}"
-    seen = source.observations(spark, specs, (lower, f"{end:%Y-%m}"))
-    return accepted(seen, strict, ("series",) if bulk else ("series", "month"))
+    return source.observations(spark, specs, (lower, f"{end:%Y-%m}"))
+
+
+def usable(observations: DataFrame, start: datetime, end: datetime, strict: bool = False) -> DataFrame:
+    """Without defects; ``strict`` fails a whole series, or one month of it in a short range."""
+    return accepted(observations, strict, ("series",) if is_bulk(start, end) else ("series", "month"))
 
 
 def merge_range(

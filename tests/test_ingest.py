@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from ratelake.model import DEFAULT_SERIES, RATE_SCHEMA
 from ratelake.plans.ingest import IngestConfig, ingest_metrics, run_ingest, sample
+from ratelake.plans.prepare import prepare
 from ratelake.session import work_path
 from ratelake.sources.observations import FrameSource, LandingSource
 from ratelake.streaming.ingest import latest_per_key, rate_rows, stream_landing, upsert_stream
@@ -79,6 +80,24 @@ def test_nothing_in_the_window(spark, config, store, filled):
     assert run_ingest(spark, LandingSource(filled.root), config(series=("nope",)), "full", NOW) is None
 
 
+def test_defective_records_can_be_kept(spark, config, store, landing, rows):
+    landing.observations("dolar", "2024-01", ("2024-01-15", "900"), ("15.01.2024", "901"))
+    landing.add("euro", "2024-01", "<R><Obs><Fecha>2024-")
+    run_ingest(spark, LandingSource(landing.root), config(quarantine_table="bad", data_source=None), "full", NOW)
+    assert rows(store.scan("bad"), "series", "Fecha", "defect") == sorted(
+        [("dolar", "15.01.2024", "bad date"), ("euro", None, "malformed XML")], key=repr
+    )
+    assert {r["data_source"] for r in store.scan("raw_data").collect()} == {"LandingSource"}
+
+
+def test_preparation_can_be_replaced(spark, config, filled):
+    def stamped_only(wide, now, source, metadata, number_format, seed=None):
+        return prepare(wide, now, source, {"custom": 1}, number_format, seed)
+
+    result = run_ingest(spark, LandingSource(filled.root), config(), "full", NOW, preparation=stamped_only)
+    assert {r["custom"] for r in result.collect()} == {1}
+
+
 def test_any_source_with_the_long_shape_will_do(spark, config, store):
     frame = spark.createDataFrame(
         [("dolar", "2024-01", "f", 0, "2024-01-19", "1", None), ("other", "2024-01", "f", 0, "2024-01-19", "1", None)],
