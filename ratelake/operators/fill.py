@@ -39,20 +39,18 @@ def forward_fill(
     """
     columns = list(columns) if columns is not None else value_columns(df)
     keys = list(partition_by)
-    ranged = with_ranges(df, order_by, rows_per_range, distinct_order)
-    latest = F.col(KEY) if distinct_order else F.struct(KEY, TIE)
-    last_known = {
-        c: F.max_by(quoted(c), F.when(quoted(c).isNotNull(), latest)) for c in columns
-    }
-    per_range = ranged.groupBy(*keys, RANGE).agg(*[v.alias(c) for c, v in last_known.items()])
-    carried = per_range.select(
-        *keys,
-        RANGE,
-        *[F.last(quoted(c), ignorenulls=True).over(preceding_ranges(keys)).alias(c) for c in columns],
-    )
-    rows = ranged.withColumn(LEAD_IN, F.lit(False)).unionByName(
-        carried.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True
-    )
+    ranged, several = with_ranges(df, order_by, rows_per_range, distinct_order, keys)
+    rows = ranged.withColumn(LEAD_IN, F.lit(False))
+    if several:
+        latest = F.col(KEY) if distinct_order else F.struct(KEY, TIE)
+        last_known = {c: F.max_by(quoted(c), F.when(quoted(c).isNotNull(), latest)) for c in columns}
+        per_range = ranged.filter(F.col(RANGE) > 0).groupBy(*keys, RANGE).agg(*[v.alias(c) for c, v in last_known.items()])
+        carried = per_range.select(
+            *keys,
+            RANGE,
+            *[F.last(quoted(c), ignorenulls=True).over(preceding_ranges(keys)).alias(c) for c in columns],
+        )
+        rows = rows.unionByName(carried.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True)
     so_far = range_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = rows.withColumns({c: F.last(quoted(c), ignorenulls=True).over(so_far) for c in columns})
     result = filled.filter(~F.col(LEAD_IN)).select(*[quoted(c) for c in df.columns])

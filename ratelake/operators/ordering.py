@@ -26,6 +26,8 @@ LEAD_IN = "__lead_in"
 # Upper bound on ranges. It bounds the one-row-per-range tables that are scanned
 # in a single task, and the cut points kept on the driver.
 MAX_RANGES = 4096
+# More long series than this are not listed one by one.
+MAX_LONG = 1000
 # A range of this many rows is comfortable for one task.
 ROWS_PER_RANGE = 1_000_000
 # Enough observations per range to place its cut points well.
@@ -33,10 +35,17 @@ SAMPLED_PER_RANGE = 1_000
 
 
 def with_ranges(
-    df: DataFrame, order_by: str, rows_per_range: int = ROWS_PER_RANGE, distinct_order: bool = False
-) -> DataFrame:
+    df: DataFrame,
+    order_by: str,
+    rows_per_range: int = ROWS_PER_RANGE,
+    distinct_order: bool = False,
+    partition_by: Sequence[str] = (),
+) -> tuple[DataFrame, bool]:
     """Add the sort number, a tie breaker and the range each row falls in.
 
+    The second result tells whether anything is cut: an input, or a series, of at
+    most ``rows_per_range`` rows stays whole, as range 0. Cut ranges count from 1.
+
     Cut points are approximate quantiles of the order column, so ranges follow
     the data: a busy day is cut finely, a quiet year stays whole. A value that
     holds a large share of the rows appears as several equal cut points; its rows
@@ -45,16 +54,21 @@ def with_ranges(
     are, so the approximation affects balance only, never results.
     ``distinct_order`` states that a series has no ties, which saves the hashing.
 
-    Finding the cut points is one pass over the order column, run here; it brings
-    at most ``MAX_RANGES`` numbers to the driver. ``df`` is read again by the query
+    Finding the cut points is one pass over the order column, run here, after one
+    that finds the long series; they bring at most ``MAX_RANGES`` numbers and
+    ``MAX_LONG`` names (as hashes) to the driver. ``df`` is read again by the query
     itself, so write a costly or unrepeatable input out first.
     """
     key = order_number(quoted(order_by), df.schema[order_by].dataType)
     tie = F.lit(0).cast("bigint") if distinct_order else F.xxhash64(*[quoted(c) for c in df.columns])
     keyed = df.withColumns({KEY: key, TIE: tie})
-    cuts = _cut_points(df.select(key.alias(KEY)), rows_per_range)
+    whole = keyed.withColumn(RANGE, F.lit(0).cast("bigint"))
+    long_rows = _in_long_series(df, partition_by, rows_per_range)
+    if long_rows is None:
+        return whole, False
+    cuts = _cut_points(df.filter(long_rows).select(key.alias(KEY)), rows_per_range)
     if not cuts:
-        return keyed.withColumn(RANGE, F.lit(0).cast("bigint"))
+        return whole, False
     kind = "double" if isinstance(cuts[0], float) else "bigint"
     # A search ends at the first of several equal cut points.
     times = Counter(cuts)
@@ -64,14 +78,34 @@ def with_ranges(
     same = F.when(hit, F.get(_numbers(repeats, "bigint"), F.col("__below"))).otherwise(F.lit(0).cast("bigint"))
     ranged = ranged.withColumn("__same", same)
     spread = F.when(F.col("__same") > 1, F.pmod(F.col(TIE), F.col("__same"))).otherwise(F.lit(0).cast("bigint"))
-    return (
+    ranged = (
         ranged.withColumn("__spread", spread)
         .withColumn(
             RANGE,
-            (F.col("__below") * 2 + F.col("__same")).cast("bigint") * F.lit(MAX_RANGES) + F.col("__spread"),
+            F.when(
+                long_rows,
+                (F.col("__below") * 2 + F.col("__same")).cast("bigint") * F.lit(MAX_RANGES) + F.col("__spread") + 1,
+            ).otherwise(F.lit(0).cast("bigint")),
         )
         .drop("__below", "__same", "__spread")
     )
+    return ranged, True
+
+
+def _in_long_series(df: DataFrame, partition_by: Sequence[str], rows_per_range: int) -> Column | None:
+    """Which rows belong to a series that is too long for one task; None if there is none.
+
+    Ordinary series need no cutting. Series are told apart by hash: a collision
+    only cuts a short series as well. With very many long series all are cut.
+    """
+    if not partition_by:
+        return F.lit(True)
+    series = F.xxhash64(*[quoted(c) for c in partition_by])
+    sizes = df.groupBy(series.alias("series")).count().filter(F.col("count") > rows_per_range)
+    found = [r["series"] for r in sizes.select("series").limit(MAX_LONG + 1).collect()]
+    if len(found) > MAX_LONG:
+        return F.lit(True)
+    return series.isin(found) if found else None
 
 
 def _cut_points(keys: DataFrame, rows_per_range: int) -> list:
@@ -140,14 +174,15 @@ def row_numbers(
 ) -> DataFrame:
     """Dense row numbers from 1, over all rows or per series, range by range."""
     keys = list(partition_by)
-    ranged = with_ranges(df, order_by, rows_per_range)
-    sizes = ranged.groupBy(*keys, RANGE).agg(F.count("*").alias("__rows"))
-    offsets = sizes.select(
-        *keys, RANGE, F.coalesce(F.sum("__rows").over(preceding_ranges(keys)), F.lit(0)).alias("__step")
-    )
-    rows = ranged.withColumns({LEAD_IN: F.lit(False), "__step": F.lit(1).cast("bigint")}).unionByName(
-        offsets.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True
-    )
+    ranged, several = with_ranges(df, order_by, rows_per_range, partition_by=keys)
+    rows = ranged.withColumns({LEAD_IN: F.lit(False), "__step": F.lit(1).cast("bigint")})
+    if several:
+        cut = ranged.filter(F.col(RANGE) > 0)
+        sizes = cut.groupBy(*keys, RANGE).agg(F.count("*").alias("__rows"))
+        offsets = sizes.select(
+            *keys, RANGE, F.coalesce(F.sum("__rows").over(preceding_ranges(keys)), F.lit(0)).alias("__step")
+        )
+        rows = rows.unionByName(offsets.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True)
     running = range_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rows.withColumn(name, F.sum("__step").over(running))

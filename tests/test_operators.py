@@ -89,7 +89,7 @@ def _random_series(spark, n=2000, hot=0.35, seed=3):
     return spark.createDataFrame(data, "id int, name string, day date, v double")
 
 
-@pytest.mark.parametrize("rows_per_range", [10, 300, 10_000])
+@pytest.mark.parametrize("rows_per_range", [10, 300, 700, 10_000])
 def test_ranges_give_one_dense_order(spark, rows_per_range):
     df = _random_series(spark)
     got = row_numbers(df, "day", rows_per_range=rows_per_range).orderBy("row_number").collect()
@@ -100,13 +100,21 @@ def test_ranges_give_one_dense_order(spark, rows_per_range):
     assert all(r["n"] == r["m"] == r["d"] for r in check.collect())
 
 
+def test_only_long_series_are_cut(spark):
+    df = _random_series(spark)
+    ranged, several = with_ranges(df, "day", 700, partition_by=["name"])
+    cut = {r["name"]: r["n"] for r in ranged.groupBy("name").agg(F.countDistinct(RANGE).alias("n")).collect()}
+    assert several and cut.pop("hot") > 1 and set(cut.values()) == {1}
+    assert with_ranges(df, "day", 5000, partition_by=["name"])[1] is False
+
+
 def test_a_hot_value_is_spread_over_several_ranges(spark):
     df = _random_series(spark)
-    sizes = [r["count"] for r in with_ranges(df, "day", 150).groupBy(RANGE).count().collect()]
+    sizes = [r["count"] for r in with_ranges(df, "day", 150)[0].groupBy(RANGE).count().collect()]
     assert sum(sizes) == 2000 and max(sizes) < 400
 
 
-@pytest.mark.parametrize("rows_per_range", [15, 10_000])
+@pytest.mark.parametrize("rows_per_range", [15, 200, 700, 10_000])
 def test_fill_by_ranges_equals_one_window(spark, rows, rows_per_range):
     df = _random_series(spark).withColumn("ts", F.timestamp_micros(F.col("id") * F.lit(977) % 2003 * 1000000))
     window = Window.partitionBy("name").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
