@@ -39,12 +39,12 @@ def forward_fill(
     """
     columns = list(columns) if columns is not None else value_columns(df)
     keys = list(partition_by)
-    ranged, several = with_ranges(df, order_by, rows_per_range, distinct_order, keys)
+    ranged, cut_rows = with_ranges(df, order_by, rows_per_range, distinct_order, keys)
     rows = ranged.withColumn(LEAD_IN, F.lit(False))
-    if several:
+    if cut_rows is not None:
         latest = F.col(KEY) if distinct_order else F.struct(KEY, TIE)
         last_known = {c: F.max_by(quoted(c), F.when(quoted(c).isNotNull(), latest)) for c in columns}
-        per_range = ranged.filter(F.col(RANGE) > 0).groupBy(*keys, RANGE).agg(*[v.alias(c) for c, v in last_known.items()])
+        per_range = ranged.filter(cut_rows).groupBy(*keys, RANGE).agg(*[v.alias(c) for c, v in last_known.items()])
         carried = per_range.select(
             *keys,
             RANGE,

@@ -40,11 +40,12 @@ def with_ranges(
     rows_per_range: int = ROWS_PER_RANGE,
     distinct_order: bool = False,
     partition_by: Sequence[str] = (),
-) -> tuple[DataFrame, bool]:
+) -> tuple[DataFrame, Column | None]:
     """Add the sort number, a tie breaker and the range each row falls in.
 
-    The second result tells whether anything is cut: an input, or a series, of at
-    most ``rows_per_range`` rows stays whole, as range 0. Cut ranges count from 1.
+    The second result is true for rows that are cut, or None if nothing is: an
+    input, or a series, of at most ``rows_per_range`` rows stays whole, as range 0.
+    Select by it rather than by the range, whose computation a filter would copy.
 
     Cut points are approximate quantiles of the order column, so ranges follow
     the data: a busy day is cut finely, a quiet year stays whole. A value that
@@ -65,10 +66,10 @@ def with_ranges(
     whole = keyed.withColumn(RANGE, F.lit(0).cast("bigint"))
     long_rows = _in_long_series(df, partition_by, rows_per_range)
     if long_rows is None:
-        return whole, False
+        return whole, None
     cuts = _cut_points(df.filter(long_rows).select(key.alias(KEY)), rows_per_range)
     if not cuts:
-        return whole, False
+        return whole, None
     kind = "double" if isinstance(cuts[0], float) else "bigint"
     # A search ends at the first of several equal cut points.
     times = Counter(cuts)
@@ -89,7 +90,7 @@ def with_ranges(
         )
         .drop("__below", "__same", "__spread")
     )
-    return ranged, True
+    return ranged, long_rows
 
 
 def _in_long_series(df: DataFrame, partition_by: Sequence[str], rows_per_range: int) -> Column | None:
@@ -174,11 +175,10 @@ def row_numbers(
 ) -> DataFrame:
     """Dense row numbers from 1, over all rows or per series, range by range."""
     keys = list(partition_by)
-    ranged, several = with_ranges(df, order_by, rows_per_range, partition_by=keys)
+    ranged, cut_rows = with_ranges(df, order_by, rows_per_range, partition_by=keys)
     rows = ranged.withColumns({LEAD_IN: F.lit(False), "__step": F.lit(1).cast("bigint")})
-    if several:
-        cut = ranged.filter(F.col(RANGE) > 0)
-        sizes = cut.groupBy(*keys, RANGE).agg(F.count("*").alias("__rows"))
+    if cut_rows is not None:
+        sizes = ranged.filter(cut_rows).groupBy(*keys, RANGE).agg(F.count("*").alias("__rows"))
         offsets = sizes.select(
             *keys, RANGE, F.coalesce(F.sum("__rows").over(preceding_ranges(keys)), F.lit(0)).alias("__step")
         )

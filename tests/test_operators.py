@@ -102,10 +102,10 @@ def test_ranges_give_one_dense_order(spark, rows_per_range):
 
 def test_only_long_series_are_cut(spark):
     df = _random_series(spark)
-    ranged, several = with_ranges(df, "day", 700, partition_by=["name"])
+    ranged, cut_rows = with_ranges(df, "day", 700, partition_by=["name"])
     cut = {r["name"]: r["n"] for r in ranged.groupBy("name").agg(F.countDistinct(RANGE).alias("n")).collect()}
-    assert several and cut.pop("hot") > 1 and set(cut.values()) == {1}
-    assert with_ranges(df, "day", 5000, partition_by=["name"])[1] is False
+    assert cut_rows is not None and cut.pop("hot") > 1 and set(cut.values()) == {1}
+    assert with_ranges(df, "day", 5000, partition_by=["name"])[1] is None
 
 
 def test_a_hot_value_is_spread_over_several_ranges(spark):

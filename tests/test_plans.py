@@ -40,6 +40,13 @@ def test_fill_windows_are_cut_into_ranges(rates):
     assert "unused" not in text
 
 
+def test_filters_do_not_copy_the_range_search(rates):
+    keyed = rates.withColumn("k", F.when(F.col("Fecha") < date(2006, 1, 1), F.lit("long")).otherwise(F.lit("short")))
+    text = plan(forward_fill(keyed.select("k", "Fecha", "a"), partition_by=["k"], rows_per_range=1000))
+    assert "__below" in text
+    assert not [line for line in text.splitlines() if "Filter" in line and "CASE WHEN ([" in line]
+
+
 def test_small_inputs_are_one_range(rates):
     text = plan(forward_fill(rates.select("Fecha", "a"), distinct_order=True))
     assert "__below" not in text
