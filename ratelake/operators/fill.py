@@ -37,8 +37,9 @@ def forward_fill(
     before the first row. ``distinct_order`` states that no two rows of a series
     share an order value, which lets the per-range step aggregate by hash.
     """
-    columns = list(columns) if columns is not None else value_columns(df)
     keys = list(partition_by)
+    if columns is None:
+        columns = [c for c in value_columns(df) if c != order_by and c not in keys]
     ranged, cut_rows = with_ranges(df, order_by, rows_per_range, distinct_order, keys)
     rows = ranged.withColumn(LEAD_IN, F.lit(False))
     if cut_rows is not None:
