@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelake.model import DATE_COLUMN, RATE_SCHEMA, SOURCE_COLUMN, TIMESTAMP_COLUMN, conform, quoted, require_values
+from ratelake.model import DATE_COLUMN, RATE_SCHEMA, TIMESTAMP_COLUMN, conform, quoted, require_values
 from ratelake.operators.filters import equals_all
 from ratelake.session import SPREAD_FILES, settings
 
