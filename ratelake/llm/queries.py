@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import mixing, oracles, quality
+from ratelake.llm import minhash, mixing, nearest, oracles, packing, quality, sharding, surrogates, templates
 from ratelake.queries.registry import table
 
 QUERIES = {}
 ORACLES = {}
 
 
+def packing_tokenizer() -> str:
+    """The vocabulary file that the packing query is defined by."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(sql: str | None = None):
     def add(build):
         QUERIES[build.__name__] = build
@@ -38,3 +45,47 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     chosen = mixing.choose(docs)
     return chosen.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.copies", "mix.taken")
+
+
+@query()
+def op4_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their place in the sequences."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing_tokenizer())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for its personal data."""
+    made = surrogates.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.array_join(F.sort_array(F.transform("entities", lambda e: e["kind"])), ",")
+    return made.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), kinds.alias("kinds"))
+
+
+@query()
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document, and whether it stands for it."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    texts = templates.extract(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op2_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document under the law of equal rows."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query()
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
