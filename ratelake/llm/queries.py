@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import minhash, mixing, nearest, oracles, packing, quality, sharding, surrogates, templates
+from ratelake.llm import licenses, minhash, mixing, nearest, oracles, packing, quality, sharding, suffix_dedup, surrogates, templates
 from ratelake.queries.registry import table
 
 QUERIES = {}
@@ -89,3 +89,15 @@ def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     vectors = table(spark, sf_dir, "embeddings")
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query()
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the removal of repeated strings leaves of every document."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
