@@ -30,21 +30,12 @@ def month_text(day: Column) -> Column:
     return F.date_format(day, "MM")
 
 
-def month_key(day: Column) -> Column:
-    """``yyyy-MM``: the name of a month partition."""
-    return F.date_format(day, "yyyy-MM")
-
-
 def whole_days(start: Column, end: Column) -> Column:
     """Elapsed 24-hour periods, rounded down, between two timestamps or dates."""
     seconds = F.unix_timestamp(end.cast("timestamp")) - F.unix_timestamp(start.cast("timestamp"))
     return F.floor(seconds / F.lit(86400)).cast("int")
 
 
-def days_before(moment: Column, days: int) -> Column:
-    return moment - F.make_dt_interval(F.lit(days))
-
-
 def hour_start(moment: Column) -> Column:
     """Start of the hour, without a zone."""
     return F.date_trunc("hour", moment).cast("timestamp_ntz")
@@ -55,7 +46,10 @@ def whole_days_between(start: datetime, end: datetime) -> int:
 
 
 def order_number(column: Column, data_type: T.DataType) -> Column:
-    """A number that sorts as the column does, NULLs last."""
+    """A number that sorts as the column does, NULLs last.
+
+    Decimals beyond a double's precision and texts that begin alike get equal numbers.
+    """
     if isinstance(data_type, T.DateType):
         number = F.unix_date(column).cast("bigint")
     elif isinstance(data_type, T.TimestampType):
@@ -73,6 +67,9 @@ def order_number(column: Column, data_type: T.DataType) -> Column:
         number = column.cast("bigint")
     elif isinstance(data_type, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.coalesce(column.cast("double"), F.lit(float("inf")))
+    elif isinstance(data_type, T.StringType):
+        # The first seven bytes, as one number.
+        number = F.conv(F.rpad(F.hex(F.substring(column.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
     else:
         raise TypeError(f"cannot order by {data_type.simpleString()}")
     return F.coalesce(number, F.lit(9223372036854775807))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelake.model import quoted
+
 # The accepted spellings.
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
 MISSING_DATE_TEXTS = ("", "NaT", "nat", "NAT", "nan", "NaN", "NAN")
@@ -62,3 +64,14 @@ def is_floating(data_type: T.DataType) -> bool:
 def nan_to_null(value: Column) -> Column:
     """NaN means "missing" here; one spelling of it is enough."""
     return F.when(~F.isnan(value), value)
+
+
+def observed(value: Column) -> Column:
+    """A number of any type, NULL where it is NaN."""
+    return F.when(~F.isnan(value.cast("double")), value)
+
+
+def observed_in(df: DataFrame, column: str) -> Column:
+    """The column, NULL where it is NaN; other types than floating ones pass as they are."""
+    value = quoted(column)
+    return nan_to_null(value) if is_floating(df.schema[column].dataType) else value

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelake.functions.parsing import observed, observed_in
 from ratelake.model import quoted
 from ratelake.operators.quantiles import exact_quantiles
 from ratelake.operators.quality import OUTLIER_THRESHOLD, iqr_fences, outside
@@ -22,9 +23,10 @@ SMALLEST_SHARE = 1e-4
 
 def population_stability(baseline: DataFrame, current: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """One row ``(column_name, psi)``; all counting is one grouped aggregation."""
-    edges = exact_quantiles(baseline, {column: [i / bins for i in range(1, bins)]})[column]
-    both = baseline.select(quoted(column).alias("v"), F.lit(1).alias("b"), F.lit(0).alias("c")).unionAll(
-        current.select(quoted(column).alias("v"), F.lit(0).alias("b"), F.lit(1).alias("c"))
+    known = baseline.select(observed_in(baseline, column).alias(column))
+    edges = exact_quantiles(known, {column: [i / bins for i in range(1, bins)]})[column]
+    both = known.select(quoted(column).alias("v"), F.lit(1).alias("b"), F.lit(0).alias("c")).unionAll(
+        current.select(observed_in(current, column).alias("v"), F.lit(0).alias("b"), F.lit(1).alias("c"))
     )
     bin_counts = (
         both.filter(F.col("v").isNotNull())
@@ -73,7 +75,7 @@ def outlier_share(
     """Share of new values beyond the baseline's fences, per column."""
     fences = iqr_fences(baseline, columns, threshold)
     counted = current.agg(
-        *[(F.count_if(outside(c, fences[c])) / F.count(quoted(c))).alias(c) for c in columns]
+        *[(F.count_if(outside(c, fences[c])) / F.count(observed(quoted(c)))).alias(c) for c in columns]
     )
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), quoted(c).alias("outlier_share")) for c in columns])
     return counted.select(F.inline(rows))

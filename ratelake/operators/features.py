@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelake.functions.parsing import observed, observed_in
 from ratelake.model import DATE_COLUMN, quoted
 from ratelake.operators.ordering import ROWS_PER_RANGE, over_previous_rows
 from ratelake.operators.quantiles import exact_quantiles
@@ -33,7 +34,7 @@ def lags(
     df: DataFrame,
     columns: Sequence[str] = FEATURE_COLUMNS,
     steps: Sequence[int] = LAGS,
-    order_by: str = DATE_COLUMN,
+    order_by: str | Sequence[str] = DATE_COLUMN,
     partition_by: Sequence[str] = (),
     chunk_rows: int = 100_000,
     rows_per_range: int = ROWS_PER_RANGE,
@@ -47,14 +48,14 @@ def rolling(
     df: DataFrame,
     columns: Sequence[str] = FEATURE_COLUMNS,
     windows: Sequence[int] = WINDOWS,
-    order_by: str = DATE_COLUMN,
+    order_by: str | Sequence[str] = DATE_COLUMN,
     partition_by: Sequence[str] = (),
     chunk_rows: int = 100_000,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``<column>_roll_mean_<n>`` and ``_roll_std_<n>`` over the last n rows.
 
-    NULL until n values are there; the deviation is the sample one.
+    NULL until n values are there, NaN being none; the deviation is the sample one.
     """
     built = _rolling_columns(columns, windows)
     return over_previous_rows(df, order_by, built, max(windows) - 1, partition_by, chunk_rows, rows_per_range)
@@ -65,7 +66,7 @@ def engineer(
     columns: Sequence[str] = FEATURE_COLUMNS,
     steps: Sequence[int] = LAGS,
     windows: Sequence[int] = WINDOWS,
-    order_by: str = DATE_COLUMN,
+    order_by: str | Sequence[str] = DATE_COLUMN,
     partition_by: Sequence[str] = (),
     chunk_rows: int = 100_000,
     rows_per_range: int = ROWS_PER_RANGE,
@@ -74,7 +75,7 @@ def engineer(
     built = _lag_columns(columns, steps) | _rolling_columns(columns, windows)
     reach = max(*steps, *(n - 1 for n in windows))
     looked = over_previous_rows(df, order_by, built, reach, partition_by, chunk_rows, rows_per_range)
-    return date_parts(looked, order_by)
+    return date_parts(looked, order_by if isinstance(order_by, str) else order_by[0])
 
 
 def _lag_columns(columns: Sequence[str], steps: Sequence[int]) -> dict:
@@ -85,7 +86,8 @@ def _rolling_columns(columns: Sequence[str], windows: Sequence[int]) -> dict:
     def full(aggregate, column: str, n: int):
         def build(window) -> Column:
             frame = window.rowsBetween(-(n - 1), 0)
-            return F.when(F.count(quoted(column)).over(frame) == n, aggregate(quoted(column)).over(frame))
+            value = observed(quoted(column))
+            return F.when(F.count(value).over(frame) == n, aggregate(value).over(frame))
 
         return build
 
@@ -98,7 +100,8 @@ def _rolling_columns(columns: Sequence[str], windows: Sequence[int]) -> dict:
 
 
 def scale(df: DataFrame, columns: Sequence[str], method: str = "standard") -> DataFrame:
-    """Standard, min-max or robust scaling of whole columns; a constant column becomes 0."""
+    """Standard, min-max or robust scaling of whole columns; a constant column becomes 0, NaN NULL."""
+    df = df.withColumns({c: observed_in(df, c) for c in columns})
     if method == "robust":
         quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
         centre = {c: F.lit(q[1]) for c, q in quartiles.items()}
@@ -124,9 +127,10 @@ def learn_categories(df: DataFrame, columns: Sequence[str], most: int = 1000) ->
     """
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in columns]))
     distinct = df.select(pairs.alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
-    rows = distinct.limit(most * len(columns) + 1).collect()
-    if len(rows) > most * len(columns):
-        raise ValueError(f"more than {most} categories per column")
+    crowded = [r["column"] for r in distinct.groupBy("column").count().filter(F.col("count") > most).collect()]
+    if crowded:
+        raise ValueError(f"more than {most} categories in {sorted(crowded)}")
+    rows = distinct.collect()
     return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
 
 

@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratelake.functions.parsing import observed_in
 from ratelake.model import DATE_COLUMN, quoted, value_columns
 from ratelake.operators.ordering import (
+    BY,
     KEY,
     LEAD_IN,
     RANGE,
     ROWS_PER_RANGE,
     TIE,
+    kept_order,
+    order_names,
     preceding_ranges,
     range_window,
     with_ranges,
@@ -23,13 +27,13 @@ from ratelake.operators.ordering import (
 def forward_fill(
     df: DataFrame,
     columns: Sequence[str] | None = None,
-    order_by: str = DATE_COLUMN,
+    order_by: str | Sequence[str] = DATE_COLUMN,
     partition_by: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
     seed: DataFrame | None = None,
     distinct_order: bool = False,
 ) -> DataFrame:
-    """Replace each NULL by the latest earlier non-NULL value of its column.
+    """Replace each NULL or NaN by the latest earlier value of its column.
 
     Leading NULLs stay NULL, and no calendar rows are added. Each range of the
     order column is filled on its own, led by one row with the values carried in
@@ -39,11 +43,12 @@ def forward_fill(
     """
     keys = list(partition_by)
     if columns is None:
-        columns = [c for c in value_columns(df) if c != order_by and c not in keys]
+        columns = [c for c in value_columns(df) if c not in order_names(order_by) and c not in keys]
+    df = df.withColumns({c: observed_in(df, c) for c in columns}) if columns else df
     ranged, cut_rows = with_ranges(df, order_by, rows_per_range, distinct_order, keys)
-    rows = ranged.withColumn(LEAD_IN, F.lit(False))
+    rows, kept = ranged.withColumn(LEAD_IN, F.lit(False)), len(kept_order(df, order_by))
     if cut_rows is not None:
-        latest = F.col(KEY) if distinct_order else F.struct(KEY, TIE)
+        latest = F.col(KEY) if distinct_order and not kept else F.struct(KEY, *[f"{BY}{i}" for i in range(kept)], TIE)
         last_known = {c: F.max_by(quoted(c), F.when(quoted(c).isNotNull(), latest)) for c in columns}
         per_range = ranged.filter(cut_rows).groupBy(*keys, RANGE).agg(*[v.alias(c) for c, v in last_known.items()])
         carried = per_range.select(
@@ -52,7 +57,7 @@ def forward_fill(
             *[F.last(quoted(c), ignorenulls=True).over(preceding_ranges(keys)).alias(c) for c in columns],
         )
         rows = rows.unionByName(carried.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True)
-    so_far = range_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = range_window(keys, kept).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = rows.withColumns({c: F.last(quoted(c), ignorenulls=True).over(so_far) for c in columns})
     result = filled.filter(~F.col(LEAD_IN)).select(*[quoted(c) for c in df.columns])
     if seed is None:

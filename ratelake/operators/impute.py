@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelake.functions.parsing import is_floating, nan_to_null
-from ratelake.model import quoted
+from ratelake.functions.parsing import observed_in
 from ratelake.operators.quantiles import exact_quantiles, modes
 
 
@@ -25,19 +24,14 @@ def text_columns(df: DataFrame) -> list[str]:
 def present_counts(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int]]:
     """Rows, and values per column (NaN is missing): one scan for all of them."""
     counted = df.agg(
-        F.count("*").alias("rows"), *[F.count(_value(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]
+        F.count("*").alias("rows"), *[F.count(observed_in(df, c)).alias(f"c{i}") for i, c in enumerate(columns)]
     ).first()
     return counted["rows"], {c: counted[f"c{i}"] for i, c in enumerate(columns)}
 
 
-def _value(df: DataFrame, column: str) -> Column:
-    value = quoted(column)
-    return nan_to_null(value) if is_floating(df.schema[column].dataType) else value
-
-
 def fill_values(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     filled = {
-        c: F.coalesce(_value(df, c), F.lit(v).cast(_fill_type(df.schema[c].dataType)))
+        c: F.coalesce(observed_in(df, c), F.lit(v).cast(_fill_type(df.schema[c].dataType)))
         for c, v in values.items()
         if v is not None
     }
@@ -70,5 +64,5 @@ def impute_median_mode(df: DataFrame) -> DataFrame:
 def impute_mean(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The column mean, as one scalar subquery over all columns."""
     columns = list(columns) if columns is not None else numeric_columns(df)
-    means = df.select(F.struct(*[F.avg(_value(df, c)).alias(c) for c in columns])).scalar()
-    return df.withColumns({c: F.coalesce(_value(df, c), means.getField(c)) for c in columns})
+    means = df.select(F.struct(*[F.avg(observed_in(df, c)).alias(c) for c in columns])).scalar()
+    return df.withColumns({c: F.coalesce(observed_in(df, c), means.getField(c)) for c in columns})

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratelake.functions.parsing import observed
 from ratelake.model import quoted
 
 # Thresholds.
@@ -20,8 +21,9 @@ ALERT_RMSE_RISE = 0.10
 def metric_columns(actual: Column, predicted: Column) -> list[Column]:
     """RMSE, R2 and MAE in a single pass; R2 is NULL for a constant target.
 
-    Rows without both values do not count.
+    Rows without both values do not count; NaN is no value.
     """
+    actual, predicted = observed(actual), observed(predicted)
     both = actual.isNotNull() & predicted.isNotNull()
     error = F.when(both, actual - predicted)
     squared = F.sum(error * error)
@@ -84,7 +86,8 @@ def metrics_over_time(
 def rmse_alerts(per_period: DataFrame, rise: float = ALERT_RMSE_RISE) -> DataFrame:
     """Flag periods whose RMSE exceeds the previous period's by more than ``rise``.
 
-    One row per period goes through the window, not the predictions.
+    One row per period goes through the window, in one task: periods are meant to be
+    months or days, not single moments.
     """
     before = F.lag("rmse").over(Window.orderBy("period"))
     return per_period.withColumn("previous_rmse", before).withColumn(
@@ -105,8 +108,8 @@ def compare_models(current: DataFrame, candidate: DataFrame) -> DataFrame:
 
 
 def prediction_distribution(df: DataFrame, predicted: str, period: Column) -> DataFrame:
-    """Volume, mean, spread and extremes of predictions per period."""
-    value = quoted(predicted)
+    """Volume, mean, spread and extremes of predictions per period; NaN is no prediction."""
+    value = observed(quoted(predicted))
     return df.groupBy(period.alias("period")).agg(
         F.count("*").alias("n"),
         F.avg(value).alias("mean"),
@@ -114,3 +117,45 @@ def prediction_distribution(df: DataFrame, predicted: str, period: Column) -> Da
         F.min(value).alias("low"),
         F.max(value).alias("high"),
     )
+
+
+def prediction_percentiles(
+    df: DataFrame, predicted: str, period: Column, shares: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95)
+) -> DataFrame:
+    """``(period, share, value)``: the smallest prediction that at least this share of its period does not exceed.
+
+    Predictions are reduced to counts of distinct values first. These are numbered through
+    in ranges of values, so that a period with very many of them does not meet in one task.
+    """
+    value = observed(quoted(predicted))
+    counted = df.select(period.alias("period"), value.alias("value")).filter(F.col("value").isNotNull())
+    counted = counted.groupBy("period", "value").agg(F.count("*").alias("n"))
+    whole = counted.groupBy("period").agg(F.sum("n").alias("rows"))
+    upto = _running(counted)
+    asked = F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")
+    reached = upto.join(whole, "period").select("period", "value", "upto", "rows", asked)
+    return (
+        reached.filter(F.col("upto") >= F.ceil(F.col("share") * F.col("rows")))
+        .groupBy("period", "share")
+        .agg(F.min("value").alias("value"))
+    )
+
+
+def _running(counted: DataFrame) -> DataFrame:
+    """Adds ``upto``: rows of the period with this value or a smaller one.
+
+    A value's band is its leading two digits in scientific form, so bands follow each
+    other in order; a window runs within a band, and one over the bands of a period.
+    """
+    size = F.floor(F.log10(F.abs("value")))
+    digits = F.floor(F.abs("value") / F.pow(F.lit(10.0), size - 1))
+    band = F.when(F.col("value") == 0, F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))).otherwise(
+        F.struct((F.signum("value") * (size + 400)).alias("a"), (F.signum("value") * digits).alias("b"))
+    )
+    banded = counted.withColumn("__band", band)
+    inside = Window.partitionBy("period", "__band").orderBy("value")
+    bands = banded.groupBy("period", "__band").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("period").orderBy("__band").rowsBetween(Window.unboundedPreceding, -1)
+    before = bands.select("period", "__band", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    placed = banded.withColumn("__here", F.sum("n").over(inside)).join(before, ["period", "__band"])
+    return placed.select("period", "value", (F.col("__before") + F.col("__here")).alias("upto"))

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratelake.functions.dates import order_number
 from ratelake.model import quoted
@@ -22,6 +23,8 @@ KEY = "__order"
 TIE = "__tie"
 RANGE = "__range"
 LEAD_IN = "__lead_in"
+# Order columns that their number does not replace, from the first to the last.
+BY = "__by"
 
 # Upper bound on ranges. It bounds the one-row-per-range tables that are scanned
 # in a single task, and the cut points kept on the driver.
@@ -34,9 +37,20 @@ ROWS_PER_RANGE = 1_000_000
 SAMPLED_PER_RANGE = 1_000
 
 
+def order_names(order_by: str | Sequence[str]) -> list[str]:
+    return [order_by] if isinstance(order_by, str) else list(order_by)
+
+
+def kept_order(df: DataFrame, order_by: str | Sequence[str]) -> list[str]:
+    """The order columns that rows of a range must be compared by; none if one number says it all."""
+    names = order_names(order_by)
+    exact = len(names) == 1 and not isinstance(df.schema[names[0]].dataType, (T.DecimalType, T.StringType))
+    return [] if exact else names
+
+
 def with_ranges(
     df: DataFrame,
-    order_by: str,
+    order_by: str | Sequence[str],
     rows_per_range: int = ROWS_PER_RANGE,
     distinct_order: bool = False,
     partition_by: Sequence[str] = (),
@@ -53,16 +67,21 @@ def with_ranges(
     are tied on the order, and are spread over that many ranges by row hash.
     Ranges follow each other in one total order of the rows whatever the cut points
     are, so the approximation affects balance only, never results.
-    ``distinct_order`` states that a series has no ties, which saves the hashing.
+    ``distinct_order`` states that a series has no ties, which saves the hashing; it is
+    for a single order column only, and rows tied in spite of it are in no defined order.
+
+    With several order columns, decimals or texts, rows are compared by the columns
+    themselves and ranges are cut by the first one's number; rows tied on it stay together.
 
     Finding the cut points is one pass over the order column, run here, after one
     that finds the long series; they bring at most ``MAX_RANGES`` numbers and
     ``MAX_LONG`` names (as hashes) to the driver. ``df`` is read again by the query
     itself, so write a costly or unrepeatable input out first.
     """
-    key = order_number(quoted(order_by), df.schema[order_by].dataType)
-    tie = F.lit(0).cast("bigint") if distinct_order else F.xxhash64(*[quoted(c) for c in df.columns])
-    keyed = df.withColumns({KEY: key, TIE: tie})
+    lead, kept = order_names(order_by)[0], kept_order(df, order_by)
+    key = order_number(quoted(lead), df.schema[lead].dataType)
+    tie = F.lit(0).cast("bigint") if distinct_order and not kept else F.xxhash64(*[quoted(c) for c in df.columns])
+    keyed = df.withColumns({KEY: key, TIE: tie} | {f"{BY}{i}": quoted(c) for i, c in enumerate(kept)})
     whole = keyed.withColumn(RANGE, F.lit(0).cast("bigint"))
     long_rows = _in_long_series(df, partition_by, rows_per_range)
     if long_rows is None:
@@ -73,7 +92,7 @@ def with_ranges(
     kind = "double" if isinstance(cuts[0], float) else "bigint"
     # A search ends at the first of several equal cut points.
     times = Counter(cuts)
-    repeats = [times[c] if i == 0 or cuts[i - 1] != c else 0 for i, c in enumerate(cuts)]
+    repeats = [times[c] if not kept and (i == 0 or cuts[i - 1] != c) else 0 for i, c in enumerate(cuts)]
     ranged = _count_below(keyed, cuts, kind)
     hit = F.get(_numbers(cuts, kind), F.col("__below")) == F.col(KEY)
     same = F.when(hit, F.get(_numbers(repeats, "bigint"), F.col("__below"))).otherwise(F.lit(0).cast("bigint"))
@@ -128,8 +147,10 @@ def _cut_points(keys: DataFrame, rows_per_range: int) -> list:
 
 
 def _numbers(values: list, kind: str) -> Column:
-    """A literal array, written as text: one call instead of one per element."""
-    return F.from_json(F.lit(str(values)), f"array<{kind}>")
+    """A literal array, written as one SQL text: one call instead of one per element, infinities included."""
+    if not values:
+        return F.array().cast(f"array<{kind}>")
+    return F.expr("array(" + ", ".join(f"CAST('{v}' AS {kind})" for v in values) + ")")
 
 
 def _count_below(df: DataFrame, cuts: list, kind: str) -> DataFrame:
@@ -150,10 +171,10 @@ def _count_below(df: DataFrame, cuts: list, kind: str) -> DataFrame:
     return found
 
 
-def range_window(partition_by: Sequence[str]):
-    """Rows of one range in order, its lead-in row first."""
+def range_window(partition_by: Sequence[str], kept: int = 0):
+    """Rows of one range in order, its lead-in row first; ``kept`` is the number of kept order columns."""
     return Window.partitionBy(*[quoted(c) for c in partition_by], F.col(RANGE)).orderBy(
-        F.col(LEAD_IN).desc(), F.col(KEY), F.col(TIE)
+        F.col(LEAD_IN).desc(), F.col(KEY), *[F.col(f"{BY}{i}").asc_nulls_last() for i in range(kept)], F.col(TIE)
     )
 
 
@@ -168,7 +189,7 @@ def preceding_ranges(partition_by: Sequence[str]):
 
 def row_numbers(
     df: DataFrame,
-    order_by: str,
+    order_by: str | Sequence[str],
     partition_by: Sequence[str] = (),
     name: str = "row_number",
     rows_per_range: int = ROWS_PER_RANGE,
@@ -183,7 +204,7 @@ def row_numbers(
             *keys, RANGE, F.coalesce(F.sum("__rows").over(preceding_ranges(keys)), F.lit(0)).alias("__step")
         )
         rows = rows.unionByName(offsets.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True)
-    running = range_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = range_window(keys, len(kept_order(df, order_by))).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rows.withColumn(name, F.sum("__step").over(running))
         .filter(~F.col(LEAD_IN))
@@ -193,7 +214,7 @@ def row_numbers(
 
 def over_previous_rows(
     df: DataFrame,
-    order_by: str,
+    order_by: str | Sequence[str],
     columns: dict,
     reach: int,
     partition_by: Sequence[str] = (),

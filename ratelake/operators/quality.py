@@ -1,4 +1,4 @@
-"""Data-quality checks. Each is one aggregation over the table."""
+"""Data-quality checks. Each is one aggregation over the table; NaN counts as missing."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratelake.functions.parsing import observed, observed_in
 from ratelake.model import quoted
 from ratelake.operators.quantiles import exact_quantiles
 
@@ -19,7 +20,7 @@ OUTLIER_THRESHOLD = 3.0
 
 def missing_share(df: DataFrame, columns: Sequence[str], threshold: float = MISSING_THRESHOLD) -> DataFrame:
     """Per column: share of NULLs, and whether it exceeds the threshold."""
-    counted = df.agg(F.count("*").alias("__rows"), *[F.count(quoted(c)).alias(c) for c in columns])
+    counted = df.agg(F.count("*").alias("__rows"), *[F.count(observed_in(df, c)).alias(c) for c in columns])
     share = (F.col("__rows") - F.col("c.present")) / F.col("__rows")
     listed = F.explode(
         F.array(*[F.struct(F.lit(c).alias("column_name"), quoted(c).alias("present")) for c in columns])
@@ -33,7 +34,8 @@ def missing_share(df: DataFrame, columns: Sequence[str], threshold: float = MISS
 
 def iqr_fences(df: DataFrame, columns: Sequence[str], threshold: float = OUTLIER_THRESHOLD) -> dict[str, tuple]:
     """``q1 - t*iqr`` and ``q3 + t*iqr`` per column."""
-    quartiles = exact_quantiles(df, {c: [0.25, 0.75] for c in columns})
+    clean = df.select(*[observed_in(df, c).alias(c) for c in columns])
+    quartiles = exact_quantiles(clean, {c: [0.25, 0.75] for c in columns})
     return {
         c: (q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1)) if q1 is not None else (None, None)
         for c, (q1, q3) in quartiles.items()
@@ -42,7 +44,8 @@ def iqr_fences(df: DataFrame, columns: Sequence[str], threshold: float = OUTLIER
 
 def outside(column: str, fences: tuple) -> Column:
     low, high = (F.lit(v).cast("double") for v in fences)
-    return F.coalesce((quoted(column) < low) | (quoted(column) > high), F.lit(False))
+    value = observed(quoted(column))
+    return F.coalesce((value < low) | (value > high), F.lit(False))
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], threshold: float = OUTLIER_THRESHOLD) -> DataFrame:
@@ -75,7 +78,7 @@ def range_and_freshness(
     today = F.lit(now.date())
     return df.agg(
         *[
-            F.count_if((quoted(c) < F.lit(low)) | (quoted(c) > F.lit(high))).alias(f"{c}_out_of_range")
+            F.count_if((observed(quoted(c)) < F.lit(low)) | (observed(quoted(c)) > F.lit(high))).alias(f"{c}_out_of_range")
             for c, (low, high) in bounds.items()
         ],
         newest.alias("newest"),

@@ -157,6 +157,96 @@ def dq_missing(spark, sf_dir):
     return _rounded(quality.missing_share(wide(spark, sf_dir), VALUE_NAMES), "missing_share")
 
 
+# A reading that is not a number on every seventh row.
+SPOTTY = """s AS (SELECT event_id, user_id, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)"""
+
+
+def _spotty(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return events.withColumn("value", F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+
+
+@query(
+    f"""WITH {SPOTTY} SELECT 'value' AS column_name, round(avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END), 6) AS missing_share,
+    avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END) > 0.1 AS too_many FROM s"""
+)
+def dq_missing_nan(spark, sf_dir):
+    return _rounded(quality.missing_share(_spotty(spark, sf_dir), ["value"]), "missing_share")
+
+
+@query(
+    f"""WITH {SPOTTY} SELECT event_id, round((value - (SELECT avg(value) FROM s)) / (SELECT stddev_pop(value) FROM s), 6) AS value
+  FROM s"""
+)
+def feat_scale_nan(spark, sf_dir):
+    return _rounded(features.scale(_spotty(spark, sf_dir).select("event_id", "value"), ["value"]), "value")
+
+
+@query(
+    f"""WITH {SPOTTY} SELECT count(value) AS n, round(sqrt(avg((value - 50) * (value - 50))), 6) AS rmse,
+    round(avg(abs(value - 50)), 6) AS mae FROM s"""
+)
+def metrics_nan(spark, sf_dir):
+    scored = _spotty(spark, sf_dir).withColumn("guess", F.lit(50.0))
+    return _rounded(metrics.regression_metrics(scored, "value", "guess").drop("r2"))
+
+
+@query("SELECT 'value' AS column_name, 0.0::DOUBLE AS psi FROM events LIMIT 1")
+def drift_psi_nan(spark, sf_dir):
+    """Data that differ only by readings that are no numbers have not drifted."""
+    spotty = _spotty(spark, sf_dir)
+    return _rounded(drift.population_stability(spotty.filter("NOT isnan(value)"), spotty, "value"))
+
+
+TIED = "date_trunc('month', ts)"
+
+
+@query(
+    f"""SELECT event_id, last_value(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS)
+    OVER (PARTITION BY event_type ORDER BY {TIED}, event_id DESC ROWS UNBOUNDED PRECEDING) AS value FROM
+    (SELECT *, -event_id AS minus FROM events)""".replace("event_id DESC", "minus")
+)
+def forward_fill_ties(spark, sf_dir):
+    """Ordered by month, then by falling id: nearly all rows are tied on the first column."""
+    events = table(spark, sf_dir, "events")
+    tied = events.select(
+        "event_id",
+        "event_type",
+        F.date_trunc("month", "ts").cast("date").alias("month"),
+        (-F.col("event_id")).alias("minus"),
+        F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"),
+    )
+    filled = forward_fill(tied, ["value"], ["month", "minus"], ["event_type"], rows_per_range=400)
+    return filled.select("event_id", "value")
+
+
+@query(
+    """SELECT event_id, last_value(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS)
+    OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS value FROM events"""
+)
+def forward_fill_decimal(spark, sf_dir):
+    """Decimal keys that differ beyond a double's precision."""
+    events = table(spark, sf_dir, "events")
+    keyed = events.select(
+        "event_id",
+        (F.lit("100000000000000000000").cast("decimal(38,0)") + F.col("event_id")).alias("at"),
+        F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"),
+    )
+    return forward_fill(keyed, ["value"], "at", rows_per_range=400).select("event_id", "value")
+
+
+@query(
+    """WITH p AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS period, l_extendedprice AS v,
+      row_number() OVER (PARTITION BY date_trunc('month', l_shipdate) ORDER BY l_extendedprice) AS k,
+      count(*) OVER (PARTITION BY date_trunc('month', l_shipdate)) AS n FROM lineitem)
+  SELECT period, share, min(v) AS value FROM p, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS share)
+  WHERE k >= ceil(share * n) GROUP BY 1, 2"""
+)
+def pred_percentiles(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return metrics.prediction_percentiles(lines, "l_extendedprice", F.trunc("l_shipdate", "MM"))
+
+
 def _iqr_sql(c: str, t: str) -> str:
     q1, q3 = (f"(SELECT quantile_cont({c}, {p}) FROM {t})" for p in (0.25, 0.75))
     low, high = f"{q1} - 3.0 * ({q3} - {q1})", f"{q3} + 3.0 * ({q3} - {q1})"

@@ -25,7 +25,15 @@ from ratelake.queries.inputs import (
 from ratelake.queries.registry import query, table
 from ratelake.session import work_path
 from ratelake.sinks.store import PARTITION
-from ratelake.streaming.ingest import latest_per_key, rate_rows, stream_landing, upsert_stream
+from ratelake.streaming.ingest import (
+    filled,
+    latest_per_key,
+    presence_of,
+    quarantine_counts,
+    rate_rows,
+    stream_landing,
+    upsert_stream,
+)
 
 
 def _orders_table(spark, sf_dir, rows=None, name="orders"):
@@ -199,10 +207,12 @@ def stream_upsert(spark, sf_dir):
     """Events arrive in several micro-batches, in no particular order; the newest per user stays."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     inbox = work_path(spark, "inbox")
-    events.repartition(6, "event_id").write.parquet(inbox)
+    # As many files as the table has partitions or twice the cores, so that there are several batches.
+    files = max(events.rdd.getNumPartitions(), 2 * spark.sparkContext.defaultParallelism)
+    events.repartition(files, "event_id").write.parquet(inbox)
     store = fresh_store(spark)
     store.ensure_table("latest", events.schema, "ts")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3).parquet(inbox)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", -(-files // 3)).parquet(inbox)
     upsert_stream(
         stream,
         store,
@@ -210,7 +220,7 @@ def stream_upsert(spark, sf_dir):
         "user_id",
         work_path(spark, "progress"),
         latest_per_key("user_id", ["ts", "event_id"]),
-        newer_by="ts",
+        newer_by=["ts", "event_id"],
     ).awaitTermination()
     return store.scan("latest")
 
@@ -228,8 +238,13 @@ def _zoneless(df):
 
 @query(FILLED)
 def stream_landing_rates(spark, sf_dir):
-    """Landing files as a stream, upserted into the rate table."""
-    root = land(as_payload(daily(spark, sf_dir)))
+    """Landing files as a stream of several batches, each with a part of the series and months."""
+    store = _streamed_rates(spark, as_payload(daily(spark, sf_dir)))
+    return _zoneless(filled(store, "rates", SPECS))
+
+
+def _streamed_rates(spark, payload):
+    root = land(payload)
     store = fresh_store(spark)
     shape = rate_rows(SPECS, NOW)
     columns = ", ".join(f"{s.column} double" for s in SPECS)
@@ -237,10 +252,64 @@ def stream_landing_rates(spark, sf_dir):
         f"{DATE_COLUMN} date, {columns}, ingestion_timestamp timestamp, data_source string"
     )
     store.ensure_table("rates", schema, DATE_COLUMN, required=[DATE_COLUMN])
-    stream = stream_landing(spark, root)
-    progress = work_path(spark, "progress")
-    upsert_stream(stream, store, "rates", DATE_COLUMN, progress, shape, stage_batch=True).awaitTermination()
-    return _zoneless(store.scan("rates"))
+    files = payload.select("series", "month").distinct().count()
+    upsert_stream(
+        stream_landing(spark, root, files_per_batch=-(-files // 3)),
+        store,
+        "rates",
+        DATE_COLUMN,
+        work_path(spark, "progress"),
+        shape,
+        stage_batch=True,
+        presence=presence_of(SPECS),
+        quarantine="quarantine",
+    ).awaitTermination()
+    return store
+
+
+@query(
+    f"""WITH {DAILY} SELECT series, 'no valid date' AS defect, count(*) AS records
+  FROM daily WHERE day("Fecha") = 13 GROUP BY 1"""
+)
+def stream_quarantine(spark, sf_dir):
+    """Records without a valid date, kept and counted while the rest is merged."""
+    payload = as_payload(daily(spark, sf_dir))
+    spoiled = F.when(F.substring(DATE_COLUMN, 9, 2) == "13", F.lit("13th")).otherwise(F.col(DATE_COLUMN))
+    store = _streamed_rates(spark, payload.withColumn(DATE_COLUMN, spoiled))
+    return quarantine_counts(store, "quarantine")
+
+
+@query("SELECT o_orderkey AS k, o_totalprice AS v FROM orders")
+def upsert_unpartitioned(spark, sf_dir):
+    """A table without partitions keeps its rows when none of the new keys is in it."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    store = fresh_store(spark)
+    store.ensure_table("facts", orders.schema)
+    store.append("facts", orders.filter("k % 2 = 0"))
+    store.upsert("facts", orders.filter("k % 2 = 1"), "k")
+    return store.scan("facts")
+
+
+@query(
+    """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) END AS day,
+    CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice * 2 ELSE o_totalprice END AS v
+  FROM orders"""
+)
+def upsert_undated(spark, sf_dir):
+    """A source without the date column over a table that has undated rows: updates and inserts, none lost."""
+    orders = table(spark, sf_dir, "orders")
+    held = orders.select(
+        F.col("o_orderkey").alias("k"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate").cast("date")).alias("day"),
+        F.col("o_totalprice").alias("v"),
+    )
+    store = fresh_store(spark)
+    store.ensure_table("facts", held.schema, "day")
+    # Of the undated rows the even keys are stored, the odd ones come as inserts.
+    store.append("facts", held.filter("k % 3 = 0 OR k % 2 = 0"))
+    news = held.withColumn("v", F.when(F.col("k") % 3 == 2, F.col("v") * 2).otherwise(F.col("v")))
+    store.upsert("facts", news.filter("k % 3 = 2 OR (k % 3 = 1 AND k % 2 = 1)").drop("day"), "k")
+    return store.scan("facts")
 
 
 def _config(store, **changes):

@@ -94,7 +94,7 @@ class TableStore:
             cluster_fields=(DATE_COLUMN,),
             required=(DATE_COLUMN, TIMESTAMP_COLUMN),
             granularity="day",
-            description="Daily exchange rates",
+            description="One row per day, one column per series",
         )
 
     def layout(self, table: str) -> dict[str, Any]:
@@ -127,6 +127,7 @@ class TableStore:
             have["cluster_fields"],
             have["required"],
             granularity,
+            self.spark.catalog.getTable(f"{self.database}.{table}").description or "",
         )
         self.append(fresh, self.scan(table))
         self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
@@ -203,46 +204,55 @@ class TableStore:
         df: DataFrame,
         key: str = DATE_COLUMN,
         allow_null_key: bool = False,
-        newer_by: str | None = None,
+        newer_by: str | Sequence[str] | None = None,
+        presence: Mapping[str, str] | None = None,
     ) -> None:
         """Update rows that match on ``key``, insert the others.
 
         A matched row takes every column of the source, NULLs included; columns
         the source lacks keep their value. A NULL key never matches: it is
         rejected, or with ``allow_null_key`` inserted. A key that the source
-        repeats and the table holds is an error. With ``newer_by`` a matched row
-        is replaced only by a source row that is not older.
+        repeats and the table holds is an error. With ``newer_by``, one column or
+        several in order of weight, a matched row is replaced only by a source row
+        that is not older. ``presence`` names for some columns a boolean column of
+        the source that tells whether this row holds them: where it does not, the
+        stored value stays. These boolean columns are not stored.
         """
         spark, layout, schema = df.sparkSession, self.layout(table), self.schema(table)
-        unknown = [c for c in df.columns if c not in schema.names]
+        presence = dict(presence or {})
+        newer_by = [newer_by] if isinstance(newer_by, str) else list(newer_by or ())
+        unknown = [c for c in df.columns if c not in schema.names and c not in presence.values()]
         if unknown or key not in df.columns:
             raise ValueError(f"cannot upsert into {table}: unknown columns {unknown}, key {key}")
-        own = T.StructType([f for f in schema if f.name in df.columns])
+        flags = [T.StructField(f, T.BooleanType()) for f in presence.values()]
+        own = T.StructType([*[f for f in schema if f.name in df.columns], *flags])
         source = conform(df, own)
         if not allow_null_key:
             source = require_values(source, [key])
         with self.staged(source) as staged:
-            self._merge_staged(spark, table, layout, schema, staged, key, newer_by)
+            self._merge_staged(spark, table, layout, schema, staged, key, newer_by, presence)
 
-    def _merge_staged(self, spark, table, layout, schema, staged, key, newer_by) -> None:
+    def _merge_staged(self, spark, table, layout, schema, staged, key, newer_by, presence) -> None:
         field, unit = layout["partition_field"], layout["granularity"]
         target = self._read(table, spark)
         keys = staged.filter(quoted(key).isNotNull()).select(quoted(key).alias("__key"))
-        source_parts = _names(staged.select(_part_column(field, unit).alias(PARTITION))) if field in staged.columns else []
+        # Where inserts can land: without the partition field all of them are undated.
+        dated = field in staged.columns
+        source_parts = _names(staged.select(_part_column(field, unit).alias(PARTITION))) if dated else [UNDATED]
         if key == field:
             # The key decides the partition: no other one can hold a match, and
             # every touched one gets rows again.
             held = target.filter(F.col(PARTITION).isin(source_parts))
             matched = _matching(held.select(quoted(key)), key, keys.distinct())
             self._refuse_repeats(table, matched, key, keys)
-            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, source_parts, [])
+            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, presence, source_parts, [])
             return
         pairs = _matching(target.select(quoted(key), PARTITION), key, keys.distinct()).distinct()
         # The one pass over the table's keys; at most one row per source key and partition.
         with self.staged(pairs) as matched:
             touched = _names(matched.select(PARTITION))
             self._refuse_repeats(table, matched, key, keys)
-            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, source_parts, touched)
+            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, presence, source_parts, touched)
 
     def _refuse_repeats(self, table, matched, key, keys) -> None:
         """A key may repeat in the source only when the table does not hold it."""
@@ -253,7 +263,9 @@ class TableStore:
         if clash:
             raise ValueError(f"upsert source repeats key {clash[0][key]!r} that {table} holds")
 
-    def _rewrite_merged(self, table, schema, target, staged, matched, key, newer_by, source_parts, touched) -> None:
+    def _rewrite_merged(
+        self, table, schema, target, staged, matched, key, newer_by, presence, source_parts, touched
+    ) -> None:
         known = matched.select(quoted(key).alias("__held")).distinct()
         inserts = staged.join(known, quoted(key) == F.col("__held"), "left_anti")
         affected = target.filter(F.col(PARTITION).isin(sorted(set(source_parts) | set(touched))))
@@ -263,14 +275,19 @@ class TableStore:
         joined = affected.join(marked, quoted(key) == F.col(f"`__new_{key}`"), "left")
         takes = F.col("__present").isNotNull()
         if newer_by:
-            old, new = quoted(newer_by), F.col(f"`__new_{newer_by}`")
-            takes &= F.coalesce(new >= old, old.isNull())
-        updated = joined.select(
-            *[
-                (F.when(takes, F.col(f"`__new_{c}`")).otherwise(quoted(c)) if c in staged.columns else quoted(c)).alias(c)
-                for c in schema.names
-            ]
-        )
+            # Structs compare field by field, NULL before everything else.
+            old = F.struct(*[quoted(c) for c in newer_by])
+            new = F.struct(*[F.col(f"`__new_{c}`").alias(c) for c in newer_by])
+            takes &= new >= old
+
+        def merged(column: str) -> Column:
+            if column not in staged.columns:
+                return quoted(column)
+            held = F.col(f"`__new_{presence[column]}`") if column in presence else F.lit(True)
+            return F.when(takes & held, F.col(f"`__new_{column}`")).otherwise(quoted(column))
+
+        updated = joined.select(*[merged(c).alias(c) for c in schema.names])
+        inserts = inserts.drop(*presence.values())
         self._replace(table, updated.unionByName(inserts, allowMissingColumns=True), touched)
 
     def delete_range(
@@ -279,15 +296,20 @@ class TableStore:
         start: date | datetime,
         end: date | datetime | None = None,
         column: str = DATE_COLUMN,
+        align_days: bool = False,
     ) -> None:
-        """Remove rows with ``column`` from ``start`` to ``end``, both days included.
+        """Remove rows with ``column`` from the start of day ``start`` to the start of day ``end``.
 
-        The time of day of the bounds is ignored. Partitions that lie inside the
-        range are dropped without being read; only those at its ends are rewritten.
+        The time of day of the bounds is ignored. On a date column both days go; on
+        a timestamp column rows of the last day go only at midnight, unless
+        ``align_days`` asks for the whole day. Partitions that lie inside the range
+        are dropped without being read; only those at its ends are rewritten.
         """
         first, last = _day(start), _day(end if end is not None else start)
         layout, target = self.layout(table), self._read(table)
         gone = quoted(column).between(F.lit(first), F.lit(last))
+        if align_days:
+            gone = quoted(column).cast("date").between(F.lit(first), F.lit(last))
         if column == layout["partition_field"]:
             unit = layout["granularity"]
             exact = isinstance(target.schema[column].dataType, T.DateType)
@@ -349,8 +371,9 @@ class TableStore:
         self._drop(table, [p for p in touched if p not in written])
 
     def _drop(self, table: str, parts: Iterable[str]) -> None:
-        for part in parts:
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (`{PARTITION}` = '{part}')")
+        listed = ", ".join(f"PARTITION (`{PARTITION}` = '{part}')" for part in parts)
+        if listed:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {listed}")
 
 
 def _matching(target: DataFrame, key: str, keys: DataFrame) -> DataFrame:

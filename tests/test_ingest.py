@@ -10,7 +10,15 @@ from ratelake.plans.ingest import IngestConfig, ingest_metrics, run_ingest, samp
 from ratelake.plans.prepare import prepare
 from ratelake.session import work_path
 from ratelake.sources.observations import FrameSource, LandingSource
-from ratelake.streaming.ingest import latest_per_key, rate_rows, stream_landing, upsert_stream
+from ratelake.streaming.ingest import filled as read_filled
+from ratelake.streaming.ingest import (
+    latest_per_key,
+    presence_of,
+    quarantine_counts,
+    rate_rows,
+    stream_landing,
+    upsert_stream,
+)
 
 NOW = datetime(2024, 1, 20, 10, 32)
 
@@ -123,16 +131,48 @@ def test_stream_of_landing_files_lets_later_corrections_win(spark, store, landin
             progress,
             rate_rows(DEFAULT_SERIES, NOW),
             stage_batch=True,
+            presence=presence_of(DEFAULT_SERIES),
+            quarantine="bad",
         ).awaitTermination()
-        return values(store.scan("rates"))
+        return values(read_filled(store, "rates", DEFAULT_SERIES))
 
     landing.observations("dolar", "2024-01", ("2024-01-15", "900"), ("2024-01-16", "901"))
     landing.observations("euro", "2024-01", ("2024-01-15", "1000"))
     landing.add("uf", "2024-01", "<R><Obs><Fecha>2024-")
     assert run() == [(15, 900.0, 1000.0, None), (16, 901.0, 1000.0, None)]
     landing.observations("dolar", "2024-01", ("2024-01-16", "999"), name="fix.xml")
-    assert run() == [(15, 900.0, 1000.0, None), (16, 999.0, None, None)]
-    assert run() == [(15, 900.0, 1000.0, None), (16, 999.0, None, None)]
+    assert run() == [(15, 900.0, 1000.0, None), (16, 999.0, 1000.0, None)]
+    assert run() == [(15, 900.0, 1000.0, None), (16, 999.0, 1000.0, None)]
+    assert [tuple(r) for r in quarantine_counts(store, "bad").collect()] == [("uf", "malformed record", 1)]
+
+
+@pytest.mark.parametrize("order", [("dolar", "euro"), ("euro", "dolar")])
+def test_stream_gives_the_rows_of_the_batch_run(spark, config, store, landing, order):
+    """One file for each batch: a batch that lacks a series must not touch its column."""
+    store.ensure_table("rates", T.StructType(list(RATE_SCHEMA)), "Fecha", required=["Fecha"])
+    readings = {
+        "dolar": [("2024-01-15", "900"), ("2024-01-17", "x"), ("2024-01-18", "902")],
+        "euro": [("2024-01-15", "1000"), ("2024-01-16", "1001"), ("bad", "1")],
+    }
+    progress = work_path(spark, "progress")
+    for name in order:
+        landing.observations(name, "2024-01", *readings[name])
+        stream = stream_landing(spark, landing.root, files_per_batch=1)
+        upsert_stream(
+            stream, store, "rates", "Fecha", progress, rate_rows(DEFAULT_SERIES, NOW),
+            presence=presence_of(DEFAULT_SERIES), quarantine="bad",
+        ).awaitTermination()
+    streamed = values(read_filled(store, "rates", DEFAULT_SERIES))
+    assert streamed == values(run_ingest(spark, LandingSource(landing.root), config(table="once"), "full", NOW))
+    assert [tuple(r) for r in quarantine_counts(store, "bad").collect()] == [("euro", "no valid date", 1)]
+
+
+def test_incremental_runs_without_a_partition_field_keep_earlier_days(spark, config, landing):
+    landing.observations("dolar", "2024-01", *[(f"2024-01-{d}", str(800 + d)) for d in (15, 16, 17)])
+    for day in (15, 16, 17):
+        moment = datetime(2024, 1, day, 10, 32)
+        result = run_ingest(spark, LandingSource(landing.root), config(partition_field=None, merge_key="Fecha"), "incremental", moment)
+    assert values(result) == [(15, 815.0, None, None), (16, 816.0, None, None), (17, 817.0, None, None)]
 
 
 def test_late_batches_do_not_undo_newer_rows(spark, store, tmp_path, rows):

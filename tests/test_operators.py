@@ -3,8 +3,10 @@
 Every scalable form is compared with its plain, single-task equivalent.
 """
 
+import math
 import random
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -12,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ratelake.model import SeriesSpec
+from ratelake.operators import drift, features, metrics, quality
 from ratelake.operators.dedupe import drop_duplicate_rows, keep_first
 from ratelake.operators.features import lags, learn_categories, one_hot, rolling, scale, select_features
 from ratelake.operators.fill import forward_fill
@@ -245,3 +248,65 @@ def test_range_bounds_reach_the_file_scan(spark, tmp_path):
     got = in_date_range(spark.read.parquet(path), datetime(2024, 1, 3, 10), datetime(2024, 1, 6, 9))
     assert "PushedFilters: [IsNotNull(Fecha), GreaterThanOrEqual(Fecha,2024-01-04)" in got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == 3
+
+
+def test_nan_is_missing_everywhere(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(i, float(i)) for i in range(10)] + [(10, nan)], "k int, v double")
+    clean = df.filter("k < 10")
+    assert quality.missing_share(df, ["v"]).first().missing_share == pytest.approx(1 / 11)
+    assert quality.iqr_outliers(df, ["v"]).first().outliers == 0
+    assert drift.population_stability(clean, df, "v").first().psi == 0
+    assert drift.outlier_share(clean, df, ["v"]).first().outlier_share == 0
+    for method in ("standard", "minmax", "robust"):
+        got = {r.k: r.v for r in features.scale(df, ["v"], method).collect()}
+        want = {r.k: r.v for r in features.scale(clean, ["v"], method).collect()}
+        assert got == {**want, 10: None}
+    rolled = {r.k: r.v_roll_mean_2 for r in features.rolling(df, ["v"], [2], "k").collect()}
+    assert rolled[9] == 8.5 and rolled[10] is None
+    assert {r.k: r.v for r in forward_fill(df, ["v"], "k").collect()}[10] == 9.0
+    assert metrics.regression_metrics(df.withColumn("p", F.col("v") + 1), "v", "p").first().n == 10
+
+
+@pytest.mark.parametrize("limit", [3, 50])
+def test_fill_by_several_columns_decimals_and_texts(spark, limit):
+    rows = [(i, i // 10, -i, Decimal(10**20 + i), f"2024-01-01T{i:05d}", float(i) if i % 3 == 0 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, day int, minus int, dec decimal(38,0), txt string, v double")
+
+    def brute(key):
+        out, last = {}, None
+        for r in sorted(rows, key=key):
+            last = r[5] if r[5] is not None else last
+            out[r[0]] = last
+        return out
+
+    for order, key in ((["day", "minus"], lambda r: (r[1], r[2])), ("dec", lambda r: r[3]), ("txt", lambda r: r[4])):
+        got = {r.k: r.v for r in forward_fill(df, ["v"], order, rows_per_range=limit).collect()}
+        assert got == brute(key)
+    lagged = {r.k: r.k_lag_1 for r in features.lags(df, ["k"], [1], ["day", "minus"], rows_per_range=limit, chunk_rows=7).collect()}
+    order = [r[0] for r in sorted(rows, key=lambda r: (r[1], r[2]))]
+    assert lagged == dict(zip(order, [None, *order[:-1]], strict=True))
+
+
+def test_ranges_do_not_collapse_when_many_order_values_are_missing(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, F.col("id").cast("double")).alias("at"))
+    ranged, _ = with_ranges(df, "at", rows_per_range=500)
+    sizes = [r["count"] for r in ranged.groupBy(RANGE).count().collect()]
+    assert max(sizes) <= 1000 and sum(sizes) == 4000
+
+
+def test_prediction_percentiles(spark):
+    rows = [(d, v) for d in (1, 2) for v in (*range(-50, 51), 0, 1e-9, 1e9, 123.456, 123.457)]
+    df = spark.createDataFrame([(d, float(v)) for d, v in rows] + [(1, float("nan")), (1, None)], "d int, v double")
+    got = {(r.period, r.share): r.value for r in metrics.prediction_percentiles(df, "v", F.col("d"), (0.1, 0.5, 1.0)).collect()}
+    for d in (1, 2):
+        own = sorted(float(v) for p, v in rows if p == d)
+        for share in (0.1, 0.5, 1.0):
+            assert got[d, share] == own[math.ceil(share * len(own)) - 1]
+
+
+def test_category_limit_is_per_column(spark):
+    df = spark.createDataFrame([(f"a{i}", "x") for i in range(5)], "p string, q string")
+    assert features.learn_categories(df, ["p", "q"], most=5)["q"] == ["x"]
+    with pytest.raises(ValueError, match="p"):
+        features.learn_categories(df, ["p", "q"], most=4)

@@ -178,3 +178,49 @@ def test_unpartitioned_table(spark, store, rows):
     with pytest.raises(ValueError, match="no partition field"):
         store.scan("t", start=date(2024, 1, 1))
     store.ensure_table("t", df.schema)
+
+
+def test_unpartitioned_table_keeps_rows_without_a_match(spark, store, rows):
+    table(spark, store, [(1, "a"), (2, "b")], "k int, s string", None)
+    store.upsert("t", spark.createDataFrame([(3, "c")], "k int, s string"), "k")
+    assert rows(store.scan("t")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_undated_rows_stay_when_the_source_has_no_date(spark, store, rows):
+    table(spark, store, [("k1", None, 1), ("k2", date(2024, 1, 1), 2)], "k string, d date, v int", "d")
+    store.upsert("t", spark.createDataFrame([("k3", 3), ("k2", 5)], "k string, v int"), "k")
+    assert rows(store.scan("t")) == [("k1", None, 1), ("k2", date(2024, 1, 1), 5), ("k3", None, 3)]
+
+
+def test_newer_by_several_columns(spark, store, rows):
+    schema = "k string, d date, n int, v int"
+    table(spark, store, [("a", date(2024, 1, 1), 9, 1), ("b", None, 1, 1)], schema, "d")
+    news = [("a", date(2024, 1, 1), 3, 2), ("b", date(2024, 1, 1), None, 2)]
+    store.upsert("t", spark.createDataFrame(news, schema), "k", newer_by=["d", "n"])
+    assert rows(store.scan("t"), "k", "v") == [("a", 1), ("b", 2)]
+
+
+def test_flags_say_which_columns_a_row_holds(spark, store, rows):
+    table(spark, store, [(1, 10, 20), (2, 11, 21)], "k int, a int, b int", None)
+    news = spark.createDataFrame([(1, 5, None, True, False), (2, None, 7, True, True), (3, 1, 2, False, True)], "k int, a int, b int, fa boolean, fb boolean")
+    store.upsert("t", news, "k", presence={"a": "fa", "b": "fb"})
+    assert rows(store.scan("t")) == [(1, 5, 20), (2, None, 7), (3, 1, 2)]
+
+
+def test_repair_keeps_the_comment(spark, store):
+    df = spark.createDataFrame([(1, date(2024, 1, 1))], "k int, d date")
+    store.ensure_table("t", df.schema, "d", granularity="day", description="it's kept")
+    store.append("t", df)
+    store.repair_layout("t", "month")
+    assert spark.catalog.getTable(f"{store.database}.t").description == "it's kept"
+    assert store.scan("t").count() == 1
+
+
+def test_whole_days_of_a_timestamp_column(spark, store, rows):
+    stamps = [(1, datetime(2024, 1, 1, 5)), (2, datetime(2024, 1, 2, 0)), (3, datetime(2024, 1, 2, 7)), (4, datetime(2024, 1, 3, 1))]
+    df = table(spark, store, stamps, "k int, d timestamp", "d")
+    store.delete_range("t", date(2024, 1, 1), date(2024, 1, 2), "d")
+    assert rows(store.scan("t"), "k") == [(3,), (4,)]
+    store.truncate("t", df)
+    store.delete_range("t", date(2024, 1, 1), date(2024, 1, 2), "d", align_days=True)
+    assert rows(store.scan("t"), "k") == [(4,)]
