@@ -150,9 +150,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
 
     Documents whose shingle sets overlap in at least ``percent`` of the union are linked;
     ``component_id`` is the smallest doc_id reachable over links. NULL and empty texts
-    have no shingles and no links. Rows that repeat a doc_id are one document that links
-    whatever any of its texts links. A row without doc_id links nothing: its component is
-    NULL and it is kept. Other columns of ``docs`` play no part.
+    have no shingles and no links. Rows that share a doc_id go each by its own text, and
+    groups with the same smallest doc_id are one. A row without doc_id links nothing: its
+    component is NULL and it is kept. Other columns of ``docs`` play no part.
     """
     signed = materialize(signatures(docs, bands, rows), "signatures")
     able = signed.where("n > 0 AND doc_id IS NOT NULL")

@@ -11,7 +11,11 @@ after the other, cut where a window ends.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +24,94 @@ from pyspark.sql import functions as F
 
 WINDOW = 2048
 END_OF_TEXT = 1
+ID = np.dtype("<u4")
 # A block ends when it has this many tokens; memory of a task is a small multiple of that.
-BLOCK_TOKENS = 8_000_000
-ROUNDS = 120
+BLOCK_TOKENS = 16_000_000
+ROUNDS = 40
+# Pieces of text whose ids a task remembers.
+REMEMBERED = 500_000
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+# Letters and digits below this code point are told apart here as the tokenizer does.
+_LATIN = 0x250
+
+
+def _class_of(kind: str) -> str:
+    return "".join(re.escape(chr(c)) for c in range(_LATIN) if unicodedata.category(chr(c))[0] == kind)
+
+
+class Encoder:
+    """Token ids of texts, by a tokenizer whose pieces of text repeat often.
+
+    A tokenizer with word ends that splits its lower-cased text into runs of letters,
+    single digits and runs of other characters gives a piece the same ids wherever it
+    stands. For texts in Latin script the pieces are found here and encoded when they are
+    new; other texts, and other tokenizers, are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        normal = [n.get("type") for n in (parts.get("normalizer") or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        # The split and the steps before it that the pieces below follow.
+        known = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+        self.by_piece = normal == ["NFC", "Replace", "Lowercase"] and splits[:1] == [known] and parts["model"].get("end_of_word_suffix") == "</w>"
+        letters, digits, blanks = _class_of("L"), _class_of("N"), "\t\n\x0b\x0c\r \x85\xa0"
+        self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{blanks}{letters}{digits}]+")
+        self.latin = re.compile(f"[\x00-{chr(_LATIN - 1)}]*")
+        self.special = [t["content"] for t in parts.get("added_tokens", ())]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = bytearray(max(vocabulary.values(), default=0) + 1)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith("</w>")
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def whole(self, text: str) -> list[int]:
+        # The fast form leaves out places in the text, which nobody needs here.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes new pieces in one go; each ends with a token that ends a word."""
+        found, current = [], []
+        for number in self.whole(" ".join(pieces)):
+            current.append(number)
+            if self.ends[number]:
+                found.append(tuple(current))
+                current = []
+        if current or len(found) != len(pieces):
+            found = [tuple(self.whole(p)) for p in pieces]
+        self.known.update(zip(pieces, found, strict=True))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The texts' ids; pieces that are new in any of them are learnt together."""
+        split: list[list[str] | None] = []
+        met: set[str] = set()
+        for text in texts:
+            plain = self.by_piece and self.latin.fullmatch(text) and unicodedata.is_normalized("NFC", text)
+            if plain and not any(s in text for s in self.special):
+                split.append(self.pieces.findall(text.lower()))
+                met.update(split[-1])
+            else:
+                split.append(None)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list(met.difference(self.known))
+        if new:
+            self.learn(new)
+        get = self.known.__getitem__
+        return [
+            np.array(self.whole(text), dtype=ID) if pieces is None else np.fromiter(chain.from_iterable(map(get, pieces)), dtype=ID)
+            for text, pieces in zip(texts, split, strict=True)
+        ]
+
+
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
     """Index triples into ascending ``lengths`` that add up to ``window``; -1 stands for no length."""
     at = np.full(window + 1, -1, dtype=np.int64)
@@ -80,18 +166,22 @@ def least_squares(members: np.ndarray, target: np.ndarray, rounds: int = ROUNDS)
 
 def rounded(members: np.ndarray, counts: np.ndarray, stock: np.ndarray) -> list[tuple[list[int], int]]:
     """Whole numbers of each combination, largest first, rounded up while the stock of lengths lasts."""
-    left = stock.copy()
+    # One more place stands for "no length" and never runs out.
+    left = np.append(stock, np.iinfo(np.int64).max // 2)
+    order = np.argsort(-counts, kind="stable")
+    order = order[counts[order] > 1e-9]
     used = []
-    for row in np.argsort(-counts, kind="stable"):
-        if counts[row] <= 1e-9:
-            break
-        parts = [int(p) for p in members[row] if p >= 0]
-        need = {p: parts.count(p) for p in parts}
-        times = min(int(np.ceil(counts[row])), *(int(left[p]) // n for p, n in need.items()))
-        if times > 0:
-            used.append((parts, times))
-            for p, n in need.items():
-                left[p] -= n * times
+    for i in range(0, len(order), 1024):
+        rows = order[i : i + 1024]
+        # Most combinations of a late block lack a length by then.
+        for row in rows[(left[members[rows]] > 0).all(axis=1)].tolist():
+            parts = [p for p in members[row].tolist() if p >= 0]
+            need = {p: parts.count(p) for p in parts}
+            times = min(int(np.ceil(counts[row])), *(int(left[p]) // n for p, n in need.items()))
+            if times > 0:
+                used.append((parts, times))
+                for p, n in need.items():
+                    left[p] -= n * times
     return used
 
 
@@ -143,11 +233,8 @@ def _packer(tokenizer_path: str, window: int, block_tokens: int):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
+        encoder = Encoder(tokenizer_path)
         # The partition's number makes sequence ids unique; a lost task makes the same ones again.
         first = TaskContext.get().partitionId() << 36
         ids, docs, held = [], [], 0
@@ -168,13 +255,12 @@ def _packer(tokenizer_path: str, window: int, block_tokens: int):
             ids, docs, held = [], [], 0
 
         for batch in batches:
-            keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for i in range(0, len(texts), 64):
-                encoded = tokenizer.encode_batch([t or "" for t in texts[i : i + 64]], add_special_tokens=False)
-                for key, e in zip(keys[i : i + 64], encoded, strict=True):
-                    ids.append(np.array([*e.ids, END_OF_TEXT], dtype="<u4"))
-                    docs.append(key)
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                for one in encoder.encode([text or "" for text in part.column("text").to_pylist()]):
+                    ids.append(np.append(one, np.array([END_OF_TEXT], dtype=ID)))
                     held += len(ids[-1])
+                docs += part.column("doc_id").to_pylist()
                 if held >= block_tokens:
                     yield from block()
         if ids:

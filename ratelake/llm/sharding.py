@@ -129,6 +129,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     total = base.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     groups = base.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("text_hash")
+    groups = materialize(groups, "groups")
     marked = base.select("row", "text_hash").join(groups.withColumn("linked", F.lit(True)), "text_hash", "left")
     started = materialize(
         marked.select("row", "text_hash", F.coalesce("linked", F.lit(False)).alias("linked"), F.pmod(hash64("row"), F.lit(shards)).cast("int").alias("shard")),

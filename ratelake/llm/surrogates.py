@@ -44,6 +44,7 @@ HINT = rf"@|[0-9]|(?<![\p{{L}}\p{{N}}])(?:{_TITLES})[  ]"
 SYLLABLES = ("ba", "do", "ki", "lu", "me", "na", "po", "ri", "sa", "te", "vo", "zi", "ga", "len", "mar", "tor")
 LATIN = "abdegiklmnoprstuvz"
 SCRIPTS = {"cyrillic": "абдегиклмнопрстувз", "greek": "αβδεγικλμνοπρστυωζ"}
+IN_SCRIPT = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 
 
 def _is(text: Column, pattern: str) -> Column:
@@ -143,18 +144,13 @@ def address(hexadecimal: Column) -> Column:
     return F.concat_ws(".", part(0), part(1), part(2), part(3))
 
 
-def script_of(word: Column) -> Column:
-    return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-
-
-def name_word(kind: Column, word: Column, attempt: Column) -> Column:
+def name_word(kind: Column, word: Column, attempt: Column, drawn: Column) -> Column:
     """A name of made-up syllables in the word's script, with an ending by gender; ``word`` is in lower case."""
-    drawn = syllables(digest(kind, word, attempt), 1, 3 + attempt)
     ending = F.when(kind == "female", "na").when(kind == "male", "n").otherwise(F.lit("ler"))
-    latin, script = F.concat(drawn, ending), script_of(word)
+    latin = F.concat(syllables(drawn, 1, 3 + attempt), ending)
     out = latin
-    for name, letters in SCRIPTS.items():
-        out = F.when(script == name, F.translate(latin, LATIN, letters)).otherwise(out)
+    for script, letters in SCRIPTS.items():
+        out = F.when(word.rlike(IN_SCRIPT[script]), F.translate(latin, LATIN, letters)).otherwise(out)
     return out
 
 
@@ -184,9 +180,8 @@ def entities_of(mention: Column, kind: Column) -> Column:
     return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), entity.alias("entity"))))
 
 
-def surrogate_of(kind: Column, entity: Column, attempt: Column) -> Column:
-    """The normalised surrogate of a normalised entity."""
-    drawn = digest(kind, entity, attempt)
+def surrogate_of(kind: Column, entity: Column, attempt: Column, drawn: Column) -> Column:
+    """The normalised surrogate of a normalised entity; ``drawn`` is the digest of the three."""
     digits = decimal_digits(drawn)
     at = F.instr(entity, "@")
     domain = F.substr(entity, at + 1, F.length(entity))
@@ -209,7 +204,7 @@ def surrogate_of(kind: Column, entity: Column, attempt: Column) -> Column:
         .when(kind == "phone", F.concat(F.substr(entity, F.lit(1), code), area, F.substr(digits, F.lit(2), F.length(entity) - code - 1)))
         .when(kind == "ssn", F.substring(digits, 1, 9))
         .when(kind == "card", card_digits(entity, drawn))
-        .otherwise(name_word(kind, entity, attempt))
+        .otherwise(name_word(kind, entity, attempt, drawn))
     )
 
 
@@ -217,28 +212,37 @@ def _like_case(word: Column, like: Column) -> Column:
     return F.when((F.length(like) > 1) & (like == F.upper(like)), F.upper(word)).otherwise(F.initcap(word))
 
 
-def rewritten(match: Column, kind: Column, attempts: Column) -> Column:
-    """The replacement of a match, in the match's own format."""
-    def attempt(k: Column, e: Column) -> Column:
-        return F.coalesce(attempts[F.concat_ws("|", k, e)], F.lit(0))
+def with_surrogates(parts: Column, attempts: Column) -> Column:
+    """The entities of a mention with ``made``, their surrogates.
+
+    Each step is a transform of its own, so that what it computes is computed once and
+    named in the next; nested in one expression it would be repeated at every use.
+    """
+    tried = F.transform(
+        parts,
+        lambda p: F.struct(
+            p["kind"].alias("kind"), p["entity"].alias("entity"), F.coalesce(attempts[F.concat_ws("|", p["kind"], p["entity"])], F.lit(0)).alias("attempt")
+        ),
+    )
+    drawn = F.transform(tried, lambda p: p.withField("drawn", digest(p["kind"], p["entity"], p["attempt"])))
+    return F.transform(drawn, lambda p: surrogate_of(p["kind"], p["entity"], p["attempt"], p["drawn"]))
+
 
-    part = entities_of(match, kind)
-    one = part[0]
-    made = surrogate_of(one["kind"], one["entity"], attempt(one["kind"], one["entity"]))
-    iban = F.when(F.contains(match, F.lit(" ")), F.rtrim(F.regexp_replace(made, "(.{4})", "$1 "))).otherwise(made)
-    words = name_words(match)
+def rewritten(kind: Column, match: Column, made: Column) -> Column:
+    """The replacement of a match in the match's own format; ``made`` are the surrogates of its entities."""
+    one = made[0]
+    iban = F.when(F.contains(match, F.lit(" ")), F.rtrim(F.regexp_replace(one, "(.{4})", "$1 "))).otherwise(one)
     name = F.concat(
-        F.regexp_extract(match, "^[^  ]+[  ]", 0),
-        F.array_join(F.zip_with(part, words, lambda p, w: _like_case(name_word(p["kind"], p["entity"], attempt(p["kind"], p["entity"])), w)), " "),
+        F.regexp_extract(match, "^[^  ]+[  ]", 0),
+        F.array_join(F.zip_with(made, name_words(match), _like_case), " "),
     )
     upper = (match == F.upper(match)) & match.rlike("[A-Z]")
     return (
         F.when(kind == "name", name)
-        .when(kind == "phone", refill(match, only_digits(made)))
-        .when(kind.isin("card", "ssn"), refill(match, made))
+        .when(kind.isin("phone", "card", "ssn"), refill(match, only_digits(one)))
         .when(kind == "iban", iban)
-        .when(upper, F.upper(made))
-        .otherwise(made)
+        .when(upper, F.upper(one))
+        .otherwise(one)
     )
 
 
@@ -267,7 +271,8 @@ def redrawn(entities: DataFrame) -> DataFrame:
     real = entities.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("real"))
     same = Window.partitionBy("kind", "surrogate").orderBy("attempt", "entity")
     while True:
-        drawn = state.withColumn("surrogate", surrogate_of(F.col("kind"), F.col("entity"), F.col("attempt")))
+        drawn = state.withColumn("drawn", digest(F.col("kind"), F.col("entity"), F.col("attempt")))
+        drawn = drawn.withColumn("surrogate", surrogate_of(F.col("kind"), F.col("entity"), F.col("attempt"), F.col("drawn")))
         judged = drawn.withColumn("place", F.row_number().over(same)).join(real, ["kind", "surrogate"], "left")
         state = judged.withColumn("bad", (F.col("place") > 1) | F.col("real").isNotNull())
         state = materialize(state.select("kind", "entity", "bad", (F.col("attempt") + F.col("bad").cast("int")).alias("attempt")), "drawn")
@@ -298,9 +303,11 @@ def pseudonymize(df: DataFrame, text: str = "text", row: str = "doc_id") -> Data
         maps = materialize(maps, "attempts")
         ready = found.join(maps, F.col(row).eqNullSafe(F.col("_row")), "left").drop("_row")
         ready = ready.withColumn("_attempts", F.coalesce("_attempts", F.create_map().cast("map<string,int>")))
+    found_or_none = F.coalesce("_found", F.array().cast("array<struct<kind:string,mention:string>>"))
+    with_parts = F.transform(found_or_none, lambda m: m.withField("made", with_surrogates(entities_of(m["mention"], m["kind"]), F.col("_attempts"))))
     made = F.transform(
-        F.coalesce("_found", F.array().cast("array<struct<kind:string,mention:string>>")),
-        lambda m: F.struct(m["kind"].alias("kind"), m["mention"].alias("mention"), rewritten(m["mention"], m["kind"], F.col("_attempts")).alias("surrogate")),
+        with_parts,
+        lambda m: F.struct(m["kind"].alias("kind"), m["mention"].alias("mention"), rewritten(m["kind"], m["mention"], m["made"]).alias("surrogate")),
     )
     pieces = F.zip_with(F.split(text, ANY, -1), "entities", lambda piece, e: F.concat(piece, F.coalesce(e["surrogate"], F.lit(""))))
     return (

@@ -1,0 +1,120 @@
+"""Surrogates for personal data."""
+
+import re
+
+import regex
+from pyspark.sql import functions as F
+
+from ratelake.llm import surrogates
+from ratelake.llm.surrogates import pseudonymize
+
+TEXTS = [
+    None,
+    "",
+    "Nothing here, 3.14 or 2024-01-15 12:30, version 1.2.3.4.5, a@b, 12345.",
+    "Mail Bob.37@Mail1.example.com or bob.37@mail1.example.com, call +1 (443) 555-5793, +14435555793 or 443-555-5793.",
+    "Cards 4539 1488 0343 6467 and 4539148803436467, 2669109448945250; SSN 123-45-6789.",
+    "GB82 WEST 1234 5698 7654 32 and DE89370400440532013000 from 144.137.247.239",
+    'token = "0B96A8C8D79C4A5085C919698889F59B72AB7BB6" 0b96a8c8d79c4a5085c919698889f59b72ab7bb6',
+    "Frau Maria Schmidt und Frau SCHMIDT, Mr. Smith, Госпожа Иванова, Κύριος Παπαδόπουλος.",
+    "été.90@mail2.example.com é " * 300,
+    "x" * 200_000 + " 1.43.173.185",
+]
+
+
+def replaced(df):
+    return {r.doc_id: (r.text, [(e.kind, e.mention, e.surrogate) for e in r.entities]) for r in df.collect()}
+
+
+def luhn(digits):
+    return sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def iban(text):
+    text = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+
+def shape(text):
+    return re.sub(r"[A-ZА-Я]", "A", re.sub(r"[0-9]", "9", text))
+
+
+def test_texts_are_rebuilt_around_the_surrogates(documents, cluttered):
+    df = cluttered(documents(*enumerate(TEXTS)))
+    out = pseudonymize(df)
+    assert out.columns == [*df.columns, "entities"]
+    for i, (text, entities) in replaced(out).items():
+        source = TEXTS[i]
+        want, at = "", 0
+        for kind, mention, surrogate in entities:
+            place = source.index(mention, at)
+            want += source[at:place] + surrogate
+            at = place + len(mention)
+            assert surrogate != mention and kind
+        assert text == (want + source[at:] if source else source)
+        if i < 3:
+            assert entities == [] and text == source
+        for _, mention, _ in entities:
+            assert mention not in text
+
+
+def test_kinds_keep_their_form(documents):
+    made = [e for _, entities in replaced(pseudonymize(documents(*enumerate(TEXTS)))).values() for e in entities]
+    kinds = {k for k, _, _ in made}
+    assert kinds == set(surrogates.PATTERNS)
+    for kind, mention, surrogate in made:
+        assert regex.fullmatch(surrogates.PATTERNS[kind], surrogate), (mention, surrogate)
+        if kind in ("phone", "ssn", "card"):
+            assert shape(mention) == shape(surrogate)
+        if kind == "phone" and mention.startswith("+1"):
+            assert surrogate.startswith("+1")
+        if kind == "card":
+            assert luhn(re.sub(r"\D", "", surrogate)) or not luhn(re.sub(r"\D", "", mention))
+        if kind == "iban":
+            assert iban(surrogate) and surrogate[:2] == mention[:2] and len(surrogate) == len(mention)
+        if kind == "secret":
+            assert len(surrogate) == len(mention) and surrogate.isupper() == mention.isupper()
+
+
+def test_one_surrogate_for_each_entity(documents):
+    found = replaced(pseudonymize(documents(*enumerate(TEXTS))))
+    made = {m: s for _, entities in found.values() for _, m, s in entities}
+    assert made["Bob.37@Mail1.example.com"] == made["bob.37@mail1.example.com"]
+    assert re.sub(r"\D", "", made["+1 (443) 555-5793"]) == re.sub(r"\D", "", made["+14435555793"])
+    assert made["4539 1488 0343 6467"].replace(" ", "") == made["4539148803436467"]
+    upper, lower = (made[x] for x in ("0B96A8C8D79C4A5085C919698889F59B72AB7BB6", "0b96a8c8d79c4a5085c919698889f59b72ab7bb6"))
+    assert upper == lower.upper()
+    assert made["Frau Maria Schmidt"].split()[-1].upper() == made["Frau SCHMIDT"].split()[-1]
+    given = made["Frau Maria Schmidt"].split()[1]
+    assert given.endswith("na")
+    assert re.fullmatch("Госпожа [А-Я][а-я]+", made["Госпожа Иванова"])
+    assert re.fullmatch("Κύριος [Α-Ω][α-ωό]+", made["Κύριος Παπαδόπουλος"])
+
+
+def test_collisions_are_drawn_again(spark, documents, monkeypatch):
+    """With a surrogate space of seven, many first draws collide; in the end none do."""
+
+    def narrow(kind, entity, attempt, drawn=None):
+        few = F.pmod(F.xxhash64(kind, entity, attempt), F.lit(7))
+        return F.concat(F.lit("10.0.0."), (few + 100 * attempt).cast("string"))
+
+    monkeypatch.setattr(surrogates, "surrogate_of", narrow)
+    entities = spark.createDataFrame([("ip", f"10.0.0.{i}") for i in range(12)], "kind string, entity string")
+    again = surrogates.redrawn(entities)
+    drawn = entities.join(again, ["kind", "entity"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
+    values = [r[0] for r in drawn.select(narrow(F.col("kind"), F.col("entity"), F.col("attempt"))).collect()]
+    assert len(set(values)) == 12 and not set(values) & {f"10.0.0.{i}" for i in range(12)}
+    rows = [(i, f"from 10.0.0.{i} to 10.0.0.{(i + 1) % 12}") for i in range(12)] + [(None, "10.0.0.3"), (3, "10.0.0.5")]
+    found = replaced_rows(pseudonymize(documents(*rows)))
+    by = {}
+    for mention, surrogate in found:
+        assert by.setdefault(mention, surrogate) == surrogate
+    assert len(set(by.values())) == len(by) == 12
+
+
+def replaced_rows(df):
+    return [(e.mention, e.surrogate) for r in df.collect() for e in r.entities]
+
+
+def test_empty_table(documents):
+    assert pseudonymize(documents((1, "x")).limit(0)).count() == 0
