@@ -33,6 +33,17 @@ def hash64(*columns: Column | str) -> Column:
     return F.xxhash64(*columns)
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows of ``df`` that meet a condition on computed columns.
+
+    A filter is otherwise moved below the projection that computes them, and would
+    compute them a second time, once more for every use in the condition. A row number,
+    whose value does not matter, keeps it in place.
+    """
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.where(condition & (F.col("_row") >= 0)).drop("_row")
+
+
 def rank_in_groups(df: DataFrame, group: str, strata: list[str], spread: str, order: list[str], name: str = "rank") -> DataFrame:
     """Adds the row's place (from 0) among the rows of its ``group``.
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import BLANKS, hash64, shifted, split_words
+from ratelake.llm.common import BLANKS, hash64, shifted, split_words, where_computed
 
 SYMBOLS = "#*$%&|<>"
 
@@ -147,4 +147,4 @@ def judge(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", la
 
 def keep_good(df: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass, with the columns they came with."""
-    return judge(df, rules).where("quality.kept").select(*df.columns)
+    return where_computed(judge(df, rules), F.col("quality.kept")).select(*df.columns)

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratelake.llm.common import where_computed
 from ratelake.session import materialize
 
 KEY = "surrogate-key-1"
@@ -257,7 +258,7 @@ def _with_matches(df: DataFrame, text: str) -> DataFrame:
 
 def _entities(found: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and the normalised entities of the rows that have any."""
-    mentions = found.where(F.size("_found") > 0).select(*columns, F.explode("_found").alias("m"))
+    mentions = where_computed(found, F.size("_found") > 0).select(*columns, F.explode("_found").alias("m"))
     return mentions.select(*columns, F.explode(entities_of(F.col("m.mention"), F.col("m.kind"))).alias("e")).select(*columns, "e.*")
 
 
