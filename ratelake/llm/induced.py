@@ -64,14 +64,26 @@ class Queue:
         return np.frombuffer(self.file.read(at[1] * ENTRY.itemsize), dtype=ENTRY)
 
     def take(self, key: int) -> Iterator[np.ndarray]:
-        """The bucket's blocks, in order and for good, those put in meanwhile included."""
+        """The bucket's entries, in order and for good, those put in meanwhile included.
+
+        What lies there is taken together: many short blocks would cost more than their entries.
+        """
         while self.spilled.get(key) or self.memory.get(key):
             if self.spilled.get(key):
-                yield self._read(self.spilled[key].pop(0))
+                waiting, self.spilled[key] = self.spilled[key], []
+                parts, size = [], 0
+                for block in waiting:
+                    parts.append(self._read(block))
+                    size += block[1]
+                    if size >= BLOCK:
+                        yield np.concatenate(parts)
+                        parts, size = [], 0
+                if parts:
+                    yield np.concatenate(parts)
             else:
-                entries = self.memory[key].pop(0)
-                self.size -= len(entries)
-                yield entries
+                parts = self.memory.pop(key)
+                self.size -= sum(map(len, parts))
+                yield np.concatenate(parts)
 
     def blocks(self, key: int, backwards: bool = False) -> Iterator[np.ndarray]:
         """The bucket's blocks, which stay in it."""
@@ -103,18 +115,37 @@ class Text:
 
     def shared(self, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
         """Length of the common prefix of the suffixes at ``a`` and ``b``, up to ``depth``."""
+        size, width = len(self.values), 8
         out = np.zeros(len(a), dtype=np.int32)
+        if not len(a):
+            return out
+        # Eight characters at a time by a mixed sum, then one by one where sums differ. A sum
+        # that agrees by chance is found out when its characters are compared once more.
+        mixed = np.zeros(size + width, dtype=np.uint64)
+        padded = np.append(self.values, np.zeros(2 * width, dtype=self.values.dtype)).astype(np.uint64)
+        exact = int(self.values.max()) < 256
+        for i in range(width):
+            mixed = mixed * np.uint64(256 if exact else 0x9E3779B97F4A7C15) + padded[i : i + size + width]
         alive = np.arange(len(a))
-        size = len(self.values)
-        for at in range(depth):
+        limit = np.minimum(depth, size - np.maximum(a, b))
+        for at in range(0, depth, width):
+            alive = alive[out[alive] == at]
             x, y = a[alive] + at, b[alive] + at
-            inside = (x < size) & (y < size)
+            inside = at < limit[alive]
             alive, x, y = alive[inside], x[inside], y[inside]
-            alive = alive[self.values[x] == self.values[y]]
             if not len(alive):
                 break
-            out[alive] += 1
-        return out
+            same = mixed[x] == mixed[y]
+            if not exact:
+                for i in range(width):
+                    same &= padded[x + i] == padded[y + i]
+            out[alive[same]] = at + width
+            rest, x, y = alive[~same], x[~same], y[~same]
+            for i in range(width):
+                equal = padded[x + i] == padded[y + i]
+                rest, x, y = rest[equal], x[equal], y[equal]
+                out[rest] += 1
+        return np.minimum(out, limit).astype(np.int32)
 
 
 def sort_directly(names: np.ndarray, depth: int) -> np.ndarray:

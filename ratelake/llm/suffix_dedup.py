@@ -27,8 +27,8 @@ LENGTH = 100
 ANCHOR = 32
 # Bytes sorted together; a smaller number makes more and shorter tasks.
 SHARD_BYTES = 1 << 18
-# An anchor with more different stretches than this is dealt by whole strings instead.
-CROWDED = 512
+# An anchor with more different stretches than a task should sort (about 2 MB) is dealt by whole strings instead.
+CROWDED = 16_384
 # Id lists up to this length (8 bytes each) may be sent to every executor.
 BROADCAST_IDS = 1_000_000
 
@@ -283,6 +283,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, s
     # Copies of a whole text lose everything; only the first of them is looked at further.
     small = materialize(known.select("doc_id", "tid", F.octet_length("text").alias("size"), F.md5(F.col("text").cast("binary")).alias("whole")), "texts")
     first = small.groupBy("whole", "size").agg(F.min(F.struct("doc_id", "tid")).alias("lead"))
+    first = materialize(first, "wholes")
     extra = materialize(small.join(first, ["whole", "size"]).where(F.col("tid") != F.col("lead.tid")).select("tid").distinct(), "copies")
     originals = known.join(_few(extra), "tid", "left_anti").where(F.octet_length("text") >= length)
     ranges = materialize(removed_ranges(originals, length, width, shard_bytes, crowded), "ranges")
