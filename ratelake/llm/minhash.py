@@ -194,8 +194,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     return linked.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, with its columns."""
-    found = near_duplicates(docs, percent)
+    found = near_duplicates(docs, percent, bands)
     gone = materialize(found.where("NOT kept").select("doc_id").distinct(), "gone")
     return docs.join(_few(gone), "doc_id", "left_anti").select(*docs.columns)

@@ -1,11 +1,12 @@
 """The pipeline, stage by stage, against brute force."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
-from test_duplicates import linked
+from test_duplicates import altered, linked, prose, shingles
 from test_text_rules import measures
 
 from ratelake.llm import mixing, quality
@@ -59,6 +60,38 @@ def test_stages(spark):
     assert set(ids) == {i for i, n in copies.items() if n}
 
 
+def linked_from_80(rows):
+    """Smallest reachable id of each row over pairs that overlap in 80 %, by comparing all pairs."""
+    root = {i: i for i, _ in rows}
+    sets = [(i, shingles(t)) for i, t in rows]
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = root[i], root[j]
+                root = {n: min(x, y) if r in (x, y) else r for n, r in root.items()}
+    return root
+
+
+def test_near_duplicates_are_linked_from_80(documents, spark):
+    rng = random.Random(12)
+    rows = []
+    for edits in (7, 8, 9, 10, 11, 12) * 4:
+        base = prose(rng, 400)
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(altered(rng, base, edits)))]
+    sets = [shingles(t) for _, t in rows]
+    alike = [100 * len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    assert sum(80 <= x < 85 for x in alike) >= 5 and min(alike) < 80
+    kept = corpus_pipeline.near_duplicates(spark, documents(*rows), FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(linked_from_80(rows).values()))
+
+
+def test_near_duplicates_of_the_documents_are_linked_from_80(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    want = linked_from_80([(r.doc_id, r.text) for r in docs.collect()])
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
 def test_run_gives_the_same(spark):
     first = corpus_pipeline.run(spark, FOLDER).select("doc_id", "start", "length", "doc_tokens").collect()
     assert sum(r.length for r in first) > 0
