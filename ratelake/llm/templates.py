@@ -43,6 +43,21 @@ CLASSES = frozenset(
     "navbar navigation breadcrumb breadcrumbs footer header masthead comment comments commentlist replies respond disqus "
     "related share sharing social toolbar pagination pager login search".split()
 )
+# With these beside it in a compound (site-footer, sidebar-left) a word of CLASSES still names the part itself.
+# Others (has-sidebar, comments-open, related-work) tell of something else.
+BESIDE = frozenset(
+    "site main page post entry article blog user global primary secondary top bottom left right upper lower mobile desktop sub inner outer "
+    "box bar list link links container wrapper wrap block area panel group button buttons icon icons item items form posts articles stories".split()
+)
+COMPOUNDS = frozenset("comments-section comment-section comments_section comment_section footer-content sidebar-content".split())
+# The header of a text holds its title.
+TEXTS = frozenset("post entry article page".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Parts with these words are no wrappers of a page, however much text they hold.
+NEVER_WRAPS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "notice notices newsletter subscribe subscription comment comments commentlist replies respond disqus dialog alert alertdialog".split()
+)
 CONTAINERS = frozenset(("html", "body", "article", "main"))
 # Elements whose recurrence inside an article tells of a template; paragraphs and headings do not.
 BOXES = frozenset("div section ul ol dl table figure details fieldset address center".split())
@@ -63,41 +78,67 @@ MARKUP = re.compile(
     r"|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[a-z0-9]+")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.A | re.I) for name in RAW}
+
 
+def part_named(token: str) -> set[str]:
+    """The words of CLASSES by which a class or id names a part that is never main text."""
+    parts = NAME.findall(token)
+    words = CLASSES.intersection(parts)
+    if token in COMPOUNDS:
+        return words
+    if not all(p in CLASSES or p in BESIDE or p[0].isdigit() for p in parts):
+        return set()
+    return set() if words == {"header"} and not TEXTS.isdisjoint(parts) else words
 
-def marked(attributes: str) -> bool:
-    """Whether class, id or role name a part that is never main text."""
+
+def marked(attributes: str) -> set[str]:
+    """The words by which class, id or role name a part that is never main text."""
+    found = set()
     for key, *values in ATTRIBUTE.findall(attributes):
-        words = set(NAME.findall("".join(values).lower()))
-        if words & (ROLES if key.lower() == "role" else CLASSES):
-            return True
-    return False
+        key = key.lower()
+        if key in ("class", "id", "role"):
+            for token in "".join(values).lower().split():
+                found |= ROLES & {token} if key == "role" else part_named(token)
+    return found
 
 
 class Element:
-    """An open block element: its parts for the subtree hash, and where its blocks begin."""
+    """An open block element: its parts for the subtree hash, where its blocks begin, and what may exempt it."""
 
-    __slots__ = ("first", "name", "parts", "skipped")
+    __slots__ = ("before", "first", "name", "parts", "place", "skipped", "tagged")
 
-    def __init__(self, name: str, first: int, skipped: bool):
+    def __init__(self, name: str, first: int, skipped: bool, tagged: bool, place: int | None, before: int):
         self.name, self.first, self.skipped, self.parts = name, first, skipped, []
+        self.tagged, self.place, self.before = tagged, place, before
 
 
 class Page:
     """Blocks of a page, and its subtrees as ``(name, first block, end, hash, inside an article)``."""
 
     def __init__(self, source: str):
+        self._clear()
+        self._read(source)
+        # What is named like a part but holds most of the text, or all that there is, wraps the page.
+        wrappers = {at for at, held in self.held if 2 * held > self.seen or not self.blocks}
+        if wrappers:
+            self._clear(wrappers)
+            self._read(source)
+        self.has_article = any(a for _, a, _ in self.blocks)
+        self.has_main = any(m for _, _, m in self.blocks)
+
+    def _clear(self, wrappers: set[int] = frozenset()) -> None:
+        self.wrappers = wrappers
+        self.held: list[tuple[int, int]] = []  # place of a possible wrapper, characters in it
+        self.seen = self.tagged = 0
         self.blocks: list[tuple[str, bool, bool]] = []  # text, inside an article, inside main
         self.subtrees: list[tuple[str, int, int, int, bool]] = []
         self.stack: list[Element] = []
         self.open: Counter[str] = Counter()
         self.skipping = 0
         self.text: list[str] = []
-        self._read(source)
-        self.has_article = any(a for _, a, _ in self.blocks)
-        self.has_main = any(m for _, _, m in self.blocks)
 
     def _flush(self) -> None:
         if self.text:
@@ -114,6 +155,9 @@ class Page:
         inside = self.open["article"] + self.open["main"] > 0
         self.open[done.name] -= 1
         self.skipping -= done.skipped
+        self.tagged -= done.tagged
+        if done.place is not None and self.seen > done.before:
+            self.held.append((done.place, self.seen - done.before))
         if len(self.blocks) > done.first:
             hashed = blake2b(b"\0".join([done.name.encode(), *done.parts]), digest_size=8).digest()
             self.subtrees.append((done.name, done.first, len(self.blocks), int.from_bytes(hashed, "big", signed=True), inside))
@@ -126,7 +170,7 @@ class Page:
                 self._pop()
             self._pop()
 
-    def _start(self, name: str, attributes: str) -> None:
+    def _start(self, name: str, attributes: str, place: int) -> None:
         self._flush()
         if name in ("article", "main"):
             # Main text begins; an element before it that never ended does not swallow it.
@@ -147,19 +191,27 @@ class Page:
             if name in ENDED_BY.get(e.name, ()) or e.name in LIST_ENDS:
                 break
         within = self.open["article"] + self.open["main"] > 0
-        skipped = name not in CONTAINERS and ((name in BOILERPLATE and not (name == "header" and within)) or (marked(attributes) and not (name == "header" and within)))
-        self.stack.append(Element(name, len(self.blocks), skipped))
+        tagged = name in BOILERPLATE and not (name == "header" and within)
+        words = set() if name in CONTAINERS or (within and (name == "header" or name in HEADINGS)) else marked(attributes)
+        if within:
+            words.discard("header")
+        wraps = bool(words) and not tagged and words.isdisjoint(NEVER_WRAPS)
+        skipped = tagged or (bool(words) and place not in self.wrappers)
+        self.stack.append(Element(name, len(self.blocks), skipped, tagged, place if wraps else None, self.seen))
+        self.tagged += tagged
         self.open[name] += 1
         self.skipping += skipped
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
-        lower = None
         while at < end:
             found = MARKUP.search(source, at)
             stop = found.start() if found else end
-            if stop > at and not self.skipping:
-                self.text.append(html.unescape(source[at:stop]))
+            if stop > at:
+                if not self.tagged:
+                    self.seen += len(source[at:stop].strip())
+                if not self.skipping:
+                    self.text.append(html.unescape(source[at:stop]))
             if not found:
                 break
             at = found.end()
@@ -171,11 +223,10 @@ class Page:
             elif name:
                 name = name.lower()
                 if name in RAW:
-                    lower = source.lower() if lower is None else lower
-                    shut = lower.find(f"</{name}", at)
-                    if shut < 0:
+                    ending = RAW_END[name].search(source, at)
+                    if not ending:
                         break
-                    shut = source.find(">", shut)
+                    shut = source.find(">", ending.end())
                     at = end if shut < 0 else shut + 1
                 elif name in VOID:
                     if name == "hr":
@@ -183,7 +234,7 @@ class Page:
                     elif not self.skipping:
                         self.text.append(" " if name == "br" else "")
                 elif name in BLOCKS:
-                    self._start(name, attributes)
+                    self._start(name, attributes, stop)
         while self.stack:
             self._pop()
         self._flush()

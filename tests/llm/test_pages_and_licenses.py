@@ -40,6 +40,27 @@ def test_main_text(source, want):
     assert text(source) == want
 
 
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<div class='content has-sidebar'><p>a</p></div><div class=x>b</div>", "a\n\nb"),
+        ("<div class='no-sidebar'><p>a</p></div><div class='post comments-open'>b</div><div class=with-header>c</div>", "a\n\nb\n\nc"),
+        ("<article><h1 class='entry-header'>T</h1><p>x</p></article>", "T\n\nx"),
+        ("<article><div class='article-header'><h1>T</h1></div><p>x</p></article>", "T\n\nx"),
+        ("<article><h1 class=header>T</h1><div class=header><h2>U</h2></div><p>x</p></article>", "T\n\nU\n\nx"),
+        ("<article><p>x</p><section id=related-work>r</section><section id=search-methods>s</section><div class=share-prices>p</div></article>", "x\n\nr\n\ns\n\np"),
+        ("<p data-id=search>a</p><blockquote cite='/q?id=related'>b</blockquote><p title=' class=ads '>c</p>", "a\n\nb\n\nc"),
+        ("<div id=header><p>most of the text of this page</p><div class=ads>advert</div></div><p>rest</p>", "most of the text of this page\n\nrest"),
+        ("<div id=header><p>one half</p></div><div class=widget><p>one half</p></div>", "one half\n\none half"),
+        ("<p>short</p><div class=comments><p>much longer words of readers</p></div><div class=site-footer>f</div>", "short"),
+        ("<p>words of the page</p><div class='sidebar-left x'>s</div><div id=comments-section>c</div><div id=ad_12>a</div>", "words of the page"),
+        ("<p>" + "İ" * 9 + "a</p><SCRIPT>var x = '</scripty>';</Script ><p>b</p>", "İ" * 9 + "a\n\nb"),
+    ],
+)
+def test_only_whole_names_of_parts_go(source, want):
+    assert text(source) == want
+
+
 def test_long_and_deep_pages():
     assert text("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert len(text("<p>" + "word " * 400_000)) == 5 * 400_000 - 1
