@@ -1,30 +1,27 @@
 """Shards of even size by balanced label propagation.
 
-Documents of equal text are linked. Every document starts in a shard by hash; in each
-round linked documents move to the shard where most of their neighbours are, as far as
-that shard's quota goes. A group is the star around its text, so a round costs one
-grouped count and one join, however large the groups are. A closing step moves single
-documents, which cut no links, until all shards hold the same number of rows or one more.
+Documents of equal text are linked. Every document starts in a shard by hash; a group
+moves whole to the shard where most of its members are, as far as that shard's quota
+goes, and asks elsewhere in the next round if it was not admitted, until none asks. A
+group is the star around its text, so a round works on one row per group. Groups larger
+than a quota fill whole shards first. A closing step moves single documents, which cut
+no links, until all shards hold the same number of rows or one more.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import hash64, rank_in_groups
+from ratelake.llm.common import hash64, rank_in_groups, text_table
 from ratelake.session import materialize
 
 SHARDS = 40
-ROUNDS = 5
 OVERHEAD = 16
 
 
-def _unit(*columns: Column | str) -> Column:
-    """A number in [0, 1) by hash."""
-    return F.shiftrightunsigned(hash64(*columns), 11).cast("double") / F.lit(float(1 << 53))
-
-
 def _pick(values: list[int], at: Column) -> Column:
     """The entry of a list with one number for each shard."""
     return F.element_at(F.array(*[F.lit(int(v)) for v in values]), at.cast("int") + 1)
@@ -50,45 +47,75 @@ def rows_with_texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def propagate(linked: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """Moves the rows of ``linked (row, text_hash, shard)`` towards their neighbours' shards.
+def split_over(n: int, room: list[int]) -> list[tuple[int, int]]:
+    """``(shard, rows)`` for ``n`` rows in as few shards as ``room`` allows, which it takes from: the roomiest ones, the rest where it fits best."""
+    parts = []
+    while n:
+        fitting = [s for s, r in enumerate(room) if r >= n]
+        s = min(fitting, key=room.__getitem__) if fitting else max(range(len(room)), key=room.__getitem__)
+        taken = min(n, room[s])
+        room[s] -= taken
+        n -= taken
+        parts.append((s, taken))
+    return parts
 
-    A shard takes movers up to its quota less the linked rows it has. Where more want to
-    come, a group is admitted by one draw for all its members in that round, so that it
-    moves together; members of a group larger than the room are drawn one by one.
+
+def propagate(groups: DataFrame, quotas: list[int]) -> tuple[list[DataFrame], dict[str, list[tuple[int, int]]]]:
+    """Shards of the ``groups (text_hash, n, votes)``: tables ``(text_hash, shard)`` of whole ones, and the parts of split ones.
+
+    Split are groups larger than a quota, and groups that no shard has room for at the
+    end: either are fewer than the shards, for together they are no more than the rows
+    there are (than the room that is left). A round admits the largest askers of each
+    shard as far as their running sum fits, at least one, so that rounds end.
     """
     shards = len(quotas)
-    for turn in range(rounds):
-        have = _counts(linked, shards)
-        room = [max(0, q - h) for q, h in zip(quotas, have, strict=True)]
-        votes = linked.groupBy("text_hash", "shard").agg(F.count(F.lit(1)).alias("n"))
-        # A full shard attracts nobody who is not there already.
-        open_votes = votes.where(_pick(room, F.col("shard")) > 0)
-        goal = open_votes.groupBy("text_hash").agg(
-            F.max(F.struct("n", hash64("text_hash", "shard").alias("tie"), "shard")).alias("best")
-        ).select("text_hash", F.col("best.shard").alias("goal"), F.col("best.n").alias("there"))
-        wanting = votes.join(goal, "text_hash").where((F.col("goal") != F.col("shard")) & (F.col("n") <= F.col("there")))
-        asked = wanting.groupBy("text_hash", "goal").agg(F.sum("n").alias("asking"))
-        # Groups that would fit alone ask as a whole; the others get their share of what is left.
-        demand = [0] * shards
-        for shard, n in asked.groupBy("goal").agg(F.sum("asking")).collect():
-            demand[shard] = n
-        chance = F.element_at(F.array(*[F.lit(min(1.0, r / d) if d else 0.0) for r, d in zip(room, demand, strict=True)]), F.col("goal") + 1)
-        whole = F.col("asking") * 4 <= _pick(room, F.col("goal"))
-        admitted = asked.select(
-            "text_hash", "goal", "asking", whole.alias("whole"), chance.alias("chance"), _unit("text_hash", F.lit(turn)).alias("draw")
-        )
-        moves = wanting.select("text_hash", "shard").join(admitted, "text_hash")
-        moves = moves.select("text_hash", F.col("shard"), "goal", "whole", "chance", "draw").where("NOT whole OR draw < chance")
-        stay = F.col("goal").isNull() | (~F.col("whole") & (_unit("row", F.lit(turn)) >= F.col("chance")))
-        linked = materialize(
-            linked.join(moves, ["text_hash", "shard"], "left")
-            .select("row", "text_hash", F.when(stay, F.col("shard")).otherwise(F.col("goal")).alias("shard")),
-            "moved",
-        )
-        if not any(demand):
+    room = list(quotas)
+    parts: dict[str, list[tuple[int, int]]] = {}
+    large = groups.where(F.col("n") > max(quotas)).select("text_hash", "n").collect()
+    for r in sorted(large, key=lambda r: (-r.n, r.text_hash)):
+        parts[r.text_hash] = split_over(r.n, room)
+    rest, whole, lost, turn = groups.where(F.col("n") <= max(quotas)), [], [], 0
+    while True:
+        able = F.filter(F.array(*[F.lit(s) for s in range(shards)]), lambda s: _pick(room, s) >= F.col("n"))
+        near = F.array_max(F.filter("votes", lambda v: _pick(room, v["shard"]) >= F.col("n")))["shard"]
+        # Where its members are is no room: any shard that has it.
+        other = F.get(able, F.pmod(hash64("text_hash", F.lit(turn)), F.greatest(F.size(able), F.lit(1))).cast("int"))
+        asking = materialize(rest.select("text_hash", "n", "votes", F.coalesce(near, other).alias("goal")), "asking")
+        lost += asking.where("goal IS NULL").select("text_hash", "n").collect()
+        # The running sum by size, in two steps: over cells, and inside each.
+        cell = ["goal", "n", "_cell"]
+        celled = asking.where("goal IS NOT NULL").withColumn("_cell", F.pmod(hash64("text_hash"), F.lit(256)))
+        earlier = Window.partitionBy("goal").orderBy(F.desc("n"), "_cell").rowsBetween(Window.unboundedPreceding, -1)
+        before = celled.groupBy(*cell).agg(F.sum("n").alias("_rows")).select(*cell, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        inside = Window.partitionBy(*cell).orderBy("text_hash")
+        summed = celled.withColumn("_inside", F.row_number().over(inside) * F.col("n")).join(before, cell)
+        fits = F.col("_before") + F.col("_inside") <= _pick(room, F.col("goal"))
+        asked = materialize(summed.select("text_hash", "n", "votes", F.col("goal").alias("shard"), fits.alias("fits")), "asked")
+        moved = asked.where("fits").groupBy("shard").agg(F.sum("n").alias("n")).collect()
+        if not moved:
             break
-    return linked
+        for shard, n in moved:
+            room[shard] -= n
+        whole.append(asked.where("fits").select("text_hash", "shard"))
+        rest = asked.where("NOT fits").select("text_hash", "n", "votes")
+        turn += 1
+    for r in sorted(lost, key=lambda r: (-r.n, r.text_hash)):
+        parts[r.text_hash] = split_over(r.n, room)
+    return whole, parts
+
+
+def split_rows(rows: DataFrame, parts: dict[str, list[tuple[int, int]]]) -> DataFrame:
+    """``(row, shard)`` of the rows of split groups, as many in each shard as its part says."""
+    ranges = []
+    for text_hash, pieces in parts.items():
+        at = 0
+        for shard, n in pieces:
+            ranges.append((text_hash, at, at + n, shard))
+            at += n
+    spread = rows.where(F.col("text_hash").isin(list(parts))).withColumn("_spread", F.shiftrightunsigned(hash64("row"), 32))
+    ranked = rank_in_groups(spread.select("row", "text_hash", "_spread"), "text_hash", [], "_spread", ["row"])
+    named = text_table(rows.sparkSession, ranges, "text_hash string, first long, past long, shard int")
+    return ranked.join(named, "text_hash").where("rank >= first AND rank < past").select("row", "shard")
 
 
 def even_rows(placed: DataFrame, quotas: list[int]) -> DataFrame:
@@ -118,25 +145,30 @@ def even_rows(placed: DataFrame, quotas: list[int]) -> DataFrame:
     return moved.withColumns({"_to": to.cast("int"), "slot": slot.cast("long")}).drop("shard", "rank", "_place").withColumnRenamed("_to", "shard")
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``(doc_id, size, text_crc32, text_hash, shard, slot)``, one row per row of ``docs``.
 
-    Shards hold equally many rows, or one more. Rows of equal text end in one shard as
-    far as its quota allows. A NULL text is empty; rows that repeat, and rows without
+    Shards hold equally many rows, or one more. Rows of equal text end in one shard
+    if a quota holds them and room for them is left, else in as few as can be. A NULL text is empty; rows that repeat, and rows without
     doc_id, are rows like others; other columns play no part.
     """
     base = materialize(rows_with_texts(docs), "rows")
     total = base.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
-    groups = base.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("text_hash")
-    groups = materialize(groups, "groups")
-    marked = base.select("row", "text_hash").join(groups.withColumn("linked", F.lit(True)), "text_hash", "left")
-    started = materialize(
-        marked.select("row", "text_hash", F.coalesce("linked", F.lit(False)).alias("linked"), F.pmod(hash64("row"), F.lit(shards)).cast("int").alias("shard")),
-        "started",
-    )
-    moved = propagate(started.where("linked").select("row", "text_hash", "shard"), quotas, rounds)
-    placed = moved.select("row", "shard", F.lit(0).alias("single")).union(started.where("NOT linked").select("row", "shard", F.lit(1)))
+    start = F.pmod(hash64("row"), F.lit(shards)).cast("int")
+    votes = base.select("text_hash", start.alias("shard")).groupBy("text_hash", "shard").agg(F.count(F.lit(1)).alias("n"))
+    vote = F.struct("n", hash64("text_hash", "shard").alias("tie"), "shard")
+    groups = votes.groupBy("text_hash").agg(F.sum("n").alias("n"), F.collect_list(vote).alias("votes")).where("n > 1")
+    whole, parts = propagate(materialize(groups, "groups"), quotas)
+    rows = base.select("row", "text_hash")
+    placed = rows.where(~F.col("text_hash").isin(list(parts))) if parts else rows
+    if whole:
+        placed = placed.join(reduce(DataFrame.union, whole).withColumnRenamed("shard", "goal"), "text_hash", "left")
+    else:
+        placed = placed.withColumn("goal", F.lit(None).cast("int"))
+    placed = placed.select("row", F.coalesce("goal", start).alias("shard"), F.col("goal").isNull().cast("int").alias("single"))
+    if parts:
+        placed = placed.union(split_rows(rows, parts).select("row", "shard", F.lit(0)))
     even = even_rows(materialize(placed, "placed"), quotas).select("row", "shard", "slot")
     return base.join(even, "row").drop("row")
 

@@ -109,6 +109,34 @@ def test_shards_are_even_and_groups_together(documents, cluttered):
     assert cut.cut < 0.75 * cut.links
 
 
+def shards_of(placed):
+    """Shards of each text, rows of each text, rows of each shard."""
+    out = placed.collect()
+    where = defaultdict(set)
+    for r in out:
+        where[r.text_hash].add(r.shard)
+    return where, Counter(r.text_hash for r in out), Counter(r.shard for r in out)
+
+
+def test_groups_stay_whole_beside_a_hot_text(documents):
+    """A text on a third of all rows leaves room for groups that each fit into one shard."""
+    texts = ["hot"] * 3300 + [f"large {i % 4}" for i in range(800)] + [f"pair {i % 200}" for i in range(400)]
+    texts += [f"text {i}" for i in range(10_000 - len(texts))]
+    where, sizes, rows = shards_of(sharding.shard(documents(*enumerate(texts))))
+    assert set(rows.values()) == {250} and len(rows) == 40
+    assert all(len(where[h]) == 1 for h, n in sizes.items() if n <= 250)
+    assert sorted(len(s) for s in where.values())[-1] == 14
+
+
+def test_groups_without_room_are_split_in_few(documents):
+    """Six groups of 60 rows in four shards of 100: two cannot be whole; all rows are linked."""
+    texts = [f"group {i % 6}" for i in range(360)] + [f"small {i % 10}" for i in range(40)]
+    where, sizes, rows = shards_of(sharding.shard(documents(*enumerate(texts)), shards=4))
+    assert sorted(rows.values()) == [100] * 4
+    assert sorted(len(where[h]) for h, n in sizes.items() if n == 60)[:4] == [1] * 4
+    assert sum(len(s) for s in where.values()) <= 16 + 4
+
+
 def test_shards_of_few_rows(documents):
     out = sharding.shard(documents((1, "a"), (2, "a"), (3, None)), shards=5).collect()
     assert sorted(r.slot for r in out) == [0, 0, 0] and len({r.shard for r in out}) == 3
