@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable, Hashable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +18,18 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def once(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, made once per worker process and kept for its later tasks.
+
+    Functions of this package travel by value, and their globals are new in every task; so
+    vocabularies that are costly to load are kept in a module of their own.
+    """
+    kept = sys.modules.setdefault("_corpus_once", types.ModuleType("_corpus_once")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def split_words(text: Column) -> Column:
     """The runs of characters other than ASCII white space; NULL text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import licenses, minhash, mixing, nearest, oracles, packing, quality, sharding, suffix_dedup, surrogates, templates
+from ratelake.llm import alignment, licenses, minhash, mixing, nearest, oracles, packing, pieces, quality, runs, sharding, suffix_dedup, surrogates, templates
+from ratelake.llm.common import split_words
 from ratelake.queries.registry import table
 
 QUERIES = {}
 ORACLES = {}
 
 
-def packing_tokenizer() -> str:
-    """The vocabulary file that the packing query is defined by."""
+def tokenizer_file(name: str) -> str:
+    """Where a vocabulary file that a query is defined by lies."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def packing_tokenizer() -> str:
+    return tokenizer_file("word_bpe_49k.json")
 
 
 def query(sql: str | None = None):
@@ -101,3 +106,55 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the removal of repeated strings leaves of every document."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query()
+def op11_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document with begin and end, and the text they decode to."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    encoded = pieces.encode_texts(table(spark, sf_dir, "documents"), model)
+    return pieces.decode_ids(encoded, model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document under two tokenizers."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align_tokenizers(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``; in a tenth of the documents, chosen by id, the words from some place on repeat."""
+    # NULL ids are in no tenth. The words of the other documents are not looked at.
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    docs = docs.select("doc_id", "text", F.floor(F.col("h") / 10).alias("g"), F.when(F.col("h") % 10 == 0, split_words(F.col("text"))).alias("w"))
+    docs = docs.withColumn("n", F.size("w")).withColumn("a", F.expr("CASE WHEN n > 0 THEN CAST(g % n AS INT) END"))
+    docs = docs.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    again = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), CAST((n - a + p - 1) DIV p AS INT))), 1, n - a)")
+    made = F.array_join(F.concat(F.expr("slice(w, 1, a)"), again), " ")
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words of every document, a tenth of them made to repeat."""
+    found = runs.periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"], r["length"])))
+    top = found.withColumn("top", longest)
+    return top.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
