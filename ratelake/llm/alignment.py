@@ -29,7 +29,7 @@ from ratelake.llm.pieces import ID, SPACE, PieceEncoder, PieceModel
 from ratelake.session import materialize
 
 # Bytes of text aligned together.
-CHUNK = 2_000_000
+CHUNK = 500_000
 # The split before the merges that byte-level tokenizers of this form share (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ALIGNED = (
