@@ -15,13 +15,14 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratelake.llm.common import once
+
 WINDOW = 2048
 END_OF_TEXT = 1
 ID = np.dtype("<u4")
@@ -68,10 +69,10 @@ class Encoder:
         self.latin = re.compile(f"[\x00-{chr(_LATIN - 1)}]*")
         self.special = [t["content"] for t in parts.get("added_tokens", ())]
         vocabulary = self.tokenizer.get_vocab()
-        self.ends = bytearray(max(vocabulary.values(), default=0) + 1)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> list[int]:
         # The fast form leaves out places in the text, which nobody needs here.
@@ -79,18 +80,17 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Encodes new pieces in one go; each ends with a token that ends a word."""
-        found, current = [], []
-        for number in self.whole(" ".join(pieces)):
-            current.append(number)
-            if self.ends[number]:
-                found.append(tuple(current))
-                current = []
-        if current or len(found) != len(pieces):
-            found = [tuple(self.whole(p)) for p in pieces]
+        ids = np.array(self.whole(" ".join(pieces)), dtype=ID)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(pieces) and stops[-1] == len(ids):
+            raw, cuts = ids.tobytes(), (ID.itemsize * np.append(0, stops)).tolist()
+            found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        else:
+            found = [np.array(self.whole(p), dtype=ID).tobytes() for p in pieces]
         self.known.update(zip(pieces, found, strict=True))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The texts' ids; pieces that are new in any of them are learnt together."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The texts' ids, little-endian; pieces that are new in any of them are learnt together."""
         split: list[list[str] | None] = []
         met: set[str] = set()
         for text in texts:
@@ -107,7 +107,7 @@ class Encoder:
             self.learn(new)
         get = self.known.__getitem__
         return [
-            np.array(self.whole(text), dtype=ID) if pieces is None else np.fromiter(chain.from_iterable(map(get, pieces)), dtype=ID)
+            np.array(self.whole(text), dtype=ID).tobytes() if pieces is None else b"".join(map(get, pieces))
             for text, pieces in zip(texts, split, strict=True)
         ]
 
@@ -234,19 +234,20 @@ def _packer(tokenizer_path: str, window: int, block_tokens: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer_path)
+        encoder = once(("packing", tokenizer_path), lambda: Encoder(tokenizer_path))
+        end = np.array([END_OF_TEXT], dtype=ID).tobytes()
         # The partition's number makes sequence ids unique; a lost task makes the same ones again.
         first = TaskContext.get().partitionId() << 36
         ids, docs, held = [], [], 0
 
         def block() -> Iterator[pa.RecordBatch]:
             nonlocal first, ids, docs, held
-            lengths = np.array([len(x) for x in ids], dtype=np.int64)
+            lengths = np.array([len(x) // ID.itemsize for x in ids], dtype=np.int64)
             pieces = place(lengths, window)
             for i in range(0, len(pieces), 4096):
                 part = pieces[i : i + 4096]
                 doc, start, length, sequence, offset = (np.array(c, dtype=np.int64) for c in zip(*part, strict=True))
-                cut = [ids[d][s : s + n].tobytes() for d, s, n, _, _ in part]
+                cut = [ids[d][ID.itemsize * s : ID.itemsize * (s + n)] for d, s, n, _, _ in part]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([docs[d] for d in doc], pa.int64()), pa.array(start), pa.array(length), pa.array(cut, pa.binary()), pa.array(lengths[doc]), pa.array(sequence + first), pa.array(offset)],
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
@@ -258,8 +259,8 @@ def _packer(tokenizer_path: str, window: int, block_tokens: int):
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
                 for one in encoder.encode([text or "" for text in part.column("text").to_pylist()]):
-                    ids.append(np.append(one, np.array([END_OF_TEXT], dtype=ID)))
-                    held += len(ids[-1])
+                    ids.append(one + end)
+                    held += len(ids[-1]) // ID.itemsize
                 docs += part.column("doc_id").to_pylist()
                 if held >= block_tokens:
                     yield from block()

@@ -202,5 +202,5 @@ def test_pieces_give_the_tokenizers_ids(name):
         "e\u0301 \u00e9 É Ñandú ß ẞ", "漢字 и буква", "tab\tnbsp\u00a0nel\u0085x\x1cy\x1fz", "İstanbul ſ ŉ ǆ ΣΑΣ", "\x00\x01 ctrl", "word " * 500, "don’t “quote”",
     ]
     for text in texts * 2:
-        assert encoder.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids, text
-    assert [x.tolist() for x in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert np.frombuffer(encoder.encode([text])[0], packing.ID).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    assert [np.frombuffer(x, packing.ID).tolist() for x in encoder.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
