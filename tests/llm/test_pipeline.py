@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
-from test_duplicates import altered, linked, prose, shingles
+from test_duplicates import altered, prose, shingles
 from test_text_rules import measures
 
 from ratelake.llm import mixing, quality
@@ -39,7 +39,7 @@ def test_stages(spark):
         assert (r.doc_id in kept) == ok
 
     rows = [(r.doc_id, r.text) for r in good.collect()]
-    assert sorted(r.doc_id for r in single.collect()) == sorted(set(linked(rows).values()))
+    assert sorted(r.doc_id for r in single.collect()) == sorted(set(linked_from_80(rows).values()))
 
     before = {r.doc_id: r for r in single.collect()}
     for r in private.collect():
