@@ -25,6 +25,8 @@ from ratelake.session import materialize
 
 LENGTH = 100
 ANCHOR = 32
+# Bytes hashed at once, texts longer than that in windows; places in them need PLACE_BITS bits.
+PIECE, PLACE_BITS = 1 << 19, 20
 # Bytes sorted together; a smaller number makes more and shorter tasks.
 SHARD_BYTES = 1 << 18
 # An anchor with more different stretches than a task should sort (about 2 MB) is dealt by whole strings instead.
@@ -58,7 +60,8 @@ def anchors(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: in
     if len(values) < length or not (ends - starts >= length).any():
         return none, none, none, none
     hashes = window_hashes(values, width)
-    bits = np.uint64(len(hashes).bit_length())
+    # The same for every piece, or equal strings of two pieces could choose differently.
+    bits = np.uint64(PLACE_BITS)
     ordered = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     rows = -(-len(ordered) // span)
     grid = np.full(rows * span, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -87,8 +90,16 @@ def _runs(batch: pa.RecordBatch, length: int, width: int) -> Iterator[tuple[np.n
     data = np.frombuffer(texts.buffers()[2], dtype=np.uint8) if texts.buffers()[2] is not None else np.empty(0, dtype=np.uint8)
     begin = 0
     while begin < len(texts):
-        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + (4 << 20), side="right")) - 1)
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + PIECE, side="right")) - 1)
         low, high = offsets[begin], offsets[end]
+        if end == begin + 1 and high - low > PIECE:
+            # One long text goes in windows; each string starts in one of them.
+            for at in range(0, int(high - low) - length + 1, PIECE):
+                part = data[low + at : min(low + at + PIECE + length - 1, high)]
+                found, first, *rest = anchors(part, np.array([0]), np.array([len(part)]), length, width)
+                yield found + begin, first + at, *rest
+            begin = end
+            continue
         starts, ends = offsets[begin:end] - low, offsets[begin + 1 : end + 1] - low
         # Empty texts would hide the text that starts at the same place.
         some = np.flatnonzero(ends > starts)
@@ -98,6 +109,13 @@ def _runs(batch: pa.RecordBatch, length: int, width: int) -> Iterator[tuple[np.n
         begin = end
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, for work that makes Python objects of them."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _keys(length: int, width: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +141,7 @@ def _places(length: int, width: int):
 
 def _cutter(length: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             ids, tids = batch.column("doc_id").to_pylist(), batch.column("tid").to_pylist()
             for doc, tid, text, runs in zip(ids, tids, batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
                 raw = text.encode()
@@ -202,7 +220,7 @@ def _sorter(length: int):
 
 
 def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         out: tuple[list, ...] = ([], [], [], [], [])
         for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
             raw, kept, at, removed, spans = text.encode(), [], 0, [], 0

@@ -154,6 +154,14 @@ def test_repeats_equal_brute_force(documents, cluttered, options):
         assert sum(s.end - s.start for s in r.spans) == r.n_removed
 
 
+def test_texts_hashed_in_windows_give_the_same(documents, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 150)
+    rows = passages()
+    want = by_strings(rows, 100)
+    for r in suffix_dedup.remove_repeats(documents(*rows)).collect():
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
+
+
 def test_repeats_edge_cases(documents):
     text = "".join(random.Random(1).choices("abcdefghij", k=300))
     df = documents((None, text), (4, text), (4, text), (8, "q" + text))
