@@ -16,9 +16,9 @@ from ratelake.operators.ordering import (
     RANGE,
     ROWS_PER_RANGE,
     TIE,
+    before_ranges,
     kept_order,
     order_names,
-    preceding_ranges,
     range_window,
     with_ranges,
 )
@@ -47,15 +47,11 @@ def forward_fill(
     df = df.withColumns({c: observed_in(df, c) for c in columns}) if columns else df
     ranged, cut_rows = with_ranges(df, order_by, rows_per_range, distinct_order, keys)
     rows, kept = ranged.withColumn(LEAD_IN, F.lit(False)), len(kept_order(df, order_by))
-    if cut_rows is not None:
+    if cut_rows is not None and columns:
         latest = F.col(KEY) if distinct_order and not kept else F.struct(KEY, *[f"{BY}{i}" for i in range(kept)], TIE)
         last_known = {c: F.max_by(quoted(c), F.when(quoted(c).isNotNull(), latest)) for c in columns}
         per_range = ranged.filter(cut_rows).groupBy(*keys, RANGE).agg(*[v.alias(c) for c, v in last_known.items()])
-        carried = per_range.select(
-            *keys,
-            RANGE,
-            *[F.last(quoted(c), ignorenulls=True).over(preceding_ranges(keys)).alias(c) for c in columns],
-        )
+        carried = before_ranges(per_range, keys, columns)
         rows = rows.unionByName(carried.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True)
     so_far = range_window(keys, kept).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = rows.withColumns({c: F.last(quoted(c), ignorenulls=True).over(so_far) for c in columns})

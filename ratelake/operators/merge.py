@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.model import DATE_COLUMN, SeriesSpec, quoted
@@ -101,3 +101,19 @@ def union_months(frames: Sequence[DataFrame]) -> DataFrame:
 def sort_by_key(df: DataFrame, key: str = DATE_COLUMN) -> DataFrame:
     """Ascending, NULLs last. For final output only: any later shuffle undoes it."""
     return df.orderBy(F.col(key).asc_nulls_last())
+
+
+def sorted_positions(df: DataFrame, key: str = DATE_COLUMN, name: str = "position") -> DataFrame:
+    """The rows of the sorted output with their place in it, from 0.
+
+    The place follows from where the sort put a row: its place in its partition, and the
+    rows of the partitions before. The sorted rows are written once, as a second sort could
+    deal equal keys differently; one count per partition passes through one task.
+    """
+    placed = sort_by_key(df, key).withColumn("__id", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn("__part", F.shiftright("__id", 33)), "sorted")
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__rows"))
+    starts = counts.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    position = F.col("__start") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(starts, "__part").select(*[quoted(c) for c in df.columns], position.alias(name))

@@ -1,15 +1,19 @@
 """Order-dependent work without a single-task window.
 
 A window without PARTITION BY runs in one task, and one with PARTITION BY runs a
-hot key in one task. Both are avoided by cutting the order column into ranges
-of about equal row count: each range is one window partition, and what a range
-must know about its predecessors (a running total, a last value) is pre-aggregated
-to one row per range and put in front of it.
+hot key in one task. Both are avoided by cutting the rows in their order into ranges
+of equal row count: each range is one window partition, and what a range must know
+about its predecessors (a running total, a last value) is pre-aggregated to one row
+per range and put in front of it.
+
+Rows are range-partitioned by the series, all order columns, a row hash and a salt, so
+neither a hot value, nor texts that begin alike, nor equal rows keep a task from being
+split. Sorted partitions are then cut by position, which makes every range but a
+partition's last exactly as long as asked for, however many rows there are.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +22,7 @@ from pyspark.sql import types as T
 
 from ratelake.functions.dates import order_number
 from ratelake.model import quoted
+from ratelake.session import materialize
 
 KEY = "__order"
 TIE = "__tie"
@@ -25,16 +30,17 @@ RANGE = "__range"
 LEAD_IN = "__lead_in"
 # Order columns that their number does not replace, from the first to the last.
 BY = "__by"
+# The sorted partition that a range was cut from.
+GROUP = "__group"
 
-# Upper bound on ranges. It bounds the one-row-per-range tables that are scanned
-# in a single task, and the cut points kept on the driver.
-MAX_RANGES = 4096
-# More long series than this are not listed one by one.
-MAX_LONG = 1000
 # A range of this many rows is comfortable for one task.
 ROWS_PER_RANGE = 1_000_000
-# Enough observations per range to place its cut points well.
-SAMPLED_PER_RANGE = 1_000
+# Rows that one task sorts (and may spill) before they are cut into ranges, and the most
+# such tasks; beyond that tasks grow, ranges do not.
+ROWS_PER_SORT = 4_000_000
+MOST_SORTS = 20_000
+# Ranges are numbered partition by partition; a partition has fewer than this.
+NUMBERS = 1 << 33
 
 
 def order_names(order_by: str | Sequence[str]) -> list[str]:
@@ -59,116 +65,64 @@ def with_ranges(
 
     The second result is true for rows that are cut, or None if nothing is: an
     input, or a series, of at most ``rows_per_range`` rows stays whole, as range 0.
-    Select by it rather than by the range, whose computation a filter would copy.
-
-    Cut points are approximate quantiles of the order column, so ranges follow
-    the data: a busy day is cut finely, a quiet year stays whole. A value that
-    holds a large share of the rows appears as several equal cut points; its rows
-    are tied on the order, and are spread over that many ranges by row hash.
-    Ranges follow each other in one total order of the rows whatever the cut points
-    are, so the approximation affects balance only, never results.
-    ``distinct_order`` states that a series has no ties, which saves the hashing; it is
-    for a single order column only, and rows tied in spite of it are in no defined order.
-
-    With several order columns, decimals or texts, rows are compared by the columns
-    themselves and ranges are cut by the first one's number; rows tied on it stay together.
-
-    Finding the cut points is one pass over the order column, run here, after one
-    that finds the long series; they bring at most ``MAX_RANGES`` numbers and
-    ``MAX_LONG`` names (as hashes) to the driver. ``df`` is read again by the query
-    itself, so write a costly or unrepeatable input out first.
+
+    Ranges follow each other in one total order of the rows: by all order columns, then
+    a hash of the row; rows that are equal in every column are interchangeable and are
+    spread by a salt. ``distinct_order`` states that a series has no ties, which saves the
+    hashing; it is for a single order column only, and rows tied in spite of it are in no
+    defined order. With several order columns, decimals or texts, rows are compared by the
+    columns themselves; the first one's number only comes first.
+
+    One pass counts the rows (or those of each series). Rows to be cut are sorted by
+    Spark's range partitioning, which samples them first, and written once to the shared
+    folder; everything later reads that copy. ``df`` is read for each of these, so write a
+    costly input out first. Nothing but a row count reaches the driver.
     """
     lead, kept = order_names(order_by)[0], kept_order(df, order_by)
     key = order_number(quoted(lead), df.schema[lead].dataType)
     tie = F.lit(0).cast("bigint") if distinct_order and not kept else F.xxhash64(*[quoted(c) for c in df.columns])
     keyed = df.withColumns({KEY: key, TIE: tie} | {f"{BY}{i}": quoted(c) for i, c in enumerate(kept)})
     whole = keyed.withColumn(RANGE, F.lit(0).cast("bigint"))
-    long_rows = _in_long_series(df, partition_by, rows_per_range)
-    if long_rows is None:
-        return whole, None
-    cuts = _cut_points(df.filter(long_rows).select(key.alias(KEY)), rows_per_range)
-    if not cuts:
-        return whole, None
-    kind = "double" if isinstance(cuts[0], float) else "bigint"
-    # A search ends at the first of several equal cut points.
-    times = Counter(cuts)
-    repeats = [times[c] if not kept and (i == 0 or cuts[i - 1] != c) else 0 for i, c in enumerate(cuts)]
-    ranged = _count_below(keyed, cuts, kind)
-    hit = F.get(_numbers(cuts, kind), F.col("__below")) == F.col(KEY)
-    same = F.when(hit, F.get(_numbers(repeats, "bigint"), F.col("__below"))).otherwise(F.lit(0).cast("bigint"))
-    ranged = ranged.withColumn("__same", same)
-    spread = F.when(F.col("__same") > 1, F.pmod(F.col(TIE), F.col("__same"))).otherwise(F.lit(0).cast("bigint"))
-    ranged = (
-        ranged.withColumn("__spread", spread)
-        .withColumn(
-            RANGE,
-            F.when(
-                long_rows,
-                (F.col("__below") * 2 + F.col("__same")).cast("bigint") * F.lit(MAX_RANGES) + F.col("__spread") + 1,
-            ).otherwise(F.lit(0).cast("bigint")),
-        )
-        .drop("__below", "__same", "__spread")
-    )
-    return ranged, long_rows
-
-
-def _in_long_series(df: DataFrame, partition_by: Sequence[str], rows_per_range: int) -> Column | None:
-    """Which rows belong to a series that is too long for one task; None if there is none.
-
-    Ordinary series need no cutting. Series are told apart by hash: a collision
-    only cuts a short series as well. With very many long series all are cut.
-    """
     if not partition_by:
-        return F.lit(True)
+        rows = df.count()
+        return (_cut(keyed, rows, rows_per_range, (), len(kept)), F.lit(True)) if rows > rows_per_range else (whole, None)
+    # Ordinary series need no cutting. Series are told apart by hash: a collision only cuts a short one as well.
     series = F.xxhash64(*[quoted(c) for c in partition_by])
-    sizes = df.groupBy(series.alias("series")).count().filter(F.col("count") > rows_per_range)
-    found = [r["series"] for r in sizes.select("series").limit(MAX_LONG + 1).collect()]
-    if len(found) > MAX_LONG:
-        return F.lit(True)
-    return series.isin(found) if found else None
-
-
-def _cut_points(keys: DataFrame, rows_per_range: int) -> list:
-    """Sorted range limits, repeated where one value spans several ranges."""
-    width = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    most = max(2, min(MAX_RANGES, 2 * width))
-    shares = ", ".join(f"{i / most:.8f}D" for i in range(1, most))
-    share = min(1.0, SAMPLED_PER_RANGE / rows_per_range)
-    # Only the choice of cut points rests on a sample; every row is placed.
-    watched = F.col(KEY) if share == 1.0 else F.when(F.rand(7) < share, F.col(KEY))
-    found = keys.select(watched.alias(KEY)).agg(
-        F.count("*").alias("rows"),
-        F.expr(f"percentile_approx({KEY}, array({shares}), {4 * most})").alias("cuts"),
-    ).first()
-    ranges = min(most, -(-found["rows"] // rows_per_range))
-    if ranges <= 1 or not found["cuts"]:
-        return []
-    return [found["cuts"][i * most // ranges - 1] for i in range(1, ranges)]
-
-
-def _numbers(values: list, kind: str) -> Column:
-    """A literal array, written as one SQL text: one call instead of one per element, infinities included."""
-    if not values:
-        return F.array().cast(f"array<{kind}>")
-    return F.expr("array(" + ", ".join(f"CAST('{v}' AS {kind})" for v in values) + ")")
-
-
-def _count_below(df: DataFrame, cuts: list, kind: str) -> DataFrame:
-    """``__below``: how many cut points are smaller than the key.
-
-    A binary search unrolled into one projection per halving. The steps stay in
-    generated code, unlike an array function with a lambda.
-    """
-    points = _numbers(cuts, kind)
-    found = df.withColumn("__below", F.lit(0))
-    step = 1 << (len(cuts).bit_length() - 1)
-    while step:
-        at = F.get(points, F.col("__below") + F.lit(step - 1))
-        found = found.withColumn(
-            "__below", F.col("__below") + F.when(at < F.col(KEY), F.lit(step)).otherwise(F.lit(0))
-        )
-        step //= 2
-    return found
+    sizes = df.groupBy(series.alias("__series")).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > rows_per_range)
+    # At most one row per rows_per_range rows of the input.
+    sizes = materialize(sizes, "long-series")
+    rows = sizes.agg(F.sum("__rows")).first()[0]
+    if not rows:
+        return whole, None
+    long_ones = sizes.select("__series")
+    marked = keyed.withColumn("__series", series)
+    long = marked.join(long_ones, "__series", "left_semi").drop("__series")
+    short = marked.join(long_ones, "__series", "left_anti").drop("__series")
+    cut = _cut(long, rows, rows_per_range, partition_by, len(kept))
+    return cut.unionByName(short.withColumn(RANGE, F.lit(0).cast("bigint"))), F.col(RANGE) > 0
+
+
+def _cut(keyed: DataFrame, rows: int, rows_per_range: int, partition_by: Sequence[str], kept: int) -> DataFrame:
+    """The rows in order, cut by position; a written copy."""
+    width = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    sorts = max(-(-rows // ROWS_PER_SORT), min(width, -(-rows // rows_per_range)))
+    order = [
+        *[quoted(c).asc_nulls_last() for c in partition_by],
+        F.col(KEY),
+        *[F.col(f"{BY}{i}").asc_nulls_last() for i in range(kept)],
+        F.col(TIE),
+        F.col("__salt"),
+    ]
+    sorted_rows = (
+        keyed.withColumn("__salt", F.rand(11))
+        .repartitionByRange(min(sorts, MOST_SORTS), *order)
+        .sortWithinPartitions(*order)
+        # Partition in the upper bits, place in the partition in the 33 lower ones.
+        .withColumn("__place", F.monotonically_increasing_id())
+    )
+    place = F.col("__place").bitwiseAND(F.lit(NUMBERS - 1))
+    number = F.floor(F.col("__place") / F.lit(NUMBERS)) * F.lit(NUMBERS) + F.floor(place / F.lit(rows_per_range)) + 1
+    return materialize(sorted_rows.withColumn(RANGE, number.cast("bigint")).drop("__salt", "__place"), "ordered")
 
 
 def range_window(partition_by: Sequence[str], kept: int = 0):
@@ -178,13 +132,46 @@ def range_window(partition_by: Sequence[str], kept: int = 0):
     )
 
 
-def preceding_ranges(partition_by: Sequence[str]):
-    """All earlier ranges of the same series; holds one row per range."""
-    return (
-        Window.partitionBy(*[quoted(c) for c in partition_by])
-        .orderBy(RANGE)
-        .rowsBetween(Window.unboundedPreceding, -1)
+def before_ranges(per_range: DataFrame, partition_by: Sequence[str], columns: Sequence[str], total: bool = False) -> DataFrame:
+    """What is known before each range, from one row per range: last values, or with ``total`` running totals.
+
+    Done on two levels, so that no task scans all ranges: over the groups of ranges that
+    were sorted together, and inside each group.
+    """
+    keys = list(partition_by)
+    # The row per range is used twice.
+    per_range = materialize(per_range.withColumn(GROUP, F.floor(F.col(RANGE) / F.lit(NUMBERS))), "per-range")
+
+    def fold(name: str, window) -> Column:
+        if total:
+            return F.coalesce(F.sum(quoted(name)).over(window), F.lit(0))
+        return F.last(quoted(name), ignorenulls=True).over(window)
+
+    def of_group(name: str) -> Column:
+        held = F.when(quoted(name).isNotNull(), F.col(RANGE))
+        return F.sum(quoted(name)) if total else F.max_by(quoted(name), held)
+
+    def earlier(by: Sequence[str], order: str):
+        return Window.partitionBy(*[quoted(c) for c in by]).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    groups = per_range.groupBy(*[quoted(c) for c in keys], GROUP).agg(*[of_group(c).alias(c) for c in columns])
+    upto_group = groups.select(
+        F.col(GROUP).alias("__of"),
+        *[quoted(c).alias(f"__key{i}") for i, c in enumerate(keys)],
+        *[fold(c, earlier(keys, GROUP)).alias(f"__upto{i}") for i, c in enumerate(columns)],
+    )
+    inside = per_range.select(
+        *[quoted(c) for c in keys], RANGE, GROUP, *[fold(c, earlier([*keys, GROUP], RANGE)).alias(c) for c in columns]
     )
+    same = F.col(GROUP) == F.col("__of")
+    for i, c in enumerate(keys):
+        same &= quoted(c).eqNullSafe(F.col(f"__key{i}"))
+
+    def both(i: int, name: str) -> Column:
+        upto = F.col(f"__upto{i}")
+        return quoted(name) + upto if total else F.coalesce(quoted(name), upto)
+
+    return inside.join(upto_group, same).select(*[quoted(c) for c in keys], RANGE, *[both(i, c).alias(c) for i, c in enumerate(columns)])
 
 
 def row_numbers(
@@ -199,10 +186,8 @@ def row_numbers(
     ranged, cut_rows = with_ranges(df, order_by, rows_per_range, partition_by=keys)
     rows = ranged.withColumns({LEAD_IN: F.lit(False), "__step": F.lit(1).cast("bigint")})
     if cut_rows is not None:
-        sizes = ranged.filter(cut_rows).groupBy(*keys, RANGE).agg(F.count("*").alias("__rows"))
-        offsets = sizes.select(
-            *keys, RANGE, F.coalesce(F.sum("__rows").over(preceding_ranges(keys)), F.lit(0)).alias("__step")
-        )
+        sizes = ranged.filter(cut_rows).groupBy(*keys, RANGE).agg(F.count("*").alias("__step"))
+        offsets = before_ranges(sizes, keys, ["__step"], total=True)
         rows = rows.unionByName(offsets.withColumn(LEAD_IN, F.lit(True)), allowMissingColumns=True)
     running = range_window(keys, len(kept_order(df, order_by))).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (

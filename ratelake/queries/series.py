@@ -13,7 +13,7 @@ from ratelake.operators.audit import audit_columns
 from ratelake.operators.dedupe import drop_duplicate_rows, keep_first
 from ratelake.operators.fill import forward_fill
 from ratelake.operators.filters import in_date_range, scan
-from ratelake.operators.merge import outer_merge, pivot_merge, union_months
+from ratelake.operators.merge import outer_merge, pivot_merge, sorted_positions, union_months
 from ratelake.plans.clean import clean
 from ratelake.plans.ingest import fill_counts, mode_windows
 from ratelake.plans.ingest import ingest_metrics as count_records
@@ -310,6 +310,38 @@ def forward_fill_long(spark, sf_dir):
     return forward_fill(events, ["value"], "ts", ["user_id"], rows_per_range=2000, distinct_order=True)
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_returnflag, l_linestatus, last_value(CASE WHEN l_discount > 0.07 THEN l_extendedprice END IGNORE NULLS)
+    OVER (ORDER BY l_linestatus, l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING) AS price FROM lineitem"""
+)
+def forward_fill_hot_tie(spark, sf_dir):
+    """Lines in the order of two texts with a handful of values: half of the rows are tied on the first one."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_extendedprice",
+        "l_returnflag",
+        "l_linestatus",
+        F.when(F.col("l_discount") > 0.07, F.col("l_extendedprice")).alias("price"),
+    )
+    order = ["l_linestatus", "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    return forward_fill(lines, ["price"], order, rows_per_range=1000)
+
+
+@query(
+    """WITH o AS (SELECT -nullif(o_orderkey, 1) AS k, o_totalprice FROM orders)
+  SELECT k, o_totalprice, row_number() OVER (ORDER BY k NULLS LAST) - 1 AS position FROM o"""
+)
+def sorted_output(spark, sf_dir):
+    """The place of every row in the sorted output, taken from where the sort has put it."""
+    orders = table(spark, sf_dir, "orders").select(
+        (-F.nullif("o_orderkey", F.lit(1))).alias("k"), "o_totalprice"
+    )
+    return sorted_positions(orders, "k")
+
+
 @query(
     f"""WITH {WIDE} SELECT "Fecha", """
     + each('last_value({c} IGNORE NULLS) OVER (ORDER BY "Fecha" ROWS UNBOUNDED PRECEDING) AS {c}')

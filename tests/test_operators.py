@@ -114,7 +114,31 @@ def test_only_long_series_are_cut(spark):
 def test_a_hot_value_is_spread_over_several_ranges(spark):
     df = _random_series(spark)
     sizes = [r["count"] for r in with_ranges(df, "day", 150)[0].groupBy(RANGE).count().collect()]
-    assert sum(sizes) == 2000 and max(sizes) < 400
+    assert sum(sizes) == 2000 and max(sizes) == 150
+
+
+@pytest.mark.parametrize("kind", ["hot tie", "common prefix", "equal rows", "hot decimal"])
+def test_no_range_grows_with_a_hot_value(spark, kind):
+    ids = spark.range(3000)
+    made = {
+        "hot tie": (ids.select(F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id")).alias("a"), F.col("id").alias("b")), ["a", "b"]),
+        "common prefix": (ids.select(F.concat(F.lit("https://host/"), F.col("id")).alias("a")), ["a"]),
+        "equal rows": (ids.select(F.lit(1).alias("a"), F.lit("x").alias("b")), ["a", "b"]),
+        "hot decimal": (ids.select(F.lit(2).cast("decimal(30,2)").alias("a"), F.col("id").alias("b")), "a"),
+    }
+    df, order = made[kind]
+    sizes = [r["count"] for r in with_ranges(df, order, 100)[0].groupBy(RANGE).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) == 100 and len(sizes) <= 30 + 8
+    numbers = [r["row_number"] for r in row_numbers(df, order, rows_per_range=100).select("row_number").collect()]
+    assert sorted(numbers) == list(range(1, 3001))
+
+
+def test_values_are_carried_across_groups_of_ranges(spark, rows):
+    """One known value at the start reaches the last range, through every sorted partition."""
+    df = spark.range(2000).select(F.col("id"), F.lit(None).cast("string").alias("k"), F.when(F.col("id") == 3, 5.0).alias("v"))
+    for keys in ([], ["k"]):
+        got = forward_fill(df, ["v"], "id", keys, rows_per_range=50)
+        assert rows(got, "id", "v") == sorted(((i, 5.0 if i >= 3 else None) for i in range(2000)), key=repr)
 
 
 @pytest.mark.parametrize("rows_per_range", [15, 200, 700, 10_000])

@@ -33,23 +33,23 @@ def rates(spark, tmp_path_factory):
 def test_fill_windows_are_cut_into_ranges(rates):
     text = plan(forward_fill(rates.select("Fecha", "a"), rows_per_range=200, distinct_order=True))
     assert "windowspecdefinition(__range" in text
-    # Without a series key only the one-row-per-range table goes through one task.
+    # Without a series key only one row per group of ranges goes through one task.
     assert text.count("Exchange SinglePartition") == 1
-    single = text.split("Exchange SinglePartition")[1]
-    assert "HashAggregate(keys=[__range" in single
+    assert "HashAggregate(keys=[__group" in text.split("Exchange SinglePartition")[1]
     assert "unused" not in text
 
 
-def test_filters_do_not_copy_the_range_search(rates):
+def test_cut_rows_are_read_from_their_sorted_copy(spark, rates):
     keyed = rates.withColumn("k", F.when(F.col("Fecha") < date(2006, 1, 1), F.lit("long")).otherwise(F.lit("short")))
     text = plan(forward_fill(keyed.select("k", "Fecha", "a"), partition_by=["k"], rows_per_range=1000))
-    assert "__below" in text
-    assert not [line for line in text.splitlines() if "Filter" in line and "CASE WHEN ([" in line]
+    assert "/ordered-" in text and "/long-series-" in text
+    # The input itself is read for the short series only, the carry from one row per range.
+    assert text.count("/rates") + text.count("/t]") <= 2 and "/per-range-" in text
 
 
 def test_small_inputs_are_one_range(rates):
     text = plan(forward_fill(rates.select("Fecha", "a"), distinct_order=True))
-    assert "__below" not in text
+    assert "/ordered-" not in text and "Exchange rangepartitioning" not in text
 
 
 def test_lags_windows_are_partitioned_by_chunk(rates):
