@@ -123,6 +123,42 @@ def upsert_merge(spark, sf_dir):
     return store.scan("facts")
 
 
+def _facts(spark, sf_dir):
+    """What the lines say about each order."""
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.max("l_extendedprice").alias("price"),
+        F.max("l_shipdate").cast("date").alias("day"),
+        F.count("*").alias("lines"),
+    )
+
+
+@query(
+    """WITH facts AS (
+    SELECT l_orderkey AS k, max(l_extendedprice) AS price, CAST(max(l_shipdate) AS DATE) AS day,
+           count(*) AS lines FROM lineitem GROUP BY 1),
+  late AS (
+    SELECT o_orderkey AS k, o_totalprice AS price, CAST(o_orderdate AS DATE) AS day FROM orders
+    WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '2001-06-01'),
+  renamed AS (SELECT o_orderkey AS k, -o_totalprice AS price FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
+  SELECT coalesce(f.k, l.k, r.k) AS k,
+    CASE WHEN r.k IS NOT NULL THEN r.price WHEN l.k IS NOT NULL THEN l.price ELSE f.price END AS price,
+    CASE WHEN l.k IS NOT NULL THEN l.day ELSE f.day END AS day, f.lines AS lines
+  FROM facts f FULL JOIN late l ON f.k = l.k FULL JOIN renamed r ON coalesce(f.k, l.k) = r.k"""
+)
+def upsert_bucketed(spark, sf_dir):
+    """Order facts in buckets of their key; two later batches move rows to other months, add some, and change prices only."""
+    facts, orders = _facts(spark, sf_dir), table(spark, sf_dir, "orders")
+    store = fresh_store(spark)
+    store.ensure_table("facts", facts.schema, "day", ["k"], bucket_key="k", buckets=4)
+    store.append("facts", facts)
+    late = orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= F.lit("2001-06-01").cast("timestamp_ntz")))
+    news = late.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderdate").cast("date").alias("day"))
+    store.upsert("facts", news, "k")
+    urgent = orders.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT"))
+    store.upsert("facts", urgent.select(F.col("o_orderkey").alias("k"), (-F.col("o_totalprice")).alias("price")), "k")
+    return store.scan("facts")
+
+
 @query(
     """WITH t AS (SELECT CAST(o_orderdate AS DATE) AS "Fecha", max(o_totalprice) AS v, min(o_totalprice) AS low
       FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),

@@ -4,6 +4,10 @@ Tables carry a physical partition column derived from a date column (a month, or
 a day), because a date filter alone prunes nothing on a derived partition. The
 store adds the matching partition filter itself and hides the column on reading.
 
+A table may also be split by the hash of a key into a fixed number of buckets, a second
+partition column. An upsert on that key then reads, joins and rewrites only the buckets
+its rows fall into, and a lookup by key reads one.
+
 Writes replace whole partitions, and only those that change. Spark commits a
 write after all tasks are done, so lost executors are harmless; but a table has
 no transaction log, so allow one writer at a time, and repeat a run whose driver
@@ -27,10 +31,13 @@ from ratelake.operators.filters import equals_all
 from ratelake.session import SPREAD_FILES, settings
 
 PARTITION = "_part"
+BUCKET = "_bucket"
 UNDATED = "undated"
 UNPARTITIONED = "none"
 FORMATS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
 OPTION = "ratelake."
+# A partition, and the bucket in it (0 in a table without buckets).
+Cell = tuple[str, int]
 
 
 class TableStore:
@@ -60,29 +67,42 @@ class TableStore:
         required: Sequence[str] = (),
         granularity: str = "month",
         description: str = "",
+        bucket_key: str | None = None,
+        buckets: int = 0,
     ) -> None:
         """Create the table, or bring an existing one to the wanted partitioning.
 
-        A table with another partition unit is rewritten, never dropped.
+        With ``bucket_key`` it is also split into ``buckets`` parts by the hash of that
+        column: as many as give a part of a month a size that is cheap to rewrite. A table
+        with another partition unit, or other buckets, is rewritten, never dropped.
         """
+        if bool(bucket_key) != (buckets > 0) or (bucket_key and bucket_key not in schema.names):
+            raise ValueError("bucket_key names a column and goes with a positive number of buckets")
         self.ensure_database()
         if self.exists(table):
             have = self.layout(table)
-            if partition_field and have["granularity"] not in (UNPARTITIONED, granularity):
-                self.repair_layout(table, granularity)
+            other_unit = partition_field and have["granularity"] not in (UNPARTITIONED, granularity)
+            other_buckets = bucket_key and (have["bucket_key"], have["buckets"]) != (bucket_key, buckets)
+            if other_unit or other_buckets:
+                unit = granularity if other_unit else have["granularity"]
+                self.repair_layout(table, unit, (bucket_key or have["bucket_key"], buckets or have["buckets"]))
             return
         options = {
             "partition_field": partition_field or "",
             "granularity": granularity if partition_field else UNPARTITIONED,
             "cluster_fields": ",".join(cluster_fields),
             "required": ",".join(required),
+            "bucket_key": bucket_key or "",
+            "buckets": str(buckets),
         }
+        parts = f"`{PARTITION}` string" + (f", `{BUCKET}` int" if bucket_key else "")
+        names = f"`{PARTITION}`" + (f", `{BUCKET}`" if bucket_key else "")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         properties = ", ".join(f"'{OPTION}{k}' = '{v}'" for k, v in options.items())
         text = description.replace("'", "''")
         self.spark.sql(
-            f"CREATE TABLE {self.name(table)} ({columns}, `{PARTITION}` string) USING parquet "
-            f"PARTITIONED BY (`{PARTITION}`) COMMENT '{text}' TBLPROPERTIES ({properties})"
+            f"CREATE TABLE {self.name(table)} ({columns}, {parts}) USING parquet "
+            f"PARTITIONED BY ({names}) COMMENT '{text}' TBLPROPERTIES ({properties})"
         )
 
     def ensure_rate_table(self, table: str = "exchange_rates") -> None:
@@ -105,19 +125,27 @@ class TableStore:
             "granularity": found.get("granularity", UNPARTITIONED),
             "cluster_fields": [c for c in found.get("cluster_fields", "").split(",") if c],
             "required": [c for c in found.get("required", "").split(",") if c],
+            "bucket_key": found.get("bucket_key") or None,
+            "buckets": int(found.get("buckets") or 0),
         }
 
     def schema(self, table: str) -> T.StructType:
-        return T.StructType([f for f in self.spark.table(self.name(table)).schema if f.name != PARTITION])
+        return T.StructType([f for f in self.spark.table(self.name(table)).schema if f.name not in (PARTITION, BUCKET)])
 
     def partitions(self, table: str) -> list[str]:
         """Partition names from the catalog: one per month or day, no data is read."""
+        return sorted({part for part, _ in self.cells(table)})
+
+    def cells(self, table: str) -> list[Cell]:
+        """What is written and replaced as a whole: months or days, and in a bucketed table their buckets."""
         rows = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
-        return sorted(r[0].split("=", 1)[1] for r in rows)
+        found = [[level.split("=", 1)[1] for level in r[0].split("/")] for r in rows]
+        return sorted((f[0], int(f[1]) if len(f) > 1 else 0) for f in found)
 
-    def repair_layout(self, table: str, granularity: str = "month") -> None:
-        """Rewrite the table with another partition unit and swap it in; no row is lost."""
+    def repair_layout(self, table: str, granularity: str = "month", bucketing: tuple[str | None, int] | None = None) -> None:
+        """Rewrite the table with another partition unit or other buckets and swap it in; no row is lost."""
         have = self.layout(table)
+        key, buckets = bucketing or (have["bucket_key"], have["buckets"])
         fresh, old = f"{table}__{granularity}", f"{table}__old"
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(fresh)}")
         self.ensure_table(
@@ -128,6 +156,8 @@ class TableStore:
             have["required"],
             granularity,
             self.spark.catalog.getTable(f"{self.database}.{table}").description or "",
+            key,
+            buckets,
         )
         self.append(fresh, self.scan(table))
         self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
@@ -165,7 +195,11 @@ class TableStore:
         condition = equals_all(filters or {})
         if condition is not None:
             rows = rows.filter(condition)
-        rows = rows.drop(PARTITION)
+        key = layout["bucket_key"]
+        if filters and filters.get(key) is not None:
+            value = F.lit(filters[key]).cast(rows.schema[key].dataType)
+            rows = rows.filter(F.col(BUCKET) == _bucket_of(value, layout["buckets"]))
+        rows = rows.drop(PARTITION, BUCKET)
         return rows.limit(limit) if limit else rows
 
     def latest_date(self, table: str, column: str = DATE_COLUMN) -> Any:
@@ -234,25 +268,36 @@ class TableStore:
 
     def _merge_staged(self, spark, table, layout, schema, staged, key, newer_by, presence) -> None:
         field, unit = layout["partition_field"], layout["granularity"]
-        target = self._read(table, spark)
+        target, split = self._read(table, spark), layout["bucket_key"]
         keys = staged.filter(quoted(key).isNotNull()).select(quoted(key).alias("__key"))
         # Where inserts can land: without the partition field all of them are undated.
-        dated = field in staged.columns
-        source_parts = _names(staged.select(_part_column(field, unit).alias(PARTITION))) if dated else [UNDATED]
+        part = _part_column(field, unit) if field in staged.columns else F.lit(UNDATED)
+        own_bucket = split == key
+        bucket = _bucket_of(quoted(key), layout["buckets"]) if own_bucket else F.lit(0)
+        source_cells = _cells(staged.select(part.alias(PARTITION), bucket.alias(BUCKET)))
+        source_parts = sorted({p for p, _ in source_cells})
+        if own_bucket:
+            # The key decides the bucket: no other one can hold a match.
+            target = target.filter(F.col(BUCKET).isin(sorted({b for _, b in source_cells})))
         if key == field:
-            # The key decides the partition: no other one can hold a match, and
-            # every touched one gets rows again.
-            held = target.filter(F.col(PARTITION).isin(source_parts))
-            matched = _matching(held.select(quoted(key)), key, keys.distinct())
+            target = target.filter(F.col(PARTITION).isin(source_parts))
+        held = [F.col(PARTITION), (F.col(BUCKET) if own_bucket else F.lit(0)).alias(BUCKET)]
+        pairs = _matching(target.select(quoted(key), *held), key, keys.distinct())
+        if key == field and not split:
+            # The key decides the partition as well, and every touched one gets rows again.
+            matched = pairs.select(key)
             self._refuse_repeats(table, matched, key, keys)
-            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, presence, source_parts, [])
+            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, presence, source_cells, [])
             return
-        pairs = _matching(target.select(quoted(key), PARTITION), key, keys.distinct()).distinct()
-        # The one pass over the table's keys; at most one row per source key and partition.
-        with self.staged(pairs) as matched:
-            touched = _names(matched.select(PARTITION))
+        # The one pass over the table's keys, or those of its buckets; at most one row per source key and cell.
+        with self.staged(pairs.distinct()) as matched:
+            touched = _cells(matched)
+            if split and not own_bucket:
+                # A row may move to any bucket of these partitions.
+                parts = {*source_parts, *(p for p, _ in touched)}
+                touched = [c for c in self.cells(table) if c[0] in parts]
             self._refuse_repeats(table, matched, key, keys)
-            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, presence, source_parts, touched)
+            self._rewrite_merged(table, schema, target, staged, matched, key, newer_by, presence, source_cells, touched)
 
     def _refuse_repeats(self, table, matched, key, keys) -> None:
         """A key may repeat in the source only when the table does not hold it."""
@@ -264,11 +309,12 @@ class TableStore:
             raise ValueError(f"upsert source repeats key {clash[0][key]!r} that {table} holds")
 
     def _rewrite_merged(
-        self, table, schema, target, staged, matched, key, newer_by, presence, source_parts, touched
+        self, table, schema, target, staged, matched, key, newer_by, presence, source_cells, touched
     ) -> None:
         known = matched.select(quoted(key).alias("__held")).distinct()
         inserts = staged.join(known, quoted(key) == F.col("__held"), "left_anti")
-        affected = target.filter(F.col(PARTITION).isin(sorted(set(source_parts) | set(touched))))
+        by_bucket = self.layout(table)["bucket_key"] == key
+        affected = target.filter(_in_cells(sorted(set(source_cells) | set(touched)), by_bucket))
         marked = staged.select(
             F.lit(True).alias("__present"), *[quoted(c).alias(f"__new_{c}") for c in staged.columns]
         )
@@ -313,15 +359,15 @@ class TableStore:
         if column == layout["partition_field"]:
             unit = layout["granularity"]
             exact = isinstance(target.schema[column].dataType, T.DateType)
-            hit = [p for p in self.partitions(table) if _part_of(first, unit) <= p <= _part_of(last, unit)]
-            inside = [p for p in hit if exact and first <= _part_start(p) and _part_end(p) <= last]
+            hit = [c for c in self.cells(table) if _part_of(first, unit) <= c[0] <= _part_of(last, unit)]
+            inside = [c for c in hit if exact and first <= _part_start(c[0]) and _part_end(c[0]) <= last]
             self._drop(table, inside)
-            touched = [p for p in hit if p not in inside]
+            touched = [c for c in hit if c not in inside]
         else:
-            touched = _names(target.filter(gone).select(PARTITION))
+            touched = _cells(target.filter(gone))
         if touched:
-            kept = target.filter(F.col(PARTITION).isin(touched) & F.coalesce(~gone, F.lit(True)))
-            self._replace(table, kept.drop(PARTITION), touched)
+            kept = target.filter(_in_cells(touched, BUCKET in target.columns) & F.coalesce(~gone, F.lit(True)))
+            self._replace(table, kept.drop(PARTITION, BUCKET), touched)
 
     @contextmanager
     def staged(self, df: DataFrame):
@@ -355,23 +401,31 @@ class TableStore:
         """
         layout = self.layout(table)
         rows = require_values(conform(df, self.schema(table)), layout["required"])
-        part = _part_column(layout["partition_field"], layout["granularity"])
-        spread = rows.withColumn(PARTITION, part).hint("rebalance", PARTITION)
-        return spread.sortWithinPartitions(PARTITION, *[quoted(c) for c in layout["cluster_fields"]])
-
-    def _replace(self, table: str, df: DataFrame, touched: Iterable[str]) -> None:
-        """Overwrite the partitions ``df`` has rows for; drop touched ones it left empty."""
+        placed = rows.withColumn(PARTITION, _part_column(layout["partition_field"], layout["granularity"]))
+        parts = [PARTITION]
+        if layout["bucket_key"]:
+            placed = placed.withColumn(BUCKET, _bucket_of(quoted(layout["bucket_key"]), layout["buckets"]))
+            parts.append(BUCKET)
+        spread = placed.hint("rebalance", *parts)
+        return spread.sortWithinPartitions(*parts, *[quoted(c) for c in layout["cluster_fields"]])
+
+    def _replace(self, table: str, df: DataFrame, touched: Iterable[Cell]) -> None:
+        """Overwrite the cells ``df`` has rows for; drop touched ones it left empty."""
         spark, seen = df.sparkSession, Observation(f"parts-{uuid.uuid4().hex[:8]}")
         rows = self._shaped(table, df)
-        # At most one name per partition, gathered while writing.
-        watched = rows.observe(seen, F.collect_set(PARTITION).alias("parts"))
+        # At most one name per cell, gathered while writing.
+        bucket = F.col(BUCKET) if BUCKET in rows.columns else F.lit(0)
+        cell = F.struct(F.col(PARTITION).alias("part"), bucket.alias("bucket"))
+        watched = rows.observe(seen, F.collect_set(cell).alias("cells"))
         with settings(spark, _write_settings("dynamic")):
             watched.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
-        written = set(seen.get["parts"] or [])
-        self._drop(table, [p for p in touched if p not in written])
+        written = {(c["part"], c["bucket"]) for c in seen.get["cells"] or []}
+        self._drop(table, [c for c in touched if c not in written])
 
-    def _drop(self, table: str, parts: Iterable[str]) -> None:
-        listed = ", ".join(f"PARTITION (`{PARTITION}` = '{part}')" for part in parts)
+    def _drop(self, table: str, cells: Iterable[Cell]) -> None:
+        split = self.layout(table)["bucket_key"]
+        level = (lambda c: f", `{BUCKET}` = {c[1]}") if split else (lambda c: "")
+        listed = ", ".join(f"PARTITION (`{PARTITION}` = '{c[0]}'{level(c)})" for c in cells)
         if listed:
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {listed}")
 
@@ -380,9 +434,23 @@ def _matching(target: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return target.join(keys, quoted(key) == F.col("__key"), "left_semi")
 
 
-def _names(parts: DataFrame) -> list[str]:
-    """Distinct partition names: bounded by the number of months or days."""
-    return sorted(r[0] for r in parts.distinct().collect())
+def _cells(rows: DataFrame) -> list[Cell]:
+    """Distinct cells of rows: bounded by the number of months or days times that of buckets."""
+    bucket = F.col(BUCKET) if BUCKET in rows.columns else F.lit(0)
+    return sorted((r[0], r[1]) for r in rows.select(F.col(PARTITION), bucket.cast("int").alias(BUCKET)).distinct().collect())
+
+
+def _in_cells(cells: Sequence[Cell], by_bucket: bool) -> Column:
+    """A filter on partition columns only, so that other cells are not listed or read."""
+    found = F.col(PARTITION).isin(sorted({p for p, _ in cells}))
+    if not by_bucket:
+        return found
+    name = F.concat_ws("/", F.col(PARTITION), F.col(BUCKET).cast("string"))
+    return found & F.col(BUCKET).isin(sorted({b for _, b in cells})) & name.isin([f"{p}/{b}" for p, b in cells])
+
+
+def _bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def _part_column(field: str | None, unit: str) -> Column:

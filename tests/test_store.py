@@ -1,14 +1,14 @@
 """Table store: layouts, writes, merges and deletes."""
 
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ratelake.model import RATE_SCHEMA
-from ratelake.sinks.store import PARTITION, UNDATED
+from ratelake.sinks.store import BUCKET, PARTITION, UNDATED
 
 
 def table(spark, store, data, schema, part, name="t", **more):
@@ -224,3 +224,97 @@ def test_whole_days_of_a_timestamp_column(spark, store, rows):
     store.truncate("t", df)
     store.delete_range("t", date(2024, 1, 1), date(2024, 1, 2), "d", align_days=True)
     assert rows(store.scan("t"), "k") == [(4,)]
+
+
+def bucketed(store, spark, n=200, buckets=8):
+    rows = spark.range(n).select(
+        F.col("id").alias("k"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 60).cast("int")).alias("day"),
+        F.col("id").cast("double").alias("v"),
+    )
+    store.ensure_table("b", rows.schema, "day", bucket_key="k", buckets=buckets)
+    store.append("b", rows)
+    return rows
+
+
+def files_of(store, table):
+    return set(store.spark.table(store.name(table)).inputFiles())
+
+
+def test_upsert_touches_only_the_buckets_of_its_keys(spark, store, rows):
+    bucketed(store, spark)
+    assert len({b for _, b in store.cells("b")}) == 8
+    before = files_of(store, "b")
+    news = spark.createDataFrame([(5, date(2024, 3, 9), -5.0), (900, date(2024, 1, 2), 9.0)], "k long, day date, v double")
+    buckets = {r[0] for r in news.select(F.pmod(F.xxhash64("k"), F.lit(8))).collect()}
+    store.upsert("b", news, "k")
+    spark.catalog.refreshTable(store.name("b"))
+    gone = before - files_of(store, "b")
+    # Key 5 left its cell, key 900 joined one: two old files at most, all of their buckets.
+    assert gone and len(gone) <= 2
+    assert all(any(f"{BUCKET}={b}/" in f for b in buckets) for f in gone)
+    want = {k: (date(2024, 1, 1) + timedelta(days=k % 60), float(k)) for k in range(200)}
+    want |= {5: (date(2024, 3, 9), -5.0), 900: (date(2024, 1, 2), 9.0)}
+    assert rows(store.scan("b"), "k", "day", "v") == sorted(((k, *v) for k, v in want.items()), key=repr)
+
+
+def test_plans_of_bucketed_tables_list_only_touched_buckets(spark, store):
+    bucketed(store, spark)
+    one = store.scan("b", {"k": 17})
+    assert [r["k"] for r in one.collect()] == [17]
+    assert len(one.inputFiles()) == 1 or f"{BUCKET}#" in one._jdf.queryExecution().executedPlan().toString()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan
+
+    read = []
+    original = type(store)._rewrite_merged
+
+    def watch(self, table, schema, target, *rest):
+        read.append(target._jdf.queryExecution().executedPlan().toString())
+        return original(self, table, schema, target, *rest)
+
+    type(store)._rewrite_merged = watch
+    try:
+        store.upsert("b", spark.createDataFrame([(17, date(2024, 1, 3), 1.0)], "k long, day date, v double"), "k")
+    finally:
+        type(store)._rewrite_merged = original
+    # The keys, too, are read from one bucket.
+    assert "(_bucket" in read[0].split("PartitionFilters")[1].split("]")[0]
+
+
+def test_bucketed_upserts_equal_plain_ones(spark, store, rows):
+    """Random batches over a bucketed and a plain table: moves, inserts, undated rows, and columns left out."""
+    rng = random.Random(4)
+    store.ensure_table("plain", bucketed(store, spark, 80, 5).schema, "day")
+    store.append("plain", store.scan("b"))
+    for step in range(4):
+        keys = rng.sample(range(120), 25)
+        data = [(k, date(2024, rng.randint(1, 4), 3) if rng.random() < 0.8 else None, rng.random()) for k in keys]
+        news = spark.createDataFrame(data, "k long, day date, v double")
+        news = news.drop("day") if step == 2 else news
+        store.upsert("b", news, "k")
+        store.upsert("plain", news, "k")
+        assert rows(store.scan("b"), "k", "day", "v") == rows(store.scan("plain"), "k", "day", "v")
+    store.delete_range("b", date(2024, 1, 20), date(2024, 3, 2), "day")
+    store.delete_range("plain", date(2024, 1, 20), date(2024, 3, 2), "day")
+    assert rows(store.scan("b"), "k", "day", "v") == rows(store.scan("plain"), "k", "day", "v")
+    # A key that is not the one the buckets follow.
+    other = spark.createDataFrame([(7, date(2024, 1, 5), 77.0)], "k long, day date, v double")
+    day = store.scan("b").filter("day IS NOT NULL").groupBy("day").count().filter("count = 1").first()
+    if day:
+        moved = other.withColumn("day", F.lit(day["day"]))
+        for name in ("b", "plain"):
+            store.upsert(name, moved, "day")
+        assert rows(store.scan("b"), "k", "day", "v") == rows(store.scan("plain"), "k", "day", "v")
+
+
+def test_buckets_can_be_changed_and_are_checked(spark, store, rows):
+    made = bucketed(store, spark)
+    before = rows(store.scan("b"))
+    store.ensure_table("b", made.schema, "day", bucket_key="k", buckets=3)
+    assert store.layout("b")["buckets"] == 3 and {b for _, b in store.cells("b")} <= {0, 1, 2}
+    assert rows(store.scan("b")) == before
+    with pytest.raises(ValueError, match="bucket_key"):
+        store.ensure_table("c", made.schema, "day", bucket_key="nothing", buckets=3)
+    with pytest.raises(ValueError, match="bucket_key"):
+        store.ensure_table("c", made.schema, "day", buckets=3)
