@@ -25,6 +25,7 @@ from ratelake.queries.inputs import (
 from ratelake.queries.registry import query, table
 from ratelake.session import work_path
 from ratelake.sinks.store import PARTITION
+from ratelake.streaming import state
 from ratelake.streaming.ingest import (
     filled,
     latest_per_key,
@@ -261,6 +262,29 @@ def stream_upsert(spark, sf_dir):
     return store.scan("latest")
 
 
+@query(
+    """SELECT user_id, event_id, ts, event_type, value FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+)
+def stream_state_corrections(spark, sf_dir):
+    """The newest event per user from streaming state: files in two goes, the second from the checkpoint of the first."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    inbox, progress = work_path(spark, "inbox"), work_path(spark, "progress")
+    store = fresh_store(spark)
+    events.limit(0).write.parquet(inbox)
+    files = max(events.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", -(-files // 2)).parquet(inbox)
+    late = F.col("event_id") % 2 == 0
+    for part in (events.filter(~late), events.filter(late)):
+        part.repartition(files, "event_id").write.mode("append").parquet(inbox)
+        run = state.state_stream(stream, store, "newest", ["user_id"], ["ts", "event_id"], progress, "ts", "60 days")
+        run.awaitTermination()
+        if state.refused_rows(run):
+            state.add_rows(store, "newest", part, "again")
+    state.compact(store, "newest", ["user_id"], ["ts", "event_id"])
+    return state.current_rows(store, "newest", ["user_id"], ["ts", "event_id"])
+
+
 FILLED = (
     f"""WITH {WIDE} SELECT "Fecha", """
     + each('last_value({c} IGNORE NULLS) OVER (ORDER BY "Fecha" ROWS UNBOUNDED PRECEDING) AS {c}')

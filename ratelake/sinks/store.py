@@ -226,6 +226,25 @@ class TableStore:
         with settings(df.sparkSession, _write_settings("static")):
             self._shaped(table, df).write.mode("overwrite").insertInto(self.name(table), overwrite=True)
 
+    def write_part(self, table: str, part: str, df: DataFrame) -> None:
+        """Replace what was written under this name before, and nothing else; for tables without a partition field.
+
+        A repeated write, say of a micro-batch after a failure, leaves the same rows.
+        """
+        layout = self.layout(table)
+        if layout["partition_field"] or layout["bucket_key"]:
+            raise ValueError(f"{table} has a layout of its own")
+        rows = require_values(conform(df, self.schema(table)), layout["required"])
+        seen = Observation(f"rows-{uuid.uuid4().hex[:8]}")
+        named = rows.withColumn(PARTITION, F.lit(part)).observe(seen, F.count(F.lit(1)).alias("rows"))
+        with settings(df.sparkSession, _write_settings("dynamic")):
+            named.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
+        if not seen.get["rows"]:
+            self._drop(table, [(part, 0)])
+
+    def drop_parts(self, table: str, parts: Sequence[str]) -> None:
+        self._drop(table, [(part, 0) for part in parts])
+
     def write_empty(self, table: str, df: DataFrame) -> None:
         """Load only into a table without rows."""
         if not self._read(table).isEmpty():
