@@ -10,7 +10,7 @@ from ratelake.model import DATE_COLUMN
 from ratelake.operators import drift, features, metrics, quality
 from ratelake.operators.fill import forward_fill
 from ratelake.operators.impute import impute_mean
-from ratelake.plans import training
+from ratelake.plans import boosting, training
 from ratelake.queries.inputs import VALUE_NAMES, WIDE, wide
 from ratelake.queries.registry import query, table
 
@@ -460,3 +460,71 @@ def batch_score(spark, sf_dir):
         lines.filter(F.col("split") == "train"), LINE_FEATURES, "l_extendedprice", rounds=3, max_depth=3, learning_rate=0.3
     )
     return training.score(model, lines).select("l_orderkey", "l_linenumber", "split", "l_extendedprice", "prediction")
+
+
+def _first_split_sql() -> str:
+    features = " UNION ALL ".join(
+        f"SELECT {i} AS feature, CAST({c} AS DOUBLE) AS v, y FROM t" for i, c in enumerate(LINE_FEATURES)
+    )
+    shrunk = "sign({g}) * greatest(abs({g}) - 0.5, 0)"
+    worth = "pow(" + shrunk + ", 2) / ({h} + 1.0)"
+    return f"""WITH t AS (SELECT l_quantity, l_discount, l_tax, l_extendedprice AS y FROM lineitem),
+  m AS (SELECT avg(y) AS base, count(*) AS ht, sum((y - (SELECT avg(y) FROM t)) * (y - (SELECT avg(y) FROM t))) AS spread FROM t),
+  b AS (SELECT feature, v, sum((SELECT base FROM m) - y) AS g, count(*) AS h FROM ({features}) GROUP BY 1, 2),
+  c AS (SELECT feature, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY feature) AS gt,
+      sum(h) OVER (PARTITION BY feature) AS ht FROM b
+    WINDOW w AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)),
+  s AS (SELECT feature, v, gl, hl, gt - gl AS gr, ht - hl AS hr,
+      0.5 * ({worth.format(g="gl", h="hl")} + {worth.format(g="(gt - gl)", h="(ht - hl)")} - {worth.format(g="gt", h="ht")}) AS gain
+    FROM c WHERE hl >= 1 AND ht - hl >= 1 ORDER BY gain DESC, feature, v LIMIT 1)
+  SELECT ['l_quantity', 'l_discount', 'l_tax'][feature + 1] AS feature, v AS threshold,
+    round(gain / (SELECT spread FROM m), 6) AS gain_share, CAST(hl AS BIGINT) AS left_rows, CAST(hr AS BIGINT) AS right_rows,
+    round(-({shrunk.format(g="gl")}) / (hl + 1.0), 4) AS left_weight, round(-({shrunk.format(g="gr")}) / (hr + 1.0), 4) AS right_weight
+  FROM s"""
+
+
+@query(_first_split_sql())
+def boost_first_split(spark, sf_dir):
+    """The first cut of a boosted model with both penalties, and the weights on its two sides."""
+    lines, label = table(spark, sf_dir, "lineitem"), "l_extendedprice"
+    edges = boosting.bin_edges(lines, LINE_FEATURES, 256)
+    rows = boosting._binned(lines, LINE_FEATURES, label, edges)
+    about = rows.agg(F.avg("y").alias("base")).first()["base"]
+    spread = rows.agg(F.sum(F.pow(F.col("y") - about, 2))).first()[0]
+    sums = boosting.histogram(rows, F.lit(1), F.lit(about) - F.col("y"), range(len(LINE_FEATURES)))
+    best = boosting.best_splits(boosting.split_gains(sums, boosting.L1, boosting.L2))
+    values = F.array(*[F.array(*[F.lit(v) for v in e]) for e in edges])
+    gr, hr = F.col("gt") - F.col("gl"), F.col("ht") - F.col("hl")
+
+    def weight(g, h):
+        return F.round(-boosting._shrunk(g, boosting.L1) / (h + boosting.L2), 4)
+
+    return best.select(
+        F.get(F.array(*[F.lit(c) for c in LINE_FEATURES]), F.col("feature")).alias("feature"),
+        F.get(F.get(values, F.col("feature")), F.col("bin")).alias("threshold"),
+        F.round(F.col("gain") / spread, 6).alias("gain_share"),
+        F.col("hl").cast("long").alias("left_rows"),
+        hr.cast("long").alias("right_rows"),
+        weight(F.col("gl"), F.col("hl")).alias("left_weight"),
+        weight(gr, hr).alias("right_weight"),
+    )
+
+
+@query(
+    """WITH RECURSIVE c AS (SELECT datediff('month', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS rnd,
+      round(avg(o_totalprice), 2) AS error FROM orders GROUP BY 1),
+  n AS (SELECT rnd, error, row_number() OVER (ORDER BY rnd) AS i FROM c),
+  r AS (SELECT i, rnd AS top, error AS best, CAST(NULL AS BIGINT) AS stop FROM n WHERE i = 1
+    UNION ALL
+    SELECT n.i, CASE WHEN r.stop IS NULL AND n.error < r.best - 100 THEN n.rnd ELSE r.top END,
+      CASE WHEN r.stop IS NULL AND n.error < r.best - 100 THEN n.error ELSE r.best END,
+      CASE WHEN r.stop IS NULL AND NOT n.error < r.best - 100 AND n.rnd - r.top >= 20 THEN n.rnd ELSE r.stop END
+    FROM r JOIN n ON n.i = r.i + 1)
+  SELECT CAST(top AS BIGINT) AS best_round, best AS best_error, stop AS stop_round FROM r ORDER BY i DESC LIMIT 1"""
+)
+def early_stop_round(spark, sf_dir):
+    """Where a curve stops: mean order totals by month stand for the error by round."""
+    orders = table(spark, sf_dir, "orders")
+    month = (F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate") - 1
+    curve = orders.groupBy(month.alias("round")).agg(F.round(F.avg("o_totalprice"), 2).alias("error"))
+    return boosting.early_stop(curve, patience=20, min_delta=100)
