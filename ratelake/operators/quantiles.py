@@ -2,9 +2,13 @@
 
 The built-in exact aggregates (``median``, ``percentile``, ``mode``) keep every
 distinct value of a group in one task. Here a global quantile is found by
-narrowing: approximate quantiles bracket the wanted rank, exact counts confirm
-the bracket, and only the values inside it are looked at again. Each pass is a
-scan with small partial aggregates, without a shuffle of the rows.
+narrowing: values are counted by bucket, the running counts tell which bucket holds
+the wanted rank, and only the values inside it are looked at again. Each pass is a
+scan with small partial aggregates by bucket, without a shuffle of the rows; as counts
+of a bucket add up, no task has to merge what all others have gathered.
+
+The same counts per day, kept as a table, give quantiles over any days without reading
+the days again (:func:`day_counts`).
 """
 
 from __future__ import annotations
@@ -12,17 +16,23 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.model import quoted
+from ratelake.sinks.store import TableStore
 
 # Values that one task may hold for the final, exact step.
 EXACT_ROWS = 20_000
-# Each pass shrinks a bracket about 500-fold. A finer sketch would save a pass, but
-# every task sends one, and they meet in a single place.
-ACCURACY = 2_000
+# The parts that a bracket is cut into by a pass.
+ACCURACY = 4_096
+# Buckets of the first pass: each reaches this many times further from zero than the one
+# before. Doubles of all sizes and signs have about 150,000 of them.
+GROWTH = 1.02
+# More than any bucket number, so that signs stay apart and infinities come last.
+FAR = 100_000
 
 
 @dataclass
@@ -35,6 +45,9 @@ class _Target:
     inside: int = 0
     rank: float = 0.0
 
+    def ends(self) -> tuple[int, int]:
+        return math.floor(self.rank), math.ceil(self.rank)
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -82,72 +95,54 @@ def _within(t: _Target) -> Column:
     return inside
 
 
+def size_bucket(value: Column) -> Column:
+    """A whole number that grows with the value, one per two per cent of its size; NULL for NULL."""
+    size = F.floor(F.round(F.log(F.abs(value)) / F.lit(math.log(GROWTH)), 9)) + FAR
+    far = F.when(F.abs(value) == F.lit(float("inf")), F.lit(2 * FAR)).otherwise(size)
+    return F.when(value == 0, F.lit(0)).when(value > 0, far).when(value < 0, -far).cast("long")
+
+
 def _narrow(clean: DataFrame, pending: list[_Target], accuracy: int) -> None:
-    """Shrink every bracket; two scans for all pending targets together."""
-    # Targets in the same bracket share one sketch.
+    """Shrink every bracket to the bucket that holds its rank; one scan for all pending targets."""
+    # Targets in the same bracket share its counts.
     sharing: dict[tuple, list[_Target]] = {}
     for t in pending:
         sharing.setdefault((t.column, t.low, t.high), []).append(t)
-    guesses = []
-    for i, group in enumerate(sharing.values()):
-        ends = []
+    groups = list(sharing.values())
+    parts = []
+    for i, group in enumerate(groups):
+        t, value = group[0], F.col(group[0].column)
+        bucket = size_bucket(value)
+        if t.low is not None:
+            share = (value - F.lit(t.low)) / F.lit(t.high - t.low)
+            bucket = F.least(F.floor(share * accuracy), F.lit(accuracy - 1)).cast("long")
+        part = F.struct(F.lit(i).alias("g"), bucket.alias("bucket"), value.alias("v"))
+        parts.append(F.when(_within(t), part))
+    counted = (
+        clean.select(F.explode(F.array(*parts)).alias("x"))
+        .filter("x IS NOT NULL")
+        .groupBy("x.g", "x.bucket")
+        .agg(F.count("*").alias("n"), F.min("x.v").alias("low"), F.max("x.v").alias("high"))
+    )
+    # The buckets of a bracket in order; their number is bounded, whatever the rows are.
+    before = Window.partitionBy("g").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    wanted = F.lit(False)
+    for i, group in enumerate(groups):
+        for rank in {r - t.skipped for t in group for r in t.ends()}:
+            wanted |= (F.col("g") == i) & (F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)
+    found = placed.filter(wanted).collect()
+    for i, group in enumerate(groups):
+        rows = [r for r in found if r["g"] == i]
         for t in group:
-            # Twice the approximation error on either side of the rank.
-            slack = 2.0 / accuracy + 2.0 / t.inside
-            at = (t.rank - t.skipped) / max(t.inside - 1, 1)
-            ends += [max(0.0, at - slack), min(1.0, at + slack)]
-        inside = F.when(_within(group[0]), F.col(group[0].column))
-        guesses.append(F.percentile_approx(inside, ends, accuracy).alias(f"g{i}"))
-    sketches = clean.agg(*guesses).first()
-    pending = [t for group in sharing.values() for t in group]
-    found = [s[2 * i : 2 * i + 2] for s in sketches for i in range(len(s) // 2)]
-    checks = []
-    for i, t in enumerate(pending):
-        value, inside = F.col(t.column), _within(t)
-        checks.append(F.count_if(inside & (value < F.lit(found[i][0]))).alias(f"b{i}"))
-        checks.append(F.count_if(inside & (value <= F.lit(found[i][1]))).alias(f"u{i}"))
-    counted = clean.agg(*checks).first()
-    for i, t in enumerate(pending):
-        below, upto = counted[f"b{i}"], counted[f"u{i}"]
-        first, last = math.floor(t.rank) - t.skipped, math.ceil(t.rank) - t.skipped
-        if below <= first and last < upto and upto - below < t.inside:
-            t.low, t.high = found[i]
-            t.skipped += below
-            t.inside = upto - below
-        elif below <= first and last < upto and found[i][0] == found[i][1]:
-            t.low = t.high = found[i][0]
-        else:
-            _halve(clean, t)
-
-
-def _halve(clean: DataFrame, t: _Target) -> None:
-    """Fallback when the bracket missed: cut the value range at its middle."""
-    span = clean.filter(_within(t)).agg(F.min(t.column), F.max(t.column)).first()
-    low, high = span
-    middle = low + (high - low) / 2
-    if low == high or middle in (low, high):
-        middle = low
-    upto = clean.filter(_within(t) & (F.col(t.column) <= F.lit(middle))).count()
-    first, last = math.floor(t.rank) - t.skipped, math.ceil(t.rank) - t.skipped
-    if last < upto:
-        t.low, t.high, t.inside = low, middle, upto
-    elif first >= upto:
-        above = clean.filter(_within(t) & (F.col(t.column) > F.lit(middle))).agg(F.min(t.column)).first()[0]
-        t.low, t.high = above, high
-        t.skipped, t.inside = t.skipped + upto, t.inside - upto
-    else:
-        # The rank lies between the two halves: its neighbours are known exactly.
-        edges = clean.filter(_within(t)).agg(
-            F.max(F.when(F.col(t.column) <= F.lit(middle), F.col(t.column))),
-            F.min(F.when(F.col(t.column) > F.lit(middle), F.col(t.column))),
-        ).first()
-        kept = clean.filter(F.col(t.column).isin(float(edges[0]), float(edges[1]))).count()
-        under = clean.filter(_within(t) & (F.col(t.column) < F.lit(edges[0]))).count()
-        t.low, t.high = edges
-        t.skipped, t.inside = t.skipped + under, kept
-        if kept > EXACT_ROWS:
-            share = t.rank - math.floor(t.rank)
-            t.low = t.high = edges[0] + (edges[1] - edges[0]) * share
+            lower, upper = (next(r for r in rows if r["before"] <= k - t.skipped < r["before"] + r["n"]) for k in t.ends())
+            if lower["bucket"] == upper["bucket"]:
+                t.low, t.high, t.inside = lower["low"], lower["high"], lower["n"]
+                t.skipped += lower["before"]
+            else:
+                # The rank lies between two buckets: its neighbours are known exactly.
+                share = t.rank - math.floor(t.rank)
+                t.low = t.high = lower["high"] * (1 - share) + upper["low"] * share
 
 
 def _finish(clean: DataFrame, targets: list[_Target]) -> list[float | None]:
@@ -185,3 +180,39 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.groupBy("column").agg(F.min(F.struct(-F.col("n"), F.col("value").alias("value"))).alias("best")).select(
         "column", F.col("best.value").alias("mode")
     )
+
+
+def day_counts(df: DataFrame, day: str, value: str) -> DataFrame:
+    """``(day, bucket, n, low, high)``: how many values each bucket of a day holds, and the ends of them.
+
+    NULL and NaN are left out. The size of a day's part does not depend on its number of rows.
+    """
+    v = _number(value)
+    rows = df.select(quoted(day).cast("date").alias("day"), size_bucket(v).alias("bucket"), v.alias("v")).filter("v IS NOT NULL")
+    return rows.groupBy("day", "bucket").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def store_day_counts(store: TableStore, table: str, df: DataFrame, day: str, value: str) -> None:
+    """Count the days of ``df`` anew and put them in place of what was stored for these days."""
+    counts = day_counts(df, day, value)
+    store.ensure_table(table, counts.schema, "day", granularity="day", description="Values by day and bucket")
+    store.replace_partitions(table, counts)
+
+
+def stored_quantiles(store: TableStore, table: str, shares: Sequence[float], start: date | None = None, end: date | None = None) -> DataFrame:
+    """``(share, n, low, high)`` over the stored days from ``start`` to ``end``.
+
+    The value of rank ``floor(share * (n - 1))`` lies between ``low`` and ``high``, the ends of
+    what its bucket holds: less than two per cent apart. Without values there are no rows.
+    Days add up by bucket; only the buckets, a bounded number, pass through one task.
+    """
+    days = store.scan(table, start=start, end=end)
+    summed = days.groupBy("bucket").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    # Both windows see the buckets only.
+    order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = summed.select("low", "high", F.col("n").alias("inside"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    total = summed.agg(F.sum("n").alias("n")).filter("n IS NOT NULL")
+    asked = total.select("n", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
+    asked = asked.withColumn("rank", F.floor(F.col("share") * (F.col("n") - 1)))
+    hit = (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("inside"))
+    return F.broadcast(asked).join(placed, hit).select("share", "n", "low", "high")

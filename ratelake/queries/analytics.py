@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from ratelake.model import DATE_COLUMN
-from ratelake.operators import drift, features, metrics, quality
+from ratelake.operators import drift, features, metrics, quality, quantiles
 from ratelake.operators.fill import forward_fill
 from ratelake.operators.impute import impute_mean
 from ratelake.plans import boosting, training
-from ratelake.queries.inputs import VALUE_NAMES, WIDE, wide
+from ratelake.queries.inputs import VALUE_NAMES, WIDE, fresh_store, wide
 from ratelake.queries.registry import query, table
 
 PAIR = ("urgent_obs", "high_obs")
@@ -528,3 +528,26 @@ def early_stop_round(spark, sf_dir):
     month = (F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate") - 1
     curve = orders.groupBy(month.alias("round")).agg(F.round(F.avg("o_totalprice"), 2).alias("error"))
     return boosting.early_stop(curve, patience=20, min_delta=100)
+
+
+@query(
+    """WITH v AS (SELECT CAST(ts AS DATE) AS day, CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN 2 * value ELSE value END AS v FROM events),
+  b AS (SELECT *, CAST(CASE WHEN v = 0 THEN 0 ELSE sign(v) * (floor(round(ln(abs(v)) / ln(1.02), 9)) + 100000) END AS BIGINT) AS bucket FROM v),
+  w AS (SELECT 'all days' AS period, * FROM b UNION ALL SELECT 'second week', * FROM b WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'),
+  c AS (SELECT period, bucket, count(*) AS inside, min(v) AS low, max(v) AS high FROM w GROUP BY 1, 2),
+  p AS (SELECT *, sum(inside) OVER (PARTITION BY period ORDER BY bucket) - inside AS before, sum(inside) OVER (PARTITION BY period) AS n FROM c),
+  s AS (SELECT CAST(unnest([0.25, 0.5, 0.75, 0.95]) AS DOUBLE) AS share)
+  SELECT period, share, CAST(n AS BIGINT) AS n, low, high FROM p, s
+  WHERE before <= floor(share * (n - 1)) AND floor(share * (n - 1)) < before + inside"""
+)
+def quantile_by_day_store(spark, sf_dir):
+    """Quantiles from stored counts per day; some days come again with other values and replace what was stored."""
+    events = table(spark, sf_dir, "events").select("ts", "value")
+    store = fresh_store(spark)
+    quantiles.store_day_counts(store, "counts", events, "ts", "value")
+    late = events.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")).withColumn("value", 2 * F.col("value"))
+    quantiles.store_day_counts(store, "counts", late, "ts", "value")
+    shares = [0.25, 0.5, 0.75, 0.95]
+    whole = quantiles.stored_quantiles(store, "counts", shares).withColumn("period", F.lit("all days"))
+    week = quantiles.stored_quantiles(store, "counts", shares, date(2024, 1, 8), date(2024, 1, 14))
+    return whole.unionByName(week.withColumn("period", F.lit("second week")))

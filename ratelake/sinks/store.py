@@ -242,6 +242,10 @@ class TableStore:
         if not seen.get["rows"]:
             self._drop(table, [(part, 0)])
 
+    def replace_partitions(self, table: str, df: DataFrame) -> None:
+        """Put ``df`` in place of the partitions it has rows for; the others stay."""
+        self._replace(table, df, ())
+
     def drop_parts(self, table: str, parts: Sequence[str]) -> None:
         self._drop(table, [(part, 0) for part in parts])
 

@@ -22,7 +22,7 @@ from ratelake.operators.filters import in_date_range, scan
 from ratelake.operators.impute import impute_mean
 from ratelake.operators.merge import outer_merge, pivot_merge, sort_by_key, union_months
 from ratelake.operators.ordering import RANGE, row_numbers, with_ranges
-from ratelake.operators.quantiles import exact_quantiles, modes
+from ratelake.operators.quantiles import exact_quantiles, modes, size_bucket, store_day_counts, stored_quantiles
 from ratelake.plans.clean import clean
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -227,6 +227,48 @@ def test_quantiles_are_exact_whatever_the_pass_limit(spark, limit, accuracy):
     assert got["w"] == [None]
 
 
+def test_quantiles_of_extreme_values(spark):
+    inf = float("inf")
+    values = [-inf, -inf, -1e308, -5.0, -1e-300, -0.0, 0.0, 5e-324, 1e-300, 1.0, 1.0 + 2**-52, 1e308, inf, inf, float("nan"), None] * 3
+    known = sorted(v for v in values if v is not None and v == v)
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    # Shares whose ranks are whole numbers.
+    last = len(known) - 1
+    ranks = [k for k in range(len(known)) if k / last * last == k]
+    assert len(ranks) > 20
+    assert exact_quantiles(df, {"v": [k / last for k in ranks]}, exact_rows=1)["v"] == [known[k] for k in ranks]
+
+
+def test_size_buckets_follow_the_order_of_values(spark):
+    values = [-float("inf"), -1e308, -1e-300, -5e-324, 0.0, 5e-324, 1e-300, 0.99, 1.0, 1.02, 1.5, 1e308, float("inf")]
+    found = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", size_bucket(F.col("v")).alias("b"))
+    buckets = [r["b"] for r in found.orderBy("i").collect()]
+    assert buckets == sorted(buckets) and len(set(buckets)) == len(buckets)
+
+
+def test_day_counts_add_up_and_days_are_replaced(spark, store):
+    rng = random.Random(3)
+    data = [(date(2024, 1, rng.randint(1, 20)), rng.choice([None, float("nan"), rng.gauss(0, 50), 7.0])) for _ in range(2000)]
+    df = spark.createDataFrame(data, "day date, v double")
+    store_day_counts(store, "c", df, "day", "v")
+    again = df.filter(F.col("day") > date(2024, 1, 15)).withColumn("v", F.col("v") + 1000)
+    store_day_counts(store, "c", again, "day", "v")
+    kept = [(d, v if d <= date(2024, 1, 15) else v + 1000) for d, v in data if v is not None and v == v]
+    for start, end in ((None, None), (date(2024, 1, 3), date(2024, 1, 17)), (date(2024, 1, 16), None)):
+        known = sorted(v for d, v in kept if (start is None or d >= start) and (end is None or d <= end))
+        shares = [0.0, 0.1, 0.5, 0.9, 1.0]
+        got = {r["share"]: r for r in stored_quantiles(store, "c", shares, start, end).collect()}
+        for s in shares:
+            value = known[math.floor(s * (len(known) - 1))]
+            assert got[s]["n"] == len(known) and got[s]["low"] <= value <= got[s]["high"]
+            assert got[s]["high"] - got[s]["low"] <= 0.0201 * abs(value) + 1e-12
+    assert stored_quantiles(store, "c", [0.5], date(2025, 1, 1)).count() == 0
+    plan = stored_quantiles(store, "c", [0.5])._jdf.queryExecution().executedPlan().toString()
+    # What meets in one task has been added up by bucket before.
+    for part in plan.split("Exchange SinglePartition")[1:]:
+        assert "HashAggregate(keys=[bucket" in part
+
+
 def test_mean_imputation(spark, rows):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double")
     assert rows(impute_mean(df)) == [(1.0,), (2.0,), (3.0,)]
