@@ -30,6 +30,17 @@ def once(key: Hashable, make: Callable[[], Any]) -> Any:
     return kept[key]
 
 
+def shielded(df: DataFrame, *used: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with names free for the operator's own columns, and the columns that give it back.
+
+    All columns but ``used`` go under numbered names, so that no name of the caller's can
+    clash with one made inside. The second part maps each of the caller's names to its column.
+    """
+    inside = {c: c if c in used else f"_given{i}" for i, c in enumerate(df.columns)}
+    renamed = df.select(*[F.col(f"`{c.replace('`', '``')}`").alias(n) for c, n in inside.items()])
+    return renamed, {c: F.col(n).alias(c) for c, n in inside.items()}
+
+
 def split_words(text: Column) -> Column:
     """The runs of characters other than ASCII white space; NULL text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

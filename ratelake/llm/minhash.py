@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import components, hash64, lower_ascii, shifted, split_words
+from ratelake.llm.common import components, hash64, lower_ascii, shielded, shifted, split_words
 from ratelake.session import materialize
 
 WIDTH = 5
@@ -195,7 +195,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group, with its columns."""
-    found = near_duplicates(docs, percent, bands)
-    gone = materialize(found.where("NOT kept").select("doc_id").distinct(), "gone")
-    return docs.join(_few(gone), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stay: one row of each group of linked texts, with its columns.
+
+    The row with the smallest doc_id stays (NULL last). Rows are judged each by its own
+    text: where doc_ids repeat or are NULL, rows are numbered first, so that a text is never
+    dropped for another one that has its id, and of equal rows one stays. Texts without
+    words are linked with nothing and all stay.
+    """
+    inside, back = shielded(docs, "doc_id", "text")
+    unclear = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        found = near_duplicates(docs, percent, bands)
+        gone = materialize(found.where("NOT kept").select("doc_id"), "gone")
+        return inside.join(_few(gone), "doc_id", "left_anti").select(*back.values())
+    rows = materialize(inside.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), percent, bands)
+    placed = found.select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
+    stay = materialize(placed.groupBy("component_id").agg(first).select("first._row"), "stay")
+    return rows.join(_few(stay), "_row", "left_semi").select(*back.values())

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import rank_in_groups, split_words
+from ratelake.llm.common import rank_in_groups, shielded, split_words
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -64,14 +64,8 @@ def offset_of(source: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 5), 16, 10).cast("double") / F.lit(float(1 << 20))
 
 
-def choose(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """``df`` (with ``doc_id``, ``text``, ``source``) plus ``mix``: size, source_size, target, copies, taken.
-
-    Rows of no size count, and take copies like others; a source of size 0 takes none.
-    NULL sources form one source, NULL ids sort together, rows that repeat are rows of
-    their own. Every rerun chooses the same copies. A document's copies are the floor or
-    ceiling of its expectation, so never above ``most``.
-    """
+def _chosen(df: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
+    """``df``, whose names are shielded, plus ``mix``."""
     sized = df.withColumn("_size", F.size(split_words(F.col("text"))).cast("long"))
     targets = source_targets(sized.select("source", F.col("_size").alias("size")), weights, share, most)
     key = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
@@ -88,10 +82,24 @@ def choose(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
         crossed.cast("long").alias("copies"),
         (crossed * F.col("_size")).cast("long").alias("taken"),
     )
-    return ranked.join(each, "_source").withColumn("mix", mix).select(*df.columns, "mix")
+    return ranked.join(each, "_source").withColumn("mix", mix)
+
+
+def choose(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """``df`` (with ``doc_id``, ``text``, ``source``) plus ``mix``: size, source_size, target, copies, taken.
+
+    Rows of no size count, and take copies like others; a source of size 0 takes none.
+    NULL sources form one source, NULL ids sort together, rows that repeat are rows of
+    their own. Every rerun chooses the same copies. A document's copies are the floor or
+    ceiling of its expectation, so never above ``most``. An existing ``mix`` column is
+    replaced; other columns pass through whatever their names.
+    """
+    inside, back = shielded(df, "doc_id", "text", "source")
+    return _chosen(inside, weights, share, most).select(*[c for name, c in back.items() if name != "mix"], "mix")
 
 
 def mixed(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The mixture itself: every row of ``df`` as often as it was chosen."""
-    chosen = choose(df, weights, share, most).where("mix.copies > 0")
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix.copies")))).select(*df.columns)
+    """The mixture itself: every row of ``df``, with all its columns, as often as it was chosen."""
+    inside, back = shielded(df, "doc_id", "text", "source")
+    chosen = _chosen(inside, weights, share, most).where("mix.copies > 0")
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix.copies")))).select(*back.values())

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import BLANKS, hash64, shifted, split_words, where_computed
+from ratelake.llm.common import BLANKS, hash64, shielded, shifted, split_words, where_computed
 
 SYMBOLS = "#*$%&|<>"
 
@@ -127,24 +127,30 @@ def compile_rules(rules: tuple[Rule, ...], measures: Column) -> Column:
     return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
 
 
+def _with_verdict(df: DataFrame, rules: tuple[Rule, ...], text: str, lang: str | None) -> DataFrame:
+    """``df``, whose names are shielded, plus ``_verdict``."""
+    q = F.col("_q")
+    base = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
+    broken = compile_rules(rules, q)
+    verdict = q.withField("base_failed", base).withField("broken", broken).withField("kept", ~base & (F.size(broken) == 0))
+    return with_measures(df, text, lang).withColumn("_verdict", verdict)
+
+
 def judge(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", lang: str | None = "lang") -> DataFrame:
     """Adds ``quality``: the measures, ``base_failed``, the broken ``rules`` and ``kept``.
 
     Base: fewer than 50 words, or more than half of the words in repeated 3-word
     windows. A NULL or empty text has no words and fails. A NULL language, or one
     without a stop-word list, is not judged by stop words. Rows that repeat are judged
-    each; no row is added or lost; an existing ``quality`` column is replaced.
+    each; no row is added or lost; an existing ``quality`` column is replaced. Other
+    columns pass through whatever their names.
     """
-    q = F.col("_q")
-    base = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
-    broken = compile_rules(rules, q)
-    measured = with_measures(df, text, lang)
-    return measured.withColumn(
-        "quality",
-        q.withField("base_failed", base).withField("broken", broken).withField("kept", ~base & (F.size(broken) == 0)),
-    ).drop("_q")
+    inside, back = shielded(df, text, *([lang] if lang else []))
+    judged = _with_verdict(inside, rules, text, lang)
+    return judged.select(*[c for name, c in back.items() if name != "quality"], F.col("_verdict").alias("quality"))
 
 
 def keep_good(df: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows that pass, with the columns they came with."""
-    return where_computed(judge(df, rules), F.col("quality.kept")).select(*df.columns)
+    """The rows that pass, with all the columns they came with, ``quality`` included."""
+    inside, back = shielded(df, "text", "lang")
+    return where_computed(_with_verdict(inside, rules, "text", "lang"), F.col("_verdict.kept")).select(*back.values())

@@ -205,3 +205,15 @@ def test_queue_keeps_order_on_disk():
     for key, places in want.items():
         assert [p for b in queue.take(key) for p in b["place"].tolist()] == places
     queue.close()
+
+
+def test_keep_one_judges_rows_by_their_texts(documents, cluttered):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue white black grey")
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, c), (8, ""), (8, None), (None, a), (None, "only here, with no id at all")]
+    df = cluttered(documents(*rows))
+    out = minhash.keep_one(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert got == sorted([(3, a), (5, b), (7, c), (8, ""), (8, None), (None, rows[-1][1])], key=repr)
+    plain = minhash.keep_one(cluttered(documents((1, a), (2, b), (4, b))))
+    assert sorted(r.doc_id for r in plain.collect()) == [1, 2] and plain.columns == df.columns

@@ -186,3 +186,13 @@ def test_queries_equal_their_sql(spark, name):
     ours = sorted((tuple(r[n] for n in names) for r in got.collect()), key=key)
     theirs = sorted((tuple(r) for r in want.select(*[duckdb.ColumnExpression(n) for n in names]).fetchall()), key=key)
     assert ours == theirs
+
+
+def test_own_columns_come_back(documents, cluttered):
+    df = cluttered(documents((1, "the cat and the dog " * 3 + " ".join(f"w{i} of" for i in range(60)), "en", "a"), (2, "short", "en", "a")))
+    good = quality.keep_good(df)
+    assert good.columns == df.columns
+    assert [(r.doc_id, r.quality, r._row) for r in good.collect()] == [(1, "extra", "extra")]
+    mixed = mixing.mixed(df)
+    assert mixed.columns == df.columns
+    assert {(r.mix, r._copy, r._source) for r in mixed.collect()} == {("extra", "extra", "extra")}
