@@ -9,6 +9,9 @@ from ratelake.llm import alignment, licenses, minhash, mixing, nearest, oracles,
 from ratelake.llm.common import split_words
 from ratelake.queries.registry import table
 
+# Stands for a caller's secret: the queries and the pipeline must give the same in every run.
+SURROGATE_KEY = "key-of-the-registered-queries"
+
 QUERIES = {}
 ORACLES = {}
 
@@ -62,7 +65,7 @@ def op4_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates for its personal data."""
-    made = surrogates.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = surrogates.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
     kinds = F.array_join(F.sort_array(F.transform("entities", lambda e: e["kind"])), ",")
     return made.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), kinds.alias("kinds"))
 
