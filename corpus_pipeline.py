@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.llm import minhash, mixing, packing, quality, surrogates
-from ratelake.llm.queries import packing_tokenizer
+from ratelake.llm.queries import SURROGATE_KEY, packing_tokenizer
 from ratelake.session import materialize
 
 # The stage links from 0.8; the 0.85 of the query op10 is its own. A pair at 0.8 is found
@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to surrogates; the number of characters follows."""
-    made = surrogates.pseudonymize(docs).drop("entities")
+    made = surrogates.pseudonymized(docs, SURROGATE_KEY)
     if "n_chars" in made.columns:
         made = made.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
     return made.select(*docs.columns)
