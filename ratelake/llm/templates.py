@@ -46,10 +46,12 @@ CLASSES = frozenset(
 # With these beside it in a compound (site-footer, sidebar-left) a word of CLASSES still names the part itself.
 # Others (has-sidebar, comments-open, related-work) tell of something else.
 BESIDE = frozenset(
-    "site main page post entry article blog user global primary secondary top bottom left right upper lower mobile desktop sub inner outer "
+    "site main page post entry article blog user global primary secondary top bottom left right upper lower mobile desktop sub inner outer body thread "
     "box bar list link links container wrapper wrap block area panel group button buttons icon icons item items form posts articles stories".split()
 )
-COMPOUNDS = frozenset("comments-section comment-section comments_section comment_section footer-content sidebar-content".split())
+COMPOUNDS = frozenset(
+    "comments-section comment-section comments_section comment_section comment-content comment_content footer-content sidebar-content".split()
+)
 # The header of a text holds its title.
 TEXTS = frozenset("post entry article page".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -58,6 +60,12 @@ NEVER_WRAPS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice notices newsletter subscribe subscription comment comments commentlist replies respond disqus dialog alert alertdialog".split()
 )
+# An article of this name is a reader's comment or an advert; other names of parts are no reason to drop an article.
+NO_ARTICLES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo comment comments commentlist replies respond disqus".split()
+)
+# Main text stands in the articles if they hold at least this share of the text of main.
+ARTICLE_SHARE = 0.5
 CONTAINERS = frozenset(("html", "body", "article", "main"))
 # Elements whose recurrence inside an article tells of a template; paragraphs and headings do not.
 BOXES = frozenset("div section ul ol dl table figure details fieldset address center".split())
@@ -108,30 +116,40 @@ def marked(attributes: str) -> set[str]:
 class Element:
     """An open block element: its parts for the subtree hash, where its blocks begin, and what may exempt it."""
 
-    __slots__ = ("before", "first", "name", "parts", "place", "skipped", "tagged")
+    __slots__ = ("at", "before", "first", "name", "parts", "place", "skipped", "tagged")
 
-    def __init__(self, name: str, first: int, skipped: bool, tagged: bool, place: int | None, before: int):
+    def __init__(self, name: str, first: int, skipped: bool, tagged: bool, at: int, place: int | None, before: int):
         self.name, self.first, self.skipped, self.parts = name, first, skipped, []
-        self.tagged, self.place, self.before = tagged, place, before
+        self.tagged, self.at, self.place, self.before = tagged, at, place, before
 
 
 class Page:
     """Blocks of a page, and its subtrees as ``(name, first block, end, hash, inside an article)``."""
 
     def __init__(self, source: str):
+        self.unended: set[int] = set()
         self._clear()
         self._read(source)
+        # A part that never ended does not swallow the article that follows it.
+        self.unended = self.around - self.ended
+        if self.unended:
+            self._clear()
+            self._read(source)
         # What is named like a part but holds most of the text, or all that there is, wraps the page.
         wrappers = {at for at, held in self.held if 2 * held > self.seen or not self.blocks}
         if wrappers:
             self._clear(wrappers)
             self._read(source)
-        self.has_article = any(a for _, a, _ in self.blocks)
-        self.has_main = any(m for _, _, m in self.blocks)
+        within_main = sum(len(t) for t, _, m in self.blocks if m)
+        within_both = sum(len(t) for t, a, m in self.blocks if a and m)
+        self.has_main = within_main > 0
+        self.has_article = any(a for _, a, _ in self.blocks) and within_both >= ARTICLE_SHARE * within_main
 
     def _clear(self, wrappers: set[int] = frozenset()) -> None:
         self.wrappers = wrappers
         self.held: list[tuple[int, int]] = []  # place of a possible wrapper, characters in it
+        self.around: set[int] = set()  # places of the dropped parts that an article stands in
+        self.ended: set[int] = set()  # places of the dropped parts that end with a tag of their own
         self.seen = self.tagged = 0
         self.blocks: list[tuple[str, bool, bool]] = []  # text, inside an article, inside main
         self.subtrees: list[tuple[str, int, int, int, bool]] = []
@@ -168,14 +186,21 @@ class Page:
         if self.open[name]:
             while self.stack[-1].name != name:
                 self._pop()
+            if self.stack[-1].skipped:
+                self.ended.add(self.stack[-1].at)
             self._pop()
 
     def _start(self, name: str, attributes: str, place: int) -> None:
         self._flush()
-        if name in ("article", "main"):
-            # Main text begins; an element before it that never ended does not swallow it.
+        if name == "main":
+            # There is one, and it is main text; an element before it that never ended does not swallow it.
             while self.skipping:
                 self._pop()
+        elif name == "article" and self.skipping:
+            # Comments and teasers of other pages are articles in such parts.
+            self.around |= {e.at for e in self.stack if e.skipped}
+            while any(e.skipped and e.at in self.unended for e in self.stack):
+                self._pop()
         if self.stack and self.stack[-1].name == "p" and name != "p":
             self._pop()
         elif name == "p" and self.open["p"]:
@@ -192,12 +217,12 @@ class Page:
                 break
         within = self.open["article"] + self.open["main"] > 0
         tagged = name in BOILERPLATE and not (name == "header" and within)
-        words = set() if name in CONTAINERS or (within and (name == "header" or name in HEADINGS)) else marked(attributes)
+        words = marked(attributes) & NO_ARTICLES if name == "article" else set() if name in CONTAINERS or (within and (name == "header" or name in HEADINGS)) else marked(attributes)
         if within:
             words.discard("header")
         wraps = bool(words) and not tagged and words.isdisjoint(NEVER_WRAPS)
         skipped = tagged or (bool(words) and place not in self.wrappers)
-        self.stack.append(Element(name, len(self.blocks), skipped, tagged, place if wraps else None, self.seen))
+        self.stack.append(Element(name, len(self.blocks), skipped, tagged, place, place if wraps else None, self.seen))
         self.tagged += tagged
         self.open[name] += 1
         self.skipping += skipped
@@ -301,7 +326,9 @@ def site_templates(subtrees: DataFrame, least_pages: int = LEAST_PAGES, least_sh
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """``(page_id, url, text)``, one row per row of ``pages``; text is empty where there is none.
 
-    NULL html is empty; a NULL or broken url belongs to the host without a name. Rows
+    Where a page has articles their text is its main text, unless they hold less than half of the
+    text of ``main``; articles inside comments, asides and the like, or named as comments or
+    adverts, are none. NULL html is empty; a NULL or broken url belongs to the host without a name. Rows
     that share a page_id, NULL included, share the list of their templates. Other columns
     play no part.
     """

@@ -1,6 +1,8 @@
 """Main text of pages and the license scan."""
 
+import random
 import re
+from collections import defaultdict
 
 import pytest
 
@@ -61,6 +63,42 @@ def test_only_whole_names_of_parts_go(source, want):
     assert text(source) == want
 
 
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<article>Real text</article><div id='comments' class='comments-area'><article class='comment-body'>Reader says hi</article></div>", "Real text"),
+        ("<main><h1>T</h1><p>Real text.</p><article class='comment'>Reader comment one</article></main>", "T\n\nReal text."),
+        ("<article><p>Story</p></article><aside class='related'><article class='teaser'>Other story</article></aside>", "Story"),
+        ("<article><p>Story</p><section id='disqus_thread'>Reader</section></article>", "Story"),
+        ("<main><h1>Title</h1><p>The long text of this page itself.</p><article>See also</article></main>", "Title\n\nThe long text of this page itself.\n\nSee also"),
+        ("<main><h1>Title</h1><article>The long text of this page itself.</article></main>", "The long text of this page itself."),
+        ("<div class=sidebar>s<article><p>a</p></article><article><p>b</p></article>", "a\n\nb"),
+        ("<div class=comments><p>hi<article>Reader</article></div><p>Own text</p>", "Own text"),
+        ("<article class='post comments-open'><p>x</p><article class='comment'><p>y</p><article>z</article></article><p>w</p></article>", "x\n\nw"),
+    ],
+)
+def test_articles_of_others_are_no_main_text(source, want):
+    assert text(source) == want
+
+
+def test_counts_equal_brute_force(spark):
+    rng = random.Random(3)
+    parts = [f"<div><p>part {i}</p></div>" for i in range(8)]
+    rows = [
+        (i, f"http://h{i % 3}.example/{i}", "<body>" + "".join(p for k, p in enumerate(parts) if rng.random() < 0.08 * (k + 1)) + f"<p>own {i % 50}</p></body>")
+        for i in range(120)
+    ]
+    texts, holding = defaultdict(set), defaultdict(set)
+    for _, url, source in rows:
+        page, host = Page(source), templates.host_of(url)
+        texts[host].add(page.main_text())
+        for _, _, hashed in page.candidates():
+            holding[host, hashed].add(page.main_text())
+    want = {(h, s) for (h, s), on in holding.items() if len(on) >= 5 and len(on) >= 0.2 * len(texts[h])}
+    made = spark.createDataFrame(rows, PAGES).repartition(4).mapInArrow(templates._subtrees, "page_id long, host string, subtree long, like long")
+    assert {tuple(r) for r in templates.site_templates(made).collect()} == want and want
+
+
 def test_long_and_deep_pages():
     assert text("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert len(text("<p>" + "word " * 400_000)) == 5 * 400_000 - 1
