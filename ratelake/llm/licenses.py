@@ -1,10 +1,12 @@
 """License scan by a positional index of rare tokens.
 
 The index holds, for every licence word, the templates and positions it stands at. How
-rare the words are is counted over the corpus. Of every template its rarest words are
-looked up in a file; postings that agree on where in the file the template would begin
-are a candidate. A candidate becomes a label if the template's mandatory phrases stand
-there word for word and enough of its words are in place.
+rare the words are is counted over the corpus. A template of which enough words are in
+place cannot lack all of its rarest ones: with ``n`` words, of which ``m`` must be there,
+one of the rarest ``n - m + 1`` is. So only these are indexed, and no notice is missed,
+however common its words are. Every such word of a file gives the places where the template
+may begin; it becomes a label if its mandatory phrases stand there word for word and enough
+of its words are in place.
 """
 
 from __future__ import annotations
@@ -34,10 +36,9 @@ class Template:
 
 @dataclass(frozen=True)
 class Settings:
-    """``rare``: how many of a template's rarest words are looked up; ``slack``: how many
-    words may be put in or left out before them; ``enough``: share of words in place."""
+    """``slack``: how many words may be put in or left out before a word that is in place;
+    ``enough``: share of words in place."""
 
-    rare: int = 4
     slack: int = 3
     enough: float = 0.8
 
@@ -69,7 +70,22 @@ TEMPLATES = (
     Template("cc-by-sa", "creative commons attribution sharealike 4 0 international license", ("creative commons attribution sharealike",)),
     Template("cc-by-nc", "creative commons attribution noncommercial 4 0 international license", ("creative commons attribution noncommercial",)),
     Template("cc0", "cc0 1 0 universal public domain dedication", ("cc0 1 0",)),
+    Template("bsd", "licensed under the bsd license", ("the bsd license",)),
+    Template("bsd", "licensed under the bsd 2 clause license", ("bsd 2 clause",)),
+    Template("bsd", "licensed under the bsd 3 clause license", ("bsd 3 clause",)),
+    Template("gpl", "gnu gplv2", ("gnu gplv2",)),
+    Template("gpl", "gnu gplv3", ("gnu gplv3",)),
+    Template("gpl", "gnu gpl v2", ("gnu gpl v2",)),
+    Template("gpl", "gnu gpl v3", ("gnu gpl v3",)),
+    Template("lgpl", "gnu library general public license", ("library general public license",)),
 )
+# Licence identifiers as words, by label.
+IDENTIFIERS = (
+    ("mit", "mit"), ("apache", "apache 2 0"), ("gpl", "gpl 2 0"), ("gpl", "gpl 3 0"), ("lgpl", "lgpl 2 1"), ("lgpl", "lgpl 3 0"),
+    ("agpl", "agpl 3 0"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("isc", "isc"), ("mpl", "mpl 2 0"), ("epl", "epl 2 0"),
+    ("boost", "bsl 1 0"), ("unlicense", "unlicense"), ("cc0", "cc0 1 0"), ("cc-by", "cc by 4 0"), ("cc-by-sa", "cc by sa 4 0"),
+)
+TEMPLATES += tuple(Template(label, f"spdx license identifier {name}", (f"license identifier {name}",)) for label, name in IDENTIFIERS)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -88,13 +104,10 @@ class Index:
         self.words = [t.text.split() for t in self.templates]
         self.phrases = [[p.split() for p in t.phrases] for t in self.templates]
         self.postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        self.asked: list[int] = []
         for number, words in enumerate(self.words):
-            rare = sorted(set(words), key=lambda w: (-self.idf.get(w, math.inf), w))[: self.settings.rare]
-            self.asked.append(len(rare))
-            for place, word in enumerate(words):
-                if word in rare:
-                    self.postings[word].append((number, place))
+            rarest = sorted(range(len(words)), key=lambda i: (-self.idf.get(words[i], math.inf), words[i], i))
+            for place in rarest[: len(words) - self.needed(number) + 1]:
+                self.postings[words[place]].append((number, place))
         # A base phrase is a template of its own, looked up by its rarest word and found only whole.
         self.base: dict[str, list[tuple[str, int, list[str]]]] = defaultdict(list)
         for label, phrase in BASE_PHRASES:
@@ -103,32 +116,24 @@ class Index:
             self.base[words[place]].append((label, place, words))
         self.lookup = frozenset(self.postings) | frozenset(self.base)
 
-    def candidates(self, hits: list[tuple[int, str]]) -> set[tuple[int, int]]:
-        """``(template, begin)`` where at least two of a template's rare words agree on the begin.
+    def needed(self, number: int) -> int:
+        """How many of the template's words must be in place."""
+        return max(1, math.ceil(self.settings.enough * len(self.words[number]) - 1e-9))
 
-        A template's rare words need not all be there: half of them will do, as the
-        phrases decide in the end.
-        """
-        begins: dict[int, list[tuple[int, str]]] = defaultdict(list)
+    def candidates(self, hits: list[tuple[int, str]], words: list[str]) -> dict[int, set[int]]:
+        """The places where a template may begin, of the templates whose phrases the file holds."""
+        begins: dict[int, set[int]] = defaultdict(set)
         for place, word in hits:
             for number, at in self.postings.get(word, ()):
-                begins[number].append((place - at, word))
-        found = set()
-        for number, votes in begins.items():
-            votes.sort()
-            need = max(min(2, self.asked[number]), math.ceil(self.asked[number] / 2))
-            first, seen = 0, defaultdict(int)
-            for begin, word in votes:
-                seen[word] += 1
-                while begin - votes[first][0] > self.settings.slack:
-                    gone = votes[first][1]
-                    seen[gone] -= 1
-                    if not seen[gone]:
-                        del seen[gone]
-                    first += 1
-                if len(seen) >= need:
-                    found.add((number, votes[first][0]))
-        return found
+                begins[number].add(place - at)
+        if not begins:
+            return begins
+        whole, slack = f" {' '.join(words)} ", self.settings.slack
+        return {
+            number: {b + d for b in at for d in range(-slack, slack + 1)}
+            for number, at in begins.items()
+            if all(f" {' '.join(p)} " in whole for p in self.phrases[number])
+        }
 
     def in_place(self, number: int, begin: int, words: list[str]) -> float:
         """Share of the template's words found near their places; 0 unless all mandatory phrases stand there."""
@@ -144,6 +149,21 @@ class Index:
             hit += word in near[max(0, at - slack) : at + slack + 1]
         return hit / len(template)
 
+    def best(self, number: int, begins: set[int], words: list[str]) -> Iterator[tuple[int, float]]:
+        """``(begin, share)`` of the places where the template stands; of overlapping ones the best, then the first."""
+        found: tuple[int, float] | None = None
+        for begin in sorted(begins):
+            share = self.in_place(number, begin, words)
+            if share * len(self.words[number]) < self.needed(number) - 1e-9:
+                continue
+            if found is not None and begin >= found[0] + len(self.words[number]):
+                yield found
+                found = None
+            if found is None or share > found[1]:
+                found = (begin, share)
+        if found is not None:
+            yield found
+
     def scan(self, text: str | None) -> dict:
         words = words_of(text)
         hits = [(place, word) for place, word in enumerate(words) if word in self.lookup]
@@ -155,9 +175,8 @@ class Index:
                     places.append(begin)
                     base.add(label)
         labels, score, spans = set(base), 0.0, []
-        for number, begin in sorted(self.candidates(hits)):
-            share = self.in_place(number, begin, words)
-            if share >= self.settings.enough:
+        for number, begins in sorted(self.candidates(hits, words).items()):
+            for begin, share in self.best(number, begins, words):
                 labels.add(self.templates[number].label)
                 score = max(score, share)
                 spans.append((self.templates[number].label, max(0, begin), len(self.words[number]), share))

@@ -172,3 +172,60 @@ def test_every_template_is_found_among_other_words(template):
 def test_rarity_counts_files(documents):
     idf = licenses.rarity(documents((1, "mit mit"), (2, "MIT"), (3, None), (4, "apache")))
     assert idf["mit"] < idf["apache"] < idf["gnu"]
+
+
+def all_places(index, source):
+    """Labels and best share by trying every template at every place."""
+    words, labels, best = licenses.words_of(source), set(), 0.0
+    for number, template in enumerate(index.templates):
+        for begin in range(-len(index.words[number]), len(words)):
+            share = index.in_place(number, begin, words)
+            if share >= index.settings.enough - 1e-9:
+                labels.add(template.label)
+                best = max(best, share)
+    return labels, best
+
+
+def test_labels_equal_a_scan_of_all_places():
+    """Notices with words lost, put in or replaced; common words count no more than rare ones in what is found."""
+    rng = random.Random(8)
+    found = 0
+    for idf in ({}, {w: rng.random() for t in licenses.TEMPLATES for w in t.text.split()}):
+        index = licenses.Index(idf)
+        for template in licenses.TEMPLATES:
+            for _ in range(3):
+                words = template.text.split()
+                for _ in range(rng.randrange(0, 2 + len(words) // 5)):
+                    at = rng.randrange(len(words))
+                    words[at : at + 1] = rng.choice([[], ["other"], [words[at], "more"]])
+                source = " ".join(["before"] * rng.randrange(4) + words + ["after the license of the software"])
+                labels, best = all_places(index, source)
+                got = index.scan(source)
+                assert set(filter(None, got["labels"].split(","))) == labels | set(filter(None, got["base_labels"].split(",")))
+                assert max((s["share"] for s in got["spans"]), default=0.0) == pytest.approx(best)
+                found += bool(labels)
+    assert found > 100
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("Licensed under the BSD 3-Clause License.", "bsd"),
+        ("SPDX-License-Identifier: BSD-3-Clause", "bsd"),
+        ("SPDX-License-Identifier: CC-BY-SA-4.0", "cc-by-sa"),
+        ("GNU GPLv2 or later", "gpl"),
+        ("GNU Library General Public License", "gpl,lgpl"),
+        ("license identifier of the mit", ""),
+    ],
+)
+def test_short_notices(source, want):
+    assert licenses.Index({}).scan(source)["labels"] == want
+
+
+def test_a_notice_without_its_rarest_words_is_found():
+    template = licenses.TEMPLATES[0]
+    idf = {w: 1.0 / (i + 1) for i, w in enumerate(dict.fromkeys(template.text.split()))}
+    words = template.text.split()
+    lost = [w for w in sorted(set(words), key=lambda w: -idf[w]) if not any(w in p.split() for p in template.phrases)][:3]
+    source = " ".join("other" if w in lost else w for w in words)
+    assert licenses.Index(idf).scan(source)["labels"] == "mit"
