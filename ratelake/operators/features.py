@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ratelake.functions.parsing import observed, observed_in
 from ratelake.model import DATE_COLUMN, quoted
+from ratelake.operators.merge import sorted_positions
 from ratelake.operators.ordering import ROWS_PER_RANGE, over_previous_rows
 from ratelake.operators.quantiles import exact_quantiles
 
@@ -145,6 +146,38 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame
     )
 
 
+def learn_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, index)``: the values of each column with their places in the vector.
+
+    Places run through the columns in the given order, and within one through its values in
+    code-point order. The table may have any number of rows: values are made distinct
+    before the shuffle and numbered by a distributed sort.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), quoted(c).cast("string").alias("value")) for i, c in enumerate(columns)]))
+    distinct = df.select(pairs.alias("entry")).filter(F.col("entry.value").isNotNull()).distinct()
+    names = F.array(*[F.lit(c) for c in columns])
+    return sorted_positions(distinct, "entry", "index").select(
+        F.get(names, F.col("entry.place")).alias("column"), F.col("entry.value").alias("value"), "index"
+    )
+
+
+def one_hot_sparse(df: DataFrame, dictionary: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` plus ``indices`` and ``values``, the places of a row's vector that are not 0, in order.
+
+    An unknown or missing value sets nothing. Each column is one left join with its part of
+    the dictionary; Spark sends small parts to all tasks and splits hot values otherwise.
+    Keep the dictionary as a table: it is what later data are encoded by, and its row count
+    is the length of the vectors.
+    """
+    found = df
+    for i, c in enumerate(columns):
+        part = dictionary.filter(F.col("column") == c).select(F.col("value").alias(f"__value{i}"), F.col("index").alias(f"__index{i}"))
+        found = found.join(part, quoted(c).cast("string") == F.col(f"__value{i}"), "left")
+    indices = F.sort_array(F.array_compact(F.array(*[F.col(f"__index{i}") for i in range(len(columns))])))
+    ready = found.withColumn("indices", indices).withColumn("values", F.array_repeat(F.lit(1.0), F.size("indices")))
+    return ready.select(*[quoted(c) for c in df.columns], "indices", "values")
+
+
 def select_features(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly the named features; missing ones are an error that lists them."""
     missing = [n for n in names if n not in df.columns]

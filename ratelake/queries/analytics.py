@@ -130,6 +130,21 @@ def feat_onehot(spark, sf_dir):
     return features.one_hot(orders, learned).drop("o_orderstatus", "o_orderpriority")
 
 
+@query(
+    """WITH d AS (SELECT 0 AS p, o_orderpriority AS v FROM orders UNION SELECT 1, CAST(o_custkey AS VARCHAR) FROM orders),
+    i AS (SELECT p, v, row_number() OVER (ORDER BY p, v) - 1 AS ix FROM d WHERE v IS NOT NULL)
+  SELECT o_orderkey, concat_ws(',', a.ix, b.ix) AS indices, CAST((a.ix IS NOT NULL)::INT + (b.ix IS NOT NULL)::INT AS DOUBLE) AS total
+  FROM orders LEFT JOIN i a ON a.p = 0 AND a.v = o_orderpriority LEFT JOIN i b ON b.p = 1 AND b.v = CAST(o_custkey AS VARCHAR)"""
+)
+def feat_onehot_sparse(spark, sf_dir):
+    """A column with more values than columns could be made for: the customer of every order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    encoded = ["o_orderpriority", "o_custkey"]
+    made = features.one_hot_sparse(orders, features.learn_dictionary(orders, encoded), encoded)
+    total = F.aggregate("values", F.lit(0.0), lambda s, x: s + x)
+    return made.select("o_orderkey", F.array_join(F.transform("indices", lambda x: x.cast("string")), ",").alias("indices"), total.alias("total"))
+
+
 @query(
     f"""WITH {WIDE} SELECT "Fecha", """
     + ", ".join(f"round(coalesce({c}, (SELECT avg({c}) FROM wide)), 6) AS {c}" for c in VALUE_NAMES)
@@ -408,6 +423,22 @@ def drift_psi(spark, sf_dir):
     return _rounded(drift.population_stability(before, after, "o_totalprice"), "psi")
 
 
+@query(
+    """WITH g AS (SELECT o_totalprice AS v, count(*) FILTER (o_orderdate < TIMESTAMP '1998-01-01') AS b,
+      count(*) FILTER (o_orderdate >= TIMESTAMP '1998-01-01') AS c FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1),
+    t AS (SELECT sum(b)::HUGEINT AS tb, sum(c)::HUGEINT AS tc FROM g),
+    s AS (SELECT v, sum(b) OVER (ORDER BY v)::HUGEINT AS b, sum(c) OVER (ORDER BY v)::HUGEINT AS c FROM g),
+    d AS (SELECT v, abs(b * tc - c * tb) AS gap FROM s, t),
+    k AS (SELECT max(gap)::DOUBLE / (tb::DOUBLE * tc::DOUBLE) AS distance,
+      (SELECT min(v) FROM d WHERE gap = (SELECT max(gap) FROM d)) AS at_value FROM d, t GROUP BY tb, tc)
+  SELECT 'o_totalprice' AS column_name, round(distance, 6) AS distance, round(at_value, 6) AS at_value, tb::BIGINT AS baseline_rows,
+    tc::BIGINT AS current_rows, distance > sqrt(-ln(0.025) / 2) * sqrt((tb + tc)::DOUBLE / (tb * tc)::DOUBLE) AS drifted FROM k, t"""
+)
+def drift_ks(spark, sf_dir):
+    before, after = (era.select("o_totalprice") for era in _eras(spark, sf_dir))
+    return _rounded(drift.distribution_distance(before, after, "o_totalprice", rows_per_range=2000))
+
+
 @query(
     """WITH x AS (SELECT o_orderdate, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderstatus = 'P'
       THEN o_orderpriority || '-HELD' ELSE o_orderpriority END AS label FROM orders)

@@ -376,3 +376,35 @@ def test_category_limit_is_per_column(spark):
     assert features.learn_categories(df, ["p", "q"], most=5)["q"] == ["x"]
     with pytest.raises(ValueError, match="p"):
         features.learn_categories(df, ["p", "q"], most=4)
+
+
+@pytest.mark.parametrize("rows_per_range", [3, 10_000])
+def test_distribution_distance_equals_brute_force(spark, rows_per_range):
+    rng = random.Random(5)
+    before = [rng.gauss(0, 1) for _ in range(300)] + [2.0] * 400 + [None, math.nan]
+    after = [rng.gauss(0.4, 1) for _ in range(200)] + [2.0] * 100 + [None]
+    known = [[v for v in side if v is not None and v == v] for side in (before, after)]
+    share = lambda side, v: sum(x <= v for x in side) / len(side)
+    want = max(abs(share(known[0], v) - share(known[1], v)) for v in known[0] + known[1])
+    frames = [spark.createDataFrame([(v,) for v in side], "v double") for side in (before, after)]
+    got = drift.distribution_distance(*frames, "v", rows_per_range=rows_per_range).first()
+    assert got.distance == pytest.approx(want) and got.drifted and (got.baseline_rows, got.current_rows) == (700, 300)
+    assert abs(share(known[0], got.at_value) - share(known[1], got.at_value)) == pytest.approx(want)
+    same = drift.distribution_distance(frames[0], frames[0], "v", rows_per_range=rows_per_range).first()
+    assert same.distance == 0 and not same.drifted
+    none = drift.distribution_distance(frames[0], frames[1].limit(0), "v").first()
+    assert (none.distance, none.at_value, none.drifted, none.current_rows) == (None, None, None, 0)
+
+
+def test_sparse_one_hot(spark):
+    values = [(i, f"v{i % 1500:04}", "ab"[i % 2]) for i in range(3000)] + [(3000, None, "a"), (3001, None, None)]
+    df = spark.createDataFrame(values, "id long, wide string, `a.b` string")
+    dictionary = features.learn_dictionary(df, ["wide", "a.b"])
+    listed = dictionary.orderBy("index").collect()
+    assert [(r.column, r.value) for r in listed] == [("wide", f"v{i:04}") for i in range(1500)] + [("a.b", "a"), ("a.b", "b")]
+    assert [r["index"] for r in listed] == list(range(1502))
+    got = {r.id: (r.indices, r["values"]) for r in features.one_hot_sparse(df, dictionary, ["wide", "a.b"]).collect()}
+    assert got == {i: ([i % 1500, 1500 + i % 2], [1.0, 1.0]) for i in range(3000)} | {3000: ([1500], [1.0]), 3001: ([], [])}
+    new = spark.createDataFrame([(1, "unseen", "b")], "id long, wide string, `a.b` string")
+    assert features.one_hot_sparse(new, dictionary, ["wide", "a.b"]).first().indices == [1501]
+    assert features.learn_dictionary(df.limit(0), ["wide"]).count() == 0
