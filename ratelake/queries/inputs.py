@@ -6,6 +6,7 @@ day. Not every priority has an order every day, so the series have gaps.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from ratelake.queries.registry import table
 from ratelake.session import work_path
 from ratelake.sinks.store import TableStore
 from ratelake.sources.observations import LandingSource, write_landing
+from ratelake.sources.pluggable import FolderClient, PluggedSource, register_source
 
 SPECS = tuple(SeriesSpec(n, n, f"{n}_obs") for n in ("urgent", "high", "medium", "not_specified", "low"))
 SERIES_MAP = {s.name: {"api": s.api_name, "column": s.column} for s in SPECS}
@@ -84,6 +86,13 @@ def landed(spark: SparkSession, sf_dir: str) -> LandingSource:
     return LandingSource(land(as_payload(daily(spark, sf_dir))), exact_months=True)
 
 
+def plugged(spark: SparkSession, root: str) -> PluggedSource:
+    """A landing folder behind a client of its own, registered under a fresh name."""
+    name = f"landing_{uuid.uuid4().hex[:12]}"
+    register_source(spark, name, FolderClient(root))
+    return PluggedSource(name, exact_months=True, slices_per_partition=16)
+
+
 def fresh_store(spark: SparkSession) -> TableStore:
     """A store in its own database below the shared folder."""
     location = work_path(spark, "db")

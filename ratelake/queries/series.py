@@ -31,6 +31,7 @@ from ratelake.queries.inputs import (
     each,
     land,
     landed,
+    plugged,
     series_of,
     wide,
 )
@@ -104,6 +105,17 @@ def series_read(spark, sf_dir):
     return _typed(read)
 
 
+@query(
+    f"""WITH {DAILY} SELECT series, "Fecha", v AS value FROM daily
+  WHERE series IN ('urgent', 'low') AND strftime("Fecha", '%Y-%m') BETWEEN '1996-03' AND '1997-02'"""
+)
+def custom_source_read(spark, sf_dir):
+    """Observations through a registered client: other series and months are never fetched."""
+    source = plugged(spark, land(as_payload(daily(spark, sf_dir))))
+    seen = source.observations(spark, [KNOWN["urgent"], KNOWN["low"]], ("1996-03", "1997-02"))
+    return accepted(seen).select("series", DATE_COLUMN, parse_decimal(F.col(VALUE_FIELD)).alias("value"))
+
+
 @query(
     f"WITH {DAILY} SELECT \"Fecha\", "
     + ", ".join(f"max(v) FILTER (series = '{s.api_name}') AS {s.column}" for s in SPECS if s.name != "low")

@@ -65,7 +65,7 @@ class FrameSource:
         self.frame = frame
 
     def observations(self, spark, specs, months=(None, None)) -> DataFrame:
-        return self.frame.filter(_wanted([s.api_name for s in specs], months))
+        return self.frame.filter(wanted([s.api_name for s in specs], months))
 
 
 def write_landing(df: DataFrame, root: str, rows_per_file: int = 1_000_000, mode: str = "append") -> None:
@@ -121,7 +121,7 @@ def read_landing(
 ) -> DataFrame:
     """Observations paired record by record; a record without a value has a NULL value."""
     raw = landing_reader(spark.read, row_tag).load(root)
-    return landing_shape(raw.filter(_wanted(series, months)))
+    return landing_shape(raw.filter(wanted(series, months)))
 
 
 def read_documents(
@@ -134,7 +134,7 @@ def read_documents(
     """Observations paired by position over each whole file."""
     texts = (
         spark.read.schema("value string, series string, month string").text(root, wholetext=True)
-        .filter(_wanted(series, months))
+        .filter(wanted(series, months))
         .select("series", "month", F.col("_metadata.file_path").alias("file"), "value")
     )
     return parse_documents(texts, "value", "positional", row_tag)
@@ -198,7 +198,7 @@ def _defect(corrupt: Column) -> Column:
     return F.when(corrupt, F.lit("malformed XML")).when(is_bad_date(F.col(DATE_COLUMN)), F.lit("bad date"))
 
 
-def _wanted(series: Sequence[str] | None, months: tuple[str | None, str | None]) -> Column:
+def wanted(series: Sequence[str] | None, months: tuple[str | None, str | None]) -> Column:
     condition = F.lit(True) if series is None else F.col("series").isin(*series)
     first, last = months
     if first is not None:
