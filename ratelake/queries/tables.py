@@ -7,13 +7,16 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ratelake.model import DATE_COLUMN
+from ratelake.functions.parsing import parse_decimal
+from ratelake.model import DATE_COLUMN, VALUE_FIELD
 from ratelake.plans.ingest import IngestConfig, run_ingest
+from ratelake.plans.prepare import prepare
 from ratelake.queries.inputs import (
     DAILY,
     NOW,
     SERIES_MAP,
     SPECS,
+    VALUE_NAMES,
     WIDE,
     as_payload,
     daily,
@@ -21,10 +24,13 @@ from ratelake.queries.inputs import (
     fresh_store,
     land,
     landed,
+    plugged,
 )
 from ratelake.queries.registry import query, table
 from ratelake.session import work_path
 from ratelake.sinks.store import PARTITION
+from ratelake.sources.observations import accepted, write_landing
+from ratelake.sources.pluggable import dated
 from ratelake.streaming import state
 from ratelake.streaming.ingest import (
     filled,
@@ -133,6 +139,22 @@ def _facts(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT * FROM lineitem WHERE l_partkey BETWEEN 20 AND 40
+  UNION ALL SELECT * FROM lineitem WHERE l_extendedprice > 50000 AND l_shipdate < TIMESTAMP '1997-01-01'"""
+)
+def clustered_scan(spark, sf_dir):
+    """Lines laid out by part, price and date alike, written in two loads, then read by each of them."""
+    lines, store = table(spark, sf_dir, "lineitem"), fresh_store(spark)
+    fields = ["l_partkey", "l_extendedprice", "l_shipdate"]
+    store.ensure_table("lines", lines.schema, cluster_fields=fields, interleave=True)
+    for flag in (F.col("l_returnflag") == "N", F.col("l_returnflag") != "N"):
+        store.append("lines", lines.filter(flag))
+    rows = store.scan("lines")
+    early = F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz")
+    return rows.filter("l_partkey BETWEEN 20 AND 40").unionAll(rows.filter((F.col("l_extendedprice") > 50000) & early))
+
+
 @query(
     """WITH facts AS (
     SELECT l_orderkey AS k, max(l_extendedprice) AS price, CAST(max(l_shipdate) AS DATE) AS day,
@@ -411,3 +433,39 @@ def table_scan_range(spark, sf_dir):
     """Equality and date range on a stored table: the range also prunes month partitions."""
     store = _orders_table(spark, sf_dir)
     return store.scan("orders", {"o_orderstatus": "O"}, start=date(1997, 5, 10), end=date(1997, 8, 20))
+
+
+@query(f"WITH {DAILY} SELECT series, \"Fecha\", v AS value FROM daily")
+def stream_custom_source(spark, sf_dir):
+    """A registered client as a stream, stopped and resumed: each file is delivered once."""
+    payload = as_payload(daily(spark, sf_dir))
+    early = F.col("month") < "1998-01"
+    root, out, progress = land(payload.filter(early)), work_path(spark, "delivered"), work_path(spark, "progress")
+    source = plugged(spark, root)
+    for news in (None, payload.filter(~early)):
+        if news is not None:
+            write_landing(news, root)
+        stream = dated(spark.readStream.format(source.name).option("slicesPerPartition", 16).load())
+        (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", progress)
+            .trigger(availableNow=True)
+            .start(out)
+            .awaitTermination()
+        )
+    rows = spark.read.schema(stream.schema).parquet(out)
+    return accepted(rows).select("series", DATE_COLUMN, parse_decimal(F.col(VALUE_FIELD)).alias("value"))
+
+
+@query(
+    f"""WITH {WIDE} SELECT *, TIMESTAMP '2002-01-01 10:32:00' AS ingestion_timestamp, 'CMF_Chile_API' AS data_source
+  FROM wide WHERE {" AND ".join(f"{c} IS NOT NULL" for c in VALUE_NAMES)}"""
+)
+def ingest_custom_steps(spark, sf_dir):
+    """A run with the caller's own source and own preparation, which keeps complete days only."""
+
+    def complete_days(wide, *rest, seed=None):
+        return prepare(wide.dropna(subset=VALUE_NAMES), *rest, seed=seed)
+
+    store, source = fresh_store(spark), plugged(spark, land(as_payload(daily(spark, sf_dir))))
+    return _zoneless(run_ingest(spark, source, _config(store), "full", NOW, preparation=complete_days))

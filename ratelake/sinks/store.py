@@ -29,9 +29,11 @@ from pyspark.sql import types as T
 from ratelake.model import DATE_COLUMN, RATE_SCHEMA, TIMESTAMP_COLUMN, conform, quoted, require_values
 from ratelake.operators.filters import equals_all
 from ratelake.session import SPREAD_FILES, settings
+from ratelake.sinks.clustering import place
 
 PARTITION = "_part"
 BUCKET = "_bucket"
+PLACE = "_place"
 UNDATED = "undated"
 UNPARTITIONED = "none"
 FORMATS = {"month": "yyyy-MM", "day": "yyyy-MM-dd"}
@@ -69,9 +71,15 @@ class TableStore:
         description: str = "",
         bucket_key: str | None = None,
         buckets: int = 0,
+        interleave: bool = False,
     ) -> None:
         """Create the table, or bring an existing one to the wanted partitioning.
 
+        Rows are sorted by ``cluster_fields`` inside each file. With ``interleave`` they are
+        laid out by all of these fields alike, across the files of a partition, so that a
+        filter on any of them skips files and row groups; this costs two passes over what is
+        written, from a staged copy.
+
         With ``bucket_key`` it is also split into ``buckets`` parts by the hash of that
         column: as many as give a part of a month a size that is cheap to rewrite. A table
         with another partition unit, or other buckets, is rewritten, never dropped.
@@ -87,7 +95,10 @@ class TableStore:
                 unit = granularity if other_unit else have["granularity"]
                 self.repair_layout(table, unit, (bucket_key or have["bucket_key"], buckets or have["buckets"]))
             return
+        if interleave and len(cluster_fields) < 2:
+            raise ValueError("interleave needs two cluster fields at least")
         options = {
+            "interleave": "true" if interleave else "",
             "partition_field": partition_field or "",
             "granularity": granularity if partition_field else UNPARTITIONED,
             "cluster_fields": ",".join(cluster_fields),
@@ -127,6 +138,7 @@ class TableStore:
             "required": [c for c in found.get("required", "").split(",") if c],
             "bucket_key": found.get("bucket_key") or None,
             "buckets": int(found.get("buckets") or 0),
+            "interleave": bool(found.get("interleave")),
         }
 
     def schema(self, table: str) -> T.StructType:
@@ -158,6 +170,7 @@ class TableStore:
             self.spark.catalog.getTable(f"{self.database}.{table}").description or "",
             key,
             buckets,
+            have["interleave"],
         )
         self.append(fresh, self.scan(table))
         self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {self.name(old)}")
@@ -219,12 +232,14 @@ class TableStore:
 
     def append(self, table: str, df: DataFrame) -> None:
         with settings(df.sparkSession, _write_settings("static")):
-            self._shaped(table, df).write.mode("append").insertInto(self.name(table))
+            with self._shaped(table, df) as rows:
+                rows.write.mode("append").insertInto(self.name(table))
 
     def truncate(self, table: str, df: DataFrame) -> None:
         """Replace the whole content."""
         with settings(df.sparkSession, _write_settings("static")):
-            self._shaped(table, df).write.mode("overwrite").insertInto(self.name(table), overwrite=True)
+            with self._shaped(table, df) as rows:
+                rows.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
 
     def write_part(self, table: str, part: str, df: DataFrame) -> None:
         """Replace what was written under this name before, and nothing else; for tables without a partition field.
@@ -416,7 +431,8 @@ class TableStore:
         spark.catalog.refreshTable(self.name(table))
         return spark.table(self.name(table))
 
-    def _shaped(self, table: str, df: DataFrame) -> DataFrame:
+    @contextmanager
+    def _shaped(self, table: str, df: DataFrame):
         """Table columns and types, checked, partitioned and clustered for writing.
 
         The rebalance hint sizes output files by data: small partitions share a
@@ -429,18 +445,25 @@ class TableStore:
         if layout["bucket_key"]:
             placed = placed.withColumn(BUCKET, _bucket_of(quoted(layout["bucket_key"]), layout["buckets"]))
             parts.append(BUCKET)
-        spread = placed.hint("rebalance", *parts)
-        return spread.sortWithinPartitions(*parts, *[quoted(c) for c in layout["cluster_fields"]])
+        fields = layout["cluster_fields"]
+        if not layout["interleave"]:
+            spread = placed.hint("rebalance", *parts)
+            yield spread.sortWithinPartitions(*parts, *[quoted(c) for c in fields])
+            return
+        with self.staged(placed) as copy:
+            ordered = copy.withColumn(PLACE, place(copy, fields))
+            # The hash lets a place that many rows share go to several tasks.
+            spread = ordered.repartitionByRange(*parts, PLACE, F.xxhash64(*[quoted(c) for c in copy.columns]))
+            yield spread.sortWithinPartitions(*parts, PLACE).drop(PLACE)
 
     def _replace(self, table: str, df: DataFrame, touched: Iterable[Cell]) -> None:
         """Overwrite the cells ``df`` has rows for; drop touched ones it left empty."""
         spark, seen = df.sparkSession, Observation(f"parts-{uuid.uuid4().hex[:8]}")
-        rows = self._shaped(table, df)
-        # At most one name per cell, gathered while writing.
-        bucket = F.col(BUCKET) if BUCKET in rows.columns else F.lit(0)
-        cell = F.struct(F.col(PARTITION).alias("part"), bucket.alias("bucket"))
-        watched = rows.observe(seen, F.collect_set(cell).alias("cells"))
-        with settings(spark, _write_settings("dynamic")):
+        with self._shaped(table, df) as rows, settings(spark, _write_settings("dynamic")):
+            # At most one name per cell, gathered while writing.
+            bucket = F.col(BUCKET) if BUCKET in rows.columns else F.lit(0)
+            cell = F.struct(F.col(PARTITION).alias("part"), bucket.alias("bucket"))
+            watched = rows.observe(seen, F.collect_set(cell).alias("cells"))
             watched.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
         written = {(c["part"], c["bucket"]) for c in seen.get["cells"] or []}
         self._drop(table, [c for c in touched if c not in written])
