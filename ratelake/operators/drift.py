@@ -117,6 +117,27 @@ def missing_features(baseline: DataFrame, current: DataFrame) -> list[str]:
     return [c for c in baseline.columns if c not in current.columns]
 
 
+def feature_coverage(baseline: DataFrame, current: DataFrame) -> DataFrame:
+    """Per baseline column: is it absent from the new data, and the share of rows with a value on both sides.
+
+    A feature that still has its column but lost its values drifts as much as one that is
+    gone. Two aggregates of one row each; a share over no rows is NULL.
+    """
+    gone = missing_features(baseline, current)
+
+    def shares(df: DataFrame, side: str) -> DataFrame:
+        total = F.nullif(F.count("*"), F.lit(0))
+        held = [c for c in baseline.columns if c in df.columns]
+        filled = [F.struct(F.lit(c).alias("column_name"), (F.count(observed_in(df, c)) / total).alias(side)) for c in held]
+        return df.agg(F.array(*filled).alias("all")).select(F.inline("all"))
+
+    before = shares(baseline, "baseline_filled").withColumn("missing", F.col("column_name").isin(gone))
+    if len(gone) == len(baseline.columns):
+        return before.withColumn("current_filled", F.lit(0.0))
+    after = before.join(shares(current, "current_filled"), "column_name", "left")
+    return after.withColumn("current_filled", F.when(F.col("missing"), F.lit(0.0)).otherwise(F.col("current_filled")))
+
+
 def outlier_share(
     baseline: DataFrame, current: DataFrame, columns: Sequence[str], threshold: float = OUTLIER_THRESHOLD
 ) -> DataFrame:

@@ -100,3 +100,31 @@ def schema_differences(have: T.StructType, want: T.StructType) -> list[str]:
             if n in found and found[n] != t
         ]
     )
+
+
+def schema_report(df: DataFrame, want: T.StructType) -> DataFrame:
+    """One row per column of either side: its types, what is wrong, and its values that are not missing.
+
+    ``problem`` is ``missing``, ``unexpected``, ``type``, ``empty`` (rows, but no value) or NULL.
+    A column that is there in name but never filled passes a check of names and types; the
+    counts, one aggregate over the table, show it.
+    """
+    found = {f.name: f.dataType for f in df.schema}
+    expected = {f.name: f.dataType for f in want}
+    counted = df.agg(F.count("*").alias("__rows"), *[F.count(observed_in(df, c)).alias(f"{c}__n") for c in found])
+    rows = []
+    for name in [*expected, *(c for c in found if c not in expected)]:
+        has, wants = found.get(name), expected.get(name)
+        wrong = "missing" if has is None else "unexpected" if wants is None else "type" if has != wants else None
+        present = F.lit(0).cast("bigint") if has is None else quoted(f"{name}__n")
+        empty = F.when((present == 0) & (F.col("__rows") > 0), F.lit("empty"))
+        rows.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.lit(wants.simpleString() if wants else None).cast("string").alias("expected"),
+                F.lit(has.simpleString() if has else None).cast("string").alias("found"),
+                (F.lit(wrong) if wrong else empty).alias("problem"),
+                present.alias("present"),
+            )
+        )
+    return counted.select(F.inline(F.array(*rows)))

@@ -7,6 +7,7 @@ no L1 or L2 term, so its metrics are not comparable with that model's.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from ratelake.model import quoted
 from ratelake.operators.metrics import regression_metrics
+from ratelake.sinks.store import TableStore
 
 # Model and split parameters.
 MAX_DEPTH = 6
@@ -31,6 +33,8 @@ TEST_SHARE = 0.2
 FOLDS = 5
 # Early stopping by improvement; Spark has no patience count.
 MIN_IMPROVEMENT = 0.01
+# The day of the run that made a prediction.
+SCORED_ON = "scored_on"
 
 
 def bucket_of(*columns: str, buckets: int = 10, seed: int | None = None) -> Column:
@@ -104,3 +108,25 @@ def evaluate(model: PipelineModel, df: DataFrame, label: str, split: str = "spli
 def read_training_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Training data from CSV with a header and a stated schema."""
     return spark.read.schema(schema).csv(path, header=True)
+
+
+def save_features(store: TableStore, table: str, features: DataFrame, date_column: str) -> None:
+    """Keep features by month of ``date_column``; months of ``features`` are replaced, so a run can be repeated."""
+    store.ensure_table(table, features.schema, date_column, description="Features by month")
+    store.replace_partitions(table, features)
+
+
+def save_predictions(store: TableStore, table: str, scored: DataFrame, run_day: date) -> None:
+    """Keep the predictions of one day's run beside those of other days. A repeated run takes the place of its first."""
+    rows = scored.withColumn(SCORED_ON, F.lit(run_day))
+    store.ensure_table(table, rows.schema, SCORED_ON, granularity="day", description="Predictions by day of the run")
+    with store.staged(rows) as kept:
+        if kept.isEmpty():
+            store.drop_parts(table, [f"{run_day:%Y-%m-%d}"])
+        else:
+            store.replace_partitions(table, kept)
+
+
+def read_predictions(store: TableStore, table: str, run_day: date | None = None) -> DataFrame:
+    """One day's predictions, by default the newest run's; only that day's files are read."""
+    return store.scan(table, {SCORED_ON: run_day or store.latest_date(table, SCORED_ON)})

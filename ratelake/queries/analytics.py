@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ratelake.model import DATE_COLUMN
 from ratelake.operators import drift, features, metrics, quality, quantiles
@@ -13,6 +14,7 @@ from ratelake.operators.impute import impute_mean
 from ratelake.plans import boosting, training
 from ratelake.queries.inputs import VALUE_NAMES, WIDE, fresh_store, wide
 from ratelake.queries.registry import query, table
+from ratelake.session import work_path
 
 PAIR = ("urgent_obs", "high_obs")
 
@@ -582,3 +584,90 @@ def quantile_by_day_store(spark, sf_dir):
     whole = quantiles.stored_quantiles(store, "counts", shares).withColumn("period", F.lit("all days"))
     week = quantiles.stored_quantiles(store, "counts", shares, date(2024, 1, 8), date(2024, 1, 14))
     return whole.unionByName(week.withColumn("period", F.lit("second week")))
+
+
+LINE_CHECK = (
+    "l_orderkey bigint, l_partkey int, l_quantity double, l_comment string, l_returnflag string, l_linestatus string"
+)
+
+
+def _report_sql(column, expected, found, problem, present):
+    texts = ", ".join(f"'{t}'" if t else "NULL" for t in (column, expected, found, problem))
+    return f"SELECT {texts}, {present} FROM lineitem"
+
+
+@query(
+    "SELECT column_name, expected, found, problem, present FROM ("
+    + " UNION ALL ".join(
+        _report_sql(*r)
+        for r in (
+            ("l_orderkey", "bigint", "bigint", None, "count(l_orderkey)"),
+            ("l_partkey", "int", "bigint", "type", "count(l_partkey)"),
+            ("l_quantity", "double", "double", None, "count(l_quantity)"),
+            ("l_comment", "string", None, "missing", "0 * count(*)"),
+            ("l_returnflag", "string", "string", None, "count(*) FILTER (l_returnflag <> 'N')"),
+            ("l_linestatus", "string", "string", "empty", "0 * count(*)"),
+            ("l_tax", None, "double", "unexpected", "count(l_tax)"),
+        )
+    )
+    + ") AS t(column_name, expected, found, problem, present)"
+)
+def dq_schema(spark, sf_dir):
+    """Lines held against a schema: one type differs, one column is gone, one is new, one lost its values."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_tax",
+        F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag"),
+        F.lit(None).cast("string").alias("l_linestatus"),
+    )
+    return quality.schema_report(lines, StructType.fromDDL(LINE_CHECK))
+
+
+@query(
+    """WITH b AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+    c AS (SELECT o_orderkey, nullif(o_orderstatus, 'F') AS o_orderstatus, o_totalprice FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+  SELECT 'o_orderkey' AS column_name, 1.0::DOUBLE AS baseline_filled, false AS missing, 1.0::DOUBLE AS current_filled
+  UNION ALL SELECT 'o_totalprice', 1.0, false, 1.0
+  UNION ALL SELECT 'o_custkey', (SELECT round(count(o_custkey) / count(*), 6) FROM b), true, 0.0
+  UNION ALL SELECT 'o_orderstatus', 1.0, false, (SELECT round(count(o_orderstatus) / count(*), 6) FROM c)"""
+)
+def drift_feature_coverage(spark, sf_dir):
+    """Newer orders lack one feature, and part of another's values."""
+    before, after = _eras(spark, sf_dir)
+    names = ["o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus"]
+    after = after.drop("o_custkey").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("F")))
+    return _rounded(drift.feature_coverage(before.select(names), after), "baseline_filled", "current_filled")
+
+
+@query("SELECT * FROM lineitem")
+def training_csv_read(spark, sf_dir):
+    """Lines written as CSV with a header and read back by a stated schema."""
+    lines, path = table(spark, sf_dir, "lineitem"), work_path(spark, "csv")
+    lines.write.csv(path, header=True)
+    return training.read_training_csv(spark, path, lines.schema)
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity * 1500 AS prediction,
+    DATE '2001-08-02' AS scored_on FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01'
+  UNION ALL SELECT l_orderkey, l_linenumber, l_extendedprice, l_quantity * 1200, DATE '2001-08-01'
+    FROM lineitem WHERE l_returnflag = 'R'"""
+)
+def prediction_sink(spark, sf_dir):
+    """Features kept by month, read back and scored on two days; the second day's run is repeated with other results."""
+    lines, store = table(spark, sf_dir, "lineitem"), fresh_store(spark)
+    features = lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+    # The same months twice: the table holds them once.
+    for _ in range(2):
+        training.save_features(store, "features", features, "l_shipdate")
+    held = store.scan("features")
+
+    def scored(rows, factor):
+        return rows.select("l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_quantity") * factor).alias("prediction"))
+
+    first, second = date(2001, 8, 1), date(2001, 8, 2)
+    training.save_predictions(store, "predictions", scored(held.filter("l_returnflag = 'R'"), 1200), first)
+    training.save_predictions(store, "predictions", scored(held, 1000), second)
+    late = store.scan("features", start=datetime(1997, 1, 1))
+    training.save_predictions(store, "predictions", scored(late, 1500), second)
+    return training.read_predictions(store, "predictions").unionAll(training.read_predictions(store, "predictions", first))

@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratelake.operators import drift, metrics, quality
 from ratelake.plans import training
@@ -111,3 +112,34 @@ def test_training_csv(spark, tmp_path):
     path.write_text("a,b\n1,2.5\n3,\n")
     got = training.read_training_csv(spark, str(path), "a int, b double").collect()
     assert [tuple(r) for r in got] == [(1, 2.5), (3, None)]
+
+
+def test_schema_report_of_odd_tables(spark, rows):
+    want = T.StructType.fromDDL("a int, b string, `c.d` double")
+    df = spark.createDataFrame([(1, None, float("nan")), (None, None, 2.0)], "a int, b string, `c.d` double")
+    names = ("column_name", "problem", "present")
+    assert rows(quality.schema_report(df, want), *names) == [("a", None, 1), ("b", "empty", 0), ("c.d", None, 1)]
+    # Without rows nothing is called empty.
+    assert {r.problem for r in quality.schema_report(df.limit(0), want).collect()} == {None}
+    assert rows(quality.schema_report(df.select("b"), want), *names)[0] == ("a", "missing", 0)
+
+
+def test_feature_coverage_without_columns_or_rows(spark, rows):
+    base = spark.createDataFrame([(1, "x"), (None, "y")], "a int, b string")
+    got = rows(drift.feature_coverage(base, base.select("b").limit(0)), "column_name", "baseline_filled", "missing", "current_filled")
+    assert got == [("a", 0.5, True, 0.0), ("b", 1.0, False, None)]
+    other = spark.createDataFrame([(1,)], "z int")
+    assert {(r.missing, r.current_filled) for r in drift.feature_coverage(base, other).collect()} == {(True, 0.0)}
+
+
+def test_prediction_runs_replace_only_their_day(spark, store, rows):
+    df = spark.createDataFrame([(1, 2.0), (2, 3.0)], "k int, prediction double")
+    one, two = date(2024, 1, 1), date(2024, 1, 2)
+    training.save_predictions(store, "p", df, one)
+    training.save_predictions(store, "p", df, two)
+    training.save_predictions(store, "p", df.filter("k = 1"), two)
+    assert rows(training.read_predictions(store, "p"), "k") == [(1,)]
+    assert rows(training.read_predictions(store, "p", one), "k") == [(1,), (2,)]
+    # A repeated run without rows leaves that day empty.
+    training.save_predictions(store, "p", df.limit(0), two)
+    assert rows(training.read_predictions(store, "p"), "k", "scored_on") == [(1, one), (2, one)]
