@@ -2,11 +2,12 @@
 
 Equal strings are brought together before they are sorted. Each 100-byte string of a text
 belongs to its anchor, the 32 bytes in it with the least hash; equal strings have equal
-anchors at the same place. Anchors that occur once in the corpus are set aside, as no
-string of theirs can repeat. The stretches around the others are cut out, equal ones
-reduced to the first, and the rest dealt by anchor to shards. A shard's suffixes are
-sorted by external induced sorting, where equal strings are neighbours that share at
-least 100 bytes; all but the earliest of them are removed.
+anchors at the same place. One shuffle brings the runs of strings around an anchor
+together, each with a hash of the stretch it covers: equal stretches are reduced to the
+first, and anchors left with one stretch are set aside, as no other string can repeat.
+Only then are stretches cut out of the texts and dealt by anchor to shards. A shard's
+suffixes are sorted by external induced sorting, where equal strings are neighbours that
+share at least 100 bytes; all but the earliest of them are removed.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import hash64
+from ratelake.llm.common import hash64, once
 from ratelake.llm.induced import suffixes
 from ratelake.session import materialize
 
@@ -36,6 +37,9 @@ BROADCAST_IDS = 1_000_000
 
 _TABLE = np.random.default_rng(97).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+# Stretches have a table and a base of their own.
+_STRETCH_TABLE = np.random.default_rng(98).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STRETCH_BASE = 0xC2B2AE3D27D4EB4F
 
 
 def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
@@ -45,20 +49,44 @@ def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
         tail = out[step:]
         out = out[: len(tail)] * np.uint64(factor) + tail
         factor, step = factor * factor % 2**64, 2 * step
+    return _mixed(out)
+
+
+def _mixed(out: np.ndarray) -> np.ndarray:
     out = (out ^ (out >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
     return out ^ (out >> np.uint64(32))
 
 
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the stretches' base and of its inverse."""
+    both = []
+    for base in (_STRETCH_BASE, pow(_STRETCH_BASE, -1, 2**64)):
+        factors = np.full(size, base, dtype=np.uint64)
+        factors[0] = 1
+        both.append(np.multiply.accumulate(factors))
+    return both[0], both[1]
+
+
+def stretch_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of ``values``, from sums over all bytes before its ends."""
+    size = 1 << len(values).bit_length()
+    powers, inverse = once(("stretch powers", size), lambda: _powers(size))
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(_STRETCH_TABLE[values] * powers[: len(values)], out=sums[1:])
+    return _mixed((sums[ends] - sums[begins]) * inverse[begins] + (ends - begins).astype(np.uint64))
+
+
 def anchors(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, width: int) -> tuple[np.ndarray, ...]:
-    """``(text, first, count, key)`` of the runs of strings that share an anchor.
+    """``(text, first, count, key, content)`` of the runs of strings that share an anchor.
 
     ``values`` are the bytes of several texts, from ``starts`` to ``ends``; ``first`` is
-    counted from the text's start. Of equal hashes the leftmost is the anchor.
+    counted from the text's start, and ``content`` is the hash of all bytes of a run's
+    strings. Of equal hashes the leftmost is the anchor.
     """
     span = length - width + 1
     none = np.empty(0, dtype=np.int64)
     if len(values) < length or not (ends - starts >= length).any():
-        return none, none, none, none
+        return none, none, none, none, none
     hashes = window_hashes(values, width)
     # The same for every piece, or equal strings of two pieces could choose differently.
     bits = np.uint64(PLACE_BITS)
@@ -80,7 +108,8 @@ def anchors(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: in
     counts = np.diff(np.append(heads, strings))
     heads, counts = heads[inside[heads]], counts[inside[heads]]
     texts = owner[heads]
-    return texts, heads - starts[texts], counts, hashes[at[heads]].view(np.int64)
+    content = stretch_hashes(values, heads, heads + counts + (length - 1))
+    return texts, heads - starts[texts], counts, hashes[at[heads]].view(np.int64), content.view(np.int64)
 
 
 def _runs(batch: pa.RecordBatch, length: int, width: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -116,24 +145,48 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(i, rows)
 
 
-def _keys(length: int, width: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, _, keys in _runs(batch, length, width):
-                unique, times = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(unique), pa.array(times.astype(np.int64))], names=["key", "times"])
+PLACES = "doc_id long, tid long, key long, content long, first int, count int, again boolean"
 
-    return count
+
+def _again(docs: pa.Array, tids: np.ndarray, first: np.ndarray, keys: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Which rows have an equal stretch at an earlier place among these."""
+    again = np.zeros(len(keys), dtype=bool)
+    both = _mixed(keys.view(np.uint64)) ^ content.view(np.uint64)
+    _, which, times = np.unique(both, return_inverse=True, return_counts=True)
+    rows = np.flatnonzero(times[which] > 1)
+    if not len(rows):
+        return again
+    known = np.asarray(docs.is_valid())
+    where = [c[rows] for c in (first, tids, np.asarray(docs.fill_null(0)), known)]
+    order = np.lexsort((*where, content[rows], keys[rows]))
+    where, same = [c[order] for c in where], [c[rows][order] for c in (keys, content)]
+    fresh = np.append(True, (same[0][1:] != same[0][:-1]) | (same[1][1:] != same[1][:-1]))
+    lead = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    again[rows[order]] = np.any([c != c[lead] for c in where], axis=0)
+    return again
 
 
 def _places(length: int, width: int):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column("tid"))
-            for texts, first, count, keys in _runs(batch, length, width):
+            ids = batch.column("doc_id")
+            tids = np.asarray(batch.column("tid"))
+            for texts, first, count, keys, content in _runs(batch, length, width):
+                docs = ids.take(pa.array(texts))
+                again = _again(docs, tids[texts], first, keys, content)
+                # What is a copy already needs no comparison: it goes anywhere, so that no task gets all copies of a passage.
+                spread = _mixed(tids[texts].view(np.uint64) + first.astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[texts]), pa.array(keys), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))],
-                    names=["tid", "key", "first", "count"],
+                    [
+                        docs,
+                        pa.array(tids[texts]),
+                        pa.array(np.where(again, spread, keys)),
+                        pa.array(content),
+                        pa.array(first.astype(np.int32)),
+                        pa.array(count.astype(np.int32)),
+                        pa.array(again),
+                    ],
+                    names=["doc_id", "tid", "key", "content", "first", "count", "again"],
                 )
 
     return place
@@ -201,12 +254,53 @@ def repeated_strings(stretches: list[bytes], counts: np.ndarray, order: np.ndarr
     return owner[found], within[found]
 
 
-def _sorter(length: int):
+def _may_repeat(stretches: list[bytes], counts: np.ndarray, keys: np.ndarray, length: int, width: int) -> np.ndarray:
+    """Whether a stretch shares half a string's reach to the left or right of its anchor with another one.
+
+    A string reaches ``length - width`` bytes beyond its anchor, so at least half of that
+    to one side; a stretch that no other equals that far to either side has no repeated string.
+    """
+    sizes = np.array([len(s) for s in stretches], dtype=np.int64)
+    begins = np.cumsum(sizes) - sizes
+    values = np.frombuffer(b"".join(stretches), dtype=np.uint8)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    hashes = window_hashes(values, width).view(np.int64)
+    hits = np.flatnonzero(hashes == keys[owner[: len(hashes)]])
+    hits = hits[hits + width <= (begins + sizes)[owner[hits]]]
+    seen = np.bincount(owner[hits], minlength=len(sizes))
+    # Where the anchor's bytes stand twice, which of them is the anchor is left open.
+    keep = seen != 1
+    at = np.zeros(len(sizes), dtype=np.int64)
+    at[owner[hits]] = hits
+    half = (length - width) // 2
+    left = ~keep & (at - begins >= half)
+    last = begins + counts - 1
+    right = ~keep & (length - width - (at - last) >= half)
+    for some, low, high in ((left, at - half, at + width), (right, at, at + width + half)):
+        chosen = np.flatnonzero(some)
+        if len(chosen):
+            marks = stretch_hashes(values, low[chosen], high[chosen])
+            _, which, times = np.unique(marks, return_inverse=True, return_counts=True)
+            keep[chosen[times[which] > 1]] = True
+    return keep
+
+
+def _sorter(length: int, width: int):
     def sort(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        counts, keys = (np.asarray(rows.column(c).combine_chunks()).astype(np.int64) for c in ("count", "key"))
+        rows = rows.filter(pa.array(_may_repeat(rows.column("stretch").to_pylist(), counts, keys, length, width)))
         counts, first, tids = (np.asarray(rows.column(c).combine_chunks()).astype(np.int64) for c in ("count", "first", "tid"))
         docs = np.array([-(2**63) if d is None else d for d in rows.column("doc_id").to_pylist()], dtype=np.int64)
         rank = np.empty(len(docs), dtype=np.int64)
-        rank[np.lexsort((first, tids, docs))] = np.arange(len(docs))
+        sequence = np.lexsort((first, tids, docs))
+        rank[sequence] = np.arange(len(docs))
+        # Rows equal in doc_id and text give the same stretches, which do not repeat each other.
+        again = np.flatnonzero((tids[sequence][1:] == tids[sequence][:-1]) & (first[sequence][1:] == first[sequence][:-1])) + 1
+        if len(again):
+            fresh = np.ones(len(docs), dtype=bool)
+            fresh[sequence[again]] = False
+            rows, counts, first, tids, rank = rows.filter(pa.array(fresh)), counts[fresh], first[fresh], tids[fresh], rank[fresh]
         owner, place = repeated_strings(rows.column("stretch").to_pylist(), counts, rank, length)
         # Neighbouring strings of a stretch make one range.
         fresh = np.append(True, (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)) if len(owner) else np.empty(0, dtype=bool)
@@ -250,35 +344,40 @@ def _few(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+def _cut(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """The stretches of ``runs (tid, key, first, count)`` out of the texts."""
+    runs = materialize(runs.groupBy("tid").agg(F.collect_list(F.struct("key", "first", "count")).alias("runs")), "by-text")
+    holders = docs.join(_few(runs.select("tid")), "tid", "left_semi").join(runs, "tid")
+    return holders.select("doc_id", "tid", "text", "runs").mapInArrow(_cutter(length), "key long, doc_id long, tid long, first int, count int, stretch binary")
+
+
 def removed_ranges(docs: DataFrame, length: int = LENGTH, width: int = ANCHOR, shard_bytes: int = SHARD_BYTES, crowded: int = CROWDED) -> DataFrame:
     """``(tid, start, end)`` of the repeated strings of ``docs (doc_id, tid, text)``; ranges may overlap."""
-    keys = docs.select("text").mapInArrow(_keys(length, width), "key long, times long")
-    repeated = materialize(keys.groupBy("key").agg(F.sum("times").alias("times")).where("times > 1").select("key"), "repeated")
-    places = docs.select("tid", "text").mapInArrow(_places(length, width), "tid long, key long, first int, count int")
-    runs = places.join(_few(repeated), "key").groupBy("tid").agg(F.collect_list(F.struct("key", "first", "count")).alias("runs"))
-    runs = materialize(runs, "runs")
-    holders = docs.join(_few(runs.select("tid")), "tid", "left_semi").join(runs, "tid")
-    cut = holders.select("doc_id", "tid", "text", "runs").mapInArrow(_cutter(length), "key long, doc_id long, tid long, first int, count int, stretch binary")
-    stretches = materialize(cut.withColumn("content", hash64("stretch")), "stretches")
+    places = docs.select("doc_id", "tid", "text").mapInArrow(_places(length, width), PLACES)
+    same = Window.partitionBy("key", "content").orderBy("doc_id", "tid", "first")
+    # Dealt by anchor once: the windows, over stretches and over anchors, need no other order of rows.
+    ranked = places.repartition("key").withColumn("rank", F.rank().over(same)).withColumn("row", F.row_number().over(same))
+    ranked = ranked.withColumn("different", F.sum(((F.col("row") == 1) & ~F.col("again")).cast("long")).over(Window.partitionBy("key")))
+    ranked = ranked.withColumn("again", F.col("again") | (F.col("rank") > 1))
+    runs = materialize(ranked.where("again or (row = 1 and different > 1)").drop("content", "row", "rank"), "runs")
 
     # Equal stretches: all strings of all but the first one go.
-    first = stretches.groupBy("key", "content").agg(F.min(F.struct("doc_id", "tid", "first")).alias("lead"))
-    first = materialize(first, "first")
-    joined = stretches.join(first, ["key", "content"])
-    is_lead = (F.col("tid") == F.col("lead.tid")) & (F.col("first") == F.col("lead.first"))
     end = F.col("first") + F.col("count") + (length - 1)
-    copies = joined.where(~is_lead).select("tid", F.col("first").cast("long").alias("start"), end.cast("long").alias("end"))
+    copies = runs.where("again").select("tid", F.col("first").cast("long").alias("start"), end.cast("long").alias("end"))
 
     # Different stretches at one anchor: sorted together, or string by string where they are very many.
-    sizes = first.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
-    leads = joined.where(is_lead).select("key", "doc_id", "tid", "first", "count", "stretch").join(sizes, "key")
-    leads = materialize(leads.dropDuplicates(["key", "tid", "first"]), "leads")
-    total = leads.where(F.col("different") <= crowded).agg(F.sum(F.octet_length("stretch"))).first()[0] or 0
-    shards = max(1, -(-int(total) // shard_bytes))
-    dealt = leads.where(F.col("different") <= crowded).withColumn("shard", F.pmod(hash64("key"), F.lit(shards)))
-    sorted_out = dealt.groupBy("shard").applyInArrow(_sorter(length), "tid long, start long, end long")
-
-    single = leads.where(F.col("different") > crowded).select("doc_id", "tid", "first", "stretch", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("at"))
+    leads, few = runs.where("not again"), F.col("different") <= crowded
+    size = F.when(few, F.col("count") + (length - 1))
+    total, many = leads.agg(F.sum(size), F.count(F.when(~few, True))).first()
+    if total is None and not many:
+        return copies
+    shards = max(1, -(-int(total or 0) // shard_bytes))
+    dealt = _cut(docs, leads.where(few), length).withColumn("shard", F.pmod(hash64("key"), F.lit(shards)))
+    sorted_out = dealt.groupBy("shard").applyInArrow(_sorter(length, width), "tid long, start long, end long")
+    if not many:
+        return copies.union(sorted_out)
+
+    single = _cut(docs, leads.where(~few), length).select("doc_id", "tid", "first", "stretch", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("at"))
     single = single.select("doc_id", "tid", (F.col("first") + F.col("at")).cast("long").alias("start"), F.md5(F.substring("stretch", F.col("at") + 1, F.lit(length))).alias("string"))
     single = materialize(single, "strings")
     earliest = single.groupBy("string").agg(F.min(F.struct("doc_id", "tid", "start")).alias("lead"))

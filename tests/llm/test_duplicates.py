@@ -171,6 +171,27 @@ def test_repeats_edge_cases(documents):
     assert suffix_dedup.remove_repeats(documents((1, "short"), (2, "short"))).where(F.col("n_removed") > 0).count() == 0
 
 
+def test_copies_of_a_passage_are_not_cut_out_and_spread_over_tasks(documents, monkeypatch):
+    rng = random.Random(12)
+    words = lambda n: " ".join(f"{rng.randrange(10**9)}" for _ in range(n))
+    passage, written = words(120), {}
+    rows = [(i, f"{words(20)} {passage} {words(20)}") for i in range(300)]
+    real = suffix_dedup.materialize
+
+    def keep(df, label="work"):
+        written[label] = real(df, label)
+        return written[label]
+
+    monkeypatch.setattr(suffix_dedup, "materialize", keep)
+    want = by_strings(rows, 100)
+    for r in suffix_dedup.remove_repeats(documents(*rows).repartition(4)).collect():
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
+    assert not [label for label, df in written.items() if "stretch" in df.columns]
+    # Of the copies in one batch all but the first are spread; the passage's ends differ in each text.
+    runs = written["runs"].groupBy("key").agg(F.count("*").alias("n"), F.max("different").alias("different"))
+    assert runs.count() > 2000 and runs.where("different = 1").agg(F.max("n")).first()[0] <= 4
+
+
 def sorted_with_shared(values, **options):
     places, shared = [], []
     for block, _ in induced.suffixes(np.array(values, dtype=np.int64), **options):
