@@ -143,3 +143,27 @@ def test_prediction_runs_replace_only_their_day(spark, store, rows):
     # A repeated run without rows leaves that day empty.
     training.save_predictions(store, "p", df.limit(0), two)
     assert rows(training.read_predictions(store, "p"), "k", "scored_on") == [(1, one), (2, one)]
+
+
+def test_a_fit_deals_its_rows_to_tasks_of_bounded_size(spark, monkeypatch):
+    given = []
+
+    class Spy:
+        def fit(self, df):
+            given.append(df)
+
+    monkeypatch.setattr(training, "booster", lambda *args, **params: Spy())
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 500, raising=False)
+    # One part of a file holds all rows, and half of them are equal in what the fit reads.
+    df = spark.range(20_000, numPartitions=1).select(
+        "id", F.when(F.col("id") % 2 == 0, F.lit(1.0)).otherwise(F.col("id") % 97).alias("x"), (F.col("id") % 5).alias("y.z"), F.create_map("id", "id").alias("m")
+    )
+    df = df.withColumn("x", F.when(F.col("id") < 10_000, 1.0).otherwise(F.col("x"))).withColumn("y.z", F.when(F.col("id") < 10_000, 1).otherwise(F.col("`y.z`")))
+    training.fit(df, ["x"], "y.z")
+    training.fit(df.repartition(7), ["x"], "y.z")
+    parts = [g.rdd.map(tuple).glom().collect() for g in given]
+    assert max(map(len, parts[0])) <= 1000 and parts[0] == parts[1]
+    want = sorted(tuple(r) for r in df.select("x", "`y.z`").collect())
+    assert sorted(r for part in parts[0] for r in part) == want
+    training.fit(df.limit(400), ["x"], "y.z")
+    assert given[-1].count() == 400
