@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ratelake.operators import drift, metrics, quality
 from ratelake.plans import training
+from ratelake.queries import analytics
 
 
 def test_missing_share_has_a_strict_threshold(spark):
@@ -167,3 +168,45 @@ def test_a_fit_deals_its_rows_to_tasks_of_bounded_size(spark, monkeypatch):
     assert sorted(r for part in parts[0] for r in part) == want
     training.fit(df.limit(400), ["x"], "y.z")
     assert given[-1].count() == 400
+
+
+def test_gbt_fit_trains_the_described_model(spark, monkeypatch, tmp_path):
+    amounts = [(F.col("id") % n).cast("double").alias(c) for c, n in (("l_quantity", 7), ("l_discount", 5), ("l_tax", 3))]
+    lines = spark.range(200).select(F.col("id").alias("l_orderkey"), *amounts, (F.col("id") * 2.0).alias("l_extendedprice"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    asked, made = [], training.booster
+
+    def short(features, label, **params):
+        asked.append(made(features, label, **params).getStages()[1])
+        return made(features, label, rounds=2, max_depth=2)
+
+    monkeypatch.setattr(training, "booster", short)
+    assert sum(r["n"] for r in analytics.gbt_fit(spark, str(tmp_path)).collect()) == 200
+    (model,) = asked
+    assert (model.getMaxIter(), model.getMaxDepth(), model.getStepSize(), model.getSeed()) == (1000, 6, 0.01, 42)
+    assert (model.getSubsamplingRate(), model.getFeatureSubsetStrategy()) == (0.8, "0.8")
+    assert not model.isDefined("validationIndicatorCol")
+
+
+def test_a_long_fit_has_a_folder_for_checkpoints(spark):
+    context = spark.sparkContext._jsc.sc()
+    put = getattr(context, "checkpointDir_$eq")
+    df, before = spark.range(50).select(F.col("id").cast("double").alias("x")), context.checkpointDir()
+    try:
+        put(spark._jvm.scala.Option.empty())
+        training.fit(df, ["x"], "x", rounds=2, max_depth=1)
+        assert spark.sparkContext.getCheckpointDir() is None
+        training.fit(df, ["x"], "x", rounds=12, max_depth=1)
+        assert spark.sparkContext.getCheckpointDir() is not None
+    finally:
+        if before.isDefined():
+            put(before)
+
+
+def test_a_long_fit_may_deal_a_small_table_too(spark):
+    df = spark.range(1000, numPartitions=1).select("id", F.col("id").cast("double").alias("x"))
+    with training.spread(df, ["x"], above=1000) as rows:
+        assert rows is df
+    with training.spread(df, ["x"], above=999) as rows:
+        parts = [len(p) for p in rows.rdd.glom().collect()]
+    assert sum(parts) == 1000 and len(parts) == spark.sparkContext.defaultParallelism and max(parts) < 300
